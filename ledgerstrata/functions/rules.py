@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +18,7 @@ def is_blank(name: str) -> Column:
 
 
 def any_of(predicates: Iterable[Column]) -> Column:
-    verdict = F.lit(False)
-    for predicate in predicates:
-        verdict = verdict | predicate
-    return verdict
+    return reduce(Column.__or__, predicates)
 
 
 def first_match(rules: Iterable[tuple[str, Column]]) -> Column:
@@ -36,10 +34,19 @@ def as_day(name: str) -> Column:
     return F.col(name).try_cast("date")
 
 
+def is_blank_number(name: str) -> Column:
+    """`is_blank` that reads a number as text only where it is not one."""
+    return F.col(name).isNull() | (as_money(name).isNull() & is_blank(name))
+
+
 def not_positive(name: str) -> Column:
-    """Not a number, not above zero, or too large for a money column."""
-    number = F.col(name).try_cast("double")
-    return number.isNull() | (number <= 0) | as_money(name).isNull()
+    """Not a number, not above zero, or too large for a money column.
+
+    Only values that round to zero cents need the second, finer look.
+    """
+    money = as_money(name)
+    fraction = F.col(name).try_cast("double") > 0
+    return money.isNull() | (money < 0) | ((money == 0) & ~fraction)
 
 
 def transaction_screen() -> list[tuple[str, Column]]:
@@ -48,7 +55,7 @@ def transaction_screen() -> list[tuple[str, Column]]:
         is_blank("transaction_id"),
         is_blank("account_id"),
         as_day("transaction_date").isNull(),
-        is_blank("amount"),
+        is_blank_number("amount"),
         is_blank("transaction_code"),
         is_blank("channel"),
     ]

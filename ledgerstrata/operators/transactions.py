@@ -8,7 +8,7 @@ accepted on an earlier date, or earlier in the order of the same date.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,7 @@ from ledgerstrata.functions.rules import (
 from ledgerstrata.functions.scalars import signed
 from ledgerstrata.operators.codes import code_lookup
 
-_WORKING = ("_screen", "_reference", "_indicator")
+Keep = Callable[[DataFrame], DataFrame]
 
 
 def _screened(bronze: DataFrame, codes: DataFrame) -> DataFrame:
@@ -36,11 +36,11 @@ def _screened(bronze: DataFrame, codes: DataFrame) -> DataFrame:
         F.lit(True).alias("_code_known"),
     )
     code_known = F.coalesce(F.col("_code_known"), F.lit(False))
-    return (
-        bronze.join(lookup, "transaction_code", "left")
-        .withColumn("_screen", first_match(transaction_screen()))
-        .withColumn("_reference", first_match(transaction_reference_rules(code_known)))
-        .drop("_code_known")
+    return bronze.join(lookup, "transaction_code", "left").select(
+        *bronze.columns,
+        "_indicator",
+        first_match(transaction_screen()).alias("_screen"),
+        first_match(transaction_reference_rules(code_known)).alias("_reference"),
     )
 
 
@@ -52,17 +52,14 @@ def _repeated_ids(screened: DataFrame, accepted_before: DataFrame | None) -> Dat
     """Ids that may yield a duplicate: seen twice in the batch, or before it.
 
     The aggregate keeps fixed-width values only and folds inside each task, so an
-    id that fills a third of the batch still shuffles as one row per task. What
-    leaves here is small next to the batch, which lets AQE broadcast it.
+    id that fills a third of the batch still shuffles as one row per task. The
+    conditions stand inside the aggregates: as a filter they would be pushed below
+    the screening and evaluated twice.
     """
-    per_id = (
-        screened.where(F.col("_screen").isNull())
-        .groupBy("transaction_id")
-        .agg(
-            F.count("*").alias("_copies"),
-            F.count_if(_acceptable()).alias("_candidates"),
-            F.min(F.when(_acceptable(), F.col("date"))).alias("_first_date"),
-        )
+    per_id = screened.groupBy("transaction_id").agg(
+        F.count_if(F.col("_screen").isNull()).alias("_copies"),
+        F.count_if(_acceptable()).alias("_candidates"),
+        F.min(F.when(_acceptable(), F.col("date"))).alias("_first_date"),
     )
     if accepted_before is None:
         return per_id.where(F.col("_copies") > 1).select(
@@ -87,7 +84,8 @@ def _repeated_ids(screened: DataFrame, accepted_before: DataFrame | None) -> Dat
     )
 
 
-def _is_first_candidate() -> Column:
+def _contends() -> Column:
+    """Acceptable, first of its id by date, and not alone in that."""
     return (
         _acceptable()
         & (F.col("_candidates") > 1)
@@ -96,12 +94,35 @@ def _is_first_candidate() -> Column:
     )
 
 
+def _rulings(
+    screened: DataFrame, accepted_before: DataFrame | None, order: Column, keep: Keep
+) -> DataFrame:
+    """What the other transactions say about an id, one row per repeated id.
+
+    `_winner` is the row that goes in where several acceptable ones share the id's
+    first date. Only ids with such rows are looked at again, and their minimum
+    folds inside each task.
+    """
+    repeated = keep(_repeated_ids(screened, accepted_before))
+    # Joining by date as well lets Spark skip the date partitions without a tie.
+    tied = repeated.where((F.col("_candidates") > 1) & ~F.col("_seen")).select(
+        "transaction_id", F.col("_first_date").alias("date")
+    )
+    winners = (
+        screened.join(tied, ["transaction_id", "date"], "inner")
+        .groupBy("transaction_id")
+        .agg(F.min(F.when(_acceptable(), order)).alias("_winner"))
+    )
+    return keep(repeated.join(winners, "transaction_id", "left"))
+
+
 def classify_transactions(
     bronze: DataFrame,
     codes: DataFrame,
     known_accounts: DataFrame,
     accepted_before: DataFrame | None = None,
     tie_break: Sequence[str] = S.TRANSACTION_SOURCE.names,
+    keep: Keep = lambda rows: rows,
 ) -> DataFrame:
     """Bronze rows with `_rejection_reason`, `_is_resolvable` and `_indicator`.
 
@@ -109,35 +130,34 @@ def classify_transactions(
     in Silver outside the dates of this batch. `tie_break` orders acceptable rows
     of one id and date; full copies are told apart by `_row_id`, which must be
     unique in the batch.
+
+    `keep` may store an intermediate result and return a scan of it. The result
+    is then planned with its true size: the rulings, being small next to the
+    batch, are broadcast and the batch itself is never shuffled by id. Left as it
+    is, the whole plan stays lazy and joins by whatever size Spark expects.
     """
     screened = _screened(bronze, codes)
-    repeated = _repeated_ids(screened, accepted_before)
-    judged = screened.join(repeated, "transaction_id", "left")
-
-    # Which of several acceptable rows of one id and date goes in. An inner join
-    # reaches only ids that have such rows; the minimum folds inside each task.
     order = F.struct(*tie_break, "_row_id")
-    winners = (
-        screened.join(repeated, "transaction_id", "inner")
-        .where(_is_first_candidate())
-        .groupBy("transaction_id")
-        .agg(F.min(order).alias("_winner"))
-    )
-    earlier = F.coalesce(F.col("_seen") | (F.col("_first_date") < F.col("date")), F.lit(False))
-    beaten = F.coalesce(_is_first_candidate() & (order != F.col("_winner")), F.lit(False))
+    rulings = _rulings(screened, accepted_before, order, keep)
+    earlier = F.col("_seen") | (F.col("_first_date") < F.col("date"))
+    beaten = _contends() & (order != F.col("_winner"))
+    duplicate = F.lit(S.DUPLICATE_TRANSACTION_ID)
     reason = F.coalesce(
         F.col("_screen"),
-        F.when(earlier, F.lit(S.DUPLICATE_TRANSACTION_ID)),
+        F.when(earlier, duplicate),
         F.col("_reference"),
-        F.when(beaten, F.lit(S.DUPLICATE_TRANSACTION_ID)),
+        F.when(beaten, duplicate),
     )
     known = F.coalesce(F.col("known_from") <= F.col("date"), F.lit(False))
     return (
-        judged.join(winners, "transaction_id", "left")
-        .withColumn("_rejection_reason", reason)
+        screened.join(rulings, "transaction_id", "left")
         .join(known_accounts, "account_id", "left")
-        .withColumn("_is_resolvable", known)
-        .select(*bronze.columns, "_indicator", "_is_resolvable", "_rejection_reason")
+        .select(
+            *bronze.columns,
+            "_indicator",
+            known.alias("_is_resolvable"),
+            reason.alias("_rejection_reason"),
+        )
     )
 
 

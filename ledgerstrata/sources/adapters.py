@@ -6,7 +6,7 @@ adapters bring such rows about by fixed arithmetic on the keys.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerstrata import schemas as S
 
 RUN_ID = "20240201_0a1b2c3d"
-RUN_TIME = datetime(2024, 2, 1, 6, 0, 0)
+RUN_TIME = datetime(2024, 2, 1, 6, 0, 0, tzinfo=timezone.utc)
 
 # Code, description, indicator, type, affects balance.
 CODE_ROWS = [
@@ -103,9 +103,9 @@ def event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standard_codes(spark: SparkSession) -> DataFrame:
-    names = [*S.CODE_SOURCE.names[:4], "affects_balance boolean"]
-    schema = ", ".join(f"{n} string" if " " not in n else n for n in names)
-    return spark.createDataFrame(CODE_ROWS, schema).withColumns(
+    # As a VALUES relation its size is known when joins are planned.
+    values = ", ".join(str(row) for row in CODE_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(S.CODE_SOURCE.names)})").withColumns(
         {
             "_source_file": F.lit("transaction_codes.csv"),
             "_ingested_at": F.lit(RUN_TIME).cast("timestamp"),

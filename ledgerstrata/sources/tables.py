@@ -154,3 +154,29 @@ def evenly_sized(rows: DataFrame, *columns: str) -> DataFrame:
     over many tasks, which a plain `repartition("date")` would not do.
     """
     return rows.hint("rebalance", *columns)
+
+
+class Scratch:
+    """Intermediate tables in the shared folder, removed when the block ends.
+
+    A stored table survives lost executors, cuts the lineage, and is planned with
+    its true size, which decides between a broadcast and a shuffle.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str) -> None:
+        self._spark = spark
+        self._root = shared_dir(spark, purpose)
+        self._tables = 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        self._tables += 1
+        path = f"{self._root}/{self._tables}"
+        rows.write.parquet(path)
+        return self._spark.read.schema(rows.schema).parquet(path)
+
+    def __exit__(self, *failure) -> None:
+        fs, root = _hadoop_path(self._spark, self._root)
+        fs.delete(root, True)
