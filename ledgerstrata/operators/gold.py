@@ -96,7 +96,8 @@ def weekly_totals(silver: DataFrame, codes: DataFrame) -> DataFrame:
     kind = F.col("transaction_type")
     day = F.col("transaction_date")
     purchases = F.count_if(kind == "PURCHASE")
-    mean = sum_when(kind == "PURCHASE", amount).cast("double") / F.nullif(purchases, F.lit(0))
+    # Decimal division: the mean does not depend on the order of the sum.
+    mean = sum_when(kind == "PURCHASE", amount) / F.nullif(purchases, F.lit(0))
     return (
         silver.where(F.col("_is_resolvable"))
         .join(code_lookup(codes, "transaction_type"), "transaction_code", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerstrata import schemas as S
 from ledgerstrata.functions.rules import any_of
 from ledgerstrata.functions.scalars import scrub_error
-from ledgerstrata.sources.tables import append_rows, replace_table, scan_table
+from ledgerstrata.sources.tables import append_rows, replace_table, scan_table, small_table
 
 # Models that must have succeeded before a date counts as fully processed.
 WATERMARK_MODELS = ("silver_transactions", "gold_daily_summary", "gold_weekly_account_summary")
@@ -31,7 +31,7 @@ def append_run_log(rows: DataFrame, path: str) -> None:
     if bad is not None:
         empty = [name for name in S.RUN_LOG_REQUIRED if bad[name] is None]
         raise ValueError(f"run log fields must not be null: {', '.join(empty)}")
-    append_rows(sanitize_errors(rows).select(*S.RUN_LOG.names), path)
+    append_rows(sanitize_errors(rows).select(*S.RUN_LOG.names).coalesce(1), path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
@@ -107,7 +107,7 @@ def write_watermark(
 ) -> None:
     """Overwrite the one-row control table."""
     day = parse_day(day) if isinstance(day, str) else day
-    replace_table(spark.createDataFrame([(day, now, run_id)], S.CONTROL).coalesce(1), path)
+    replace_table(small_table(spark, [(day, now, run_id)], S.CONTROL), path)
 
 
 def read_watermark(spark: SparkSession, path: str) -> date | None:

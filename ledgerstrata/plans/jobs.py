@@ -36,6 +36,7 @@ from ledgerstrata.sources.tables import (
     evenly_sized,
     replace_partitions,
     replace_table,
+    small_table,
     table_exists,
 )
 
@@ -87,7 +88,7 @@ class Run:
             for o in outcomes
         ]
         if rows:
-            frame = self.lake.spark.createDataFrame(rows, S.RUN_LOG).coalesce(1)
+            frame = small_table(self.lake.spark, rows, S.RUN_LOG)
             runlog.append_run_log(frame, self.lake.log_path)
 
     def attempt(

@@ -151,6 +151,17 @@ def supplier_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_audit(rows, "accounts")
 
 
+# Models in the order a run logs them.
+LOGGED_MODELS = (
+    ("bronze_accounts", "BRONZE"),
+    ("bronze_transactions", "BRONZE"),
+    ("silver_accounts", "SILVER"),
+    ("silver_transactions", "SILVER"),
+    ("gold_daily_summary", "GOLD"),
+    ("gold_weekly_account_summary", "GOLD"),
+)
+
+
 def event_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run log over the dates of `events`.
 
@@ -161,13 +172,11 @@ def event_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = read(spark, sf_dir, "events").groupBy(F.expr("CAST(ts AS DATE)").alias("d")).agg(
         F.count("*").alias("n")
     )
-    models = F.expr(
-        """array(struct('bronze_accounts' AS model, 'BRONZE' AS layer, 1 AS step),
-                 struct('bronze_transactions', 'BRONZE', 2),
-                 struct('silver_accounts', 'SILVER', 3),
-                 struct('silver_transactions', 'SILVER', 4),
-                 struct('gold_daily_summary', 'GOLD', 5),
-                 struct('gold_weekly_account_summary', 'GOLD', 6))"""
+    models = F.array(
+        *[
+            F.struct(F.lit(m).alias("model"), F.lit(layer).alias("layer"), F.lit(i).alias("step"))
+            for i, (m, layer) in enumerate(LOGGED_MODELS, start=1)
+        ]
     )
     attempts = days.select("d", "n", F.inline(models)).selectExpr(
         "*",

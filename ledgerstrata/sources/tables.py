@@ -7,10 +7,12 @@ import uuid
 from collections.abc import Iterable
 from datetime import date
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def is_missing_path(error: Exception) -> bool:
@@ -43,6 +45,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-made rows (log entries, the watermark) as a local relation.
+
+    Handed over as Arrow they need no Python worker and have a known size.
+    """
+    records = [dict(zip(schema.names, row)) for row in rows]
+    arrow = pa.Table.from_pylist(records, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(arrow, schema)
+
+
 # ---------------------------------------------------------------------------
 # Scans
 # ---------------------------------------------------------------------------
@@ -156,6 +168,12 @@ def evenly_sized(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.hint("rebalance", *columns)
 
 
+def keep(rows: DataFrame, path: str) -> DataFrame:
+    """Store an intermediate result and return a scan of it."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class Scratch:
     """Intermediate tables in the shared folder, removed when the block ends.
 
@@ -173,9 +191,7 @@ class Scratch:
 
     def keep(self, rows: DataFrame) -> DataFrame:
         self._tables += 1
-        path = f"{self._root}/{self._tables}"
-        rows.write.parquet(path)
-        return self._spark.read.schema(rows.schema).parquet(path)
+        return keep(rows, f"{self._root}/{self._tables}")
 
     def __exit__(self, *failure) -> None:
         fs, root = _hadoop_path(self._spark, self._root)
