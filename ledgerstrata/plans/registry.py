@@ -55,6 +55,18 @@ class Ledger:
             self.transactions, self.codes, self.known, tie_break=self.order
         )
 
+    def store(self) -> Ledger:
+        """Keep the classification as a table, for queries that use it repeatedly.
+
+        `silver`, `rejects` and Gold then scan one stored result instead of each
+        judging the transactions anew.
+        """
+        if "stored" not in self.__dict__:
+            path = TB.shared_dir(self.spark, "classified")
+            self.__dict__["classified"] = TB.keep(self.classified, path)
+            self.__dict__["stored"] = True
+        return self
+
     @cached_property
     def known(self) -> DataFrame:
         return AC.first_sightings(self.passing)
@@ -365,11 +377,13 @@ def gold_weekly_account_summary_lineitem(ledger: Lineitems) -> DataFrame:
 # ---------------------------------------------------------------------------
 @query()
 def reconciliation(e: Events) -> DataFrame:
+    e.store()
     return RC.reconcile(e.transactions, e.silver, e.rejects)
 
 
 def _leaky_reconciliation(e: Events) -> DataFrame:
     """Silver and quarantine after the rejected channels were lost."""
+    e.store()
     kept = e.rejects.where(F.col("_rejection_reason") != S.INVALID_CHANNEL)
     return RC.reconcile(e.transactions, e.silver, kept)
 
@@ -382,6 +396,7 @@ def reconciliation_total(e: Events) -> DataFrame:
 @query()
 def promotion_gate(e: Events) -> DataFrame:
     """Dates for Gold when the duplicates rejected on odd days went missing."""
+    e.store()
     odd = F.dayofmonth("date") % 2 == 1
     lost = (F.col("_rejection_reason") == S.DUPLICATE_TRANSACTION_ID) & odd
     return RC.promotion_gate(RC.reconcile(e.transactions, e.silver, e.rejects.where(~lost)))
@@ -390,6 +405,7 @@ def promotion_gate(e: Events) -> DataFrame:
 @query()
 def promotion_gate_daily(e: Events) -> DataFrame:
     """Daily Gold over the gated dates only."""
+    e.store()
     odd = F.dayofmonth("date") % 2 == 1
     lost = (F.col("_rejection_reason") == S.DUPLICATE_TRANSACTION_ID) & odd
     gate = RC.promotion_gate(RC.reconcile(e.transactions, e.silver, e.rejects.where(~lost)))
@@ -398,6 +414,7 @@ def promotion_gate_daily(e: Events) -> DataFrame:
 
 def _metrics(e: Events, silver: DataFrame) -> DataFrame:
     """Metrics with Gold computed from the given Silver rows."""
+    e.store()
     return RC.layer_metrics(
         e.transactions,
         e.accounts,
@@ -626,6 +643,7 @@ def check_st05(e: Events) -> DataFrame:
 @check
 def check_st06(e: Events) -> DataFrame:
     """Quarantine that took the unresolvable rows in although Silver has them."""
+    e.store()
     reason = F.when(~F.col("_is_resolvable"), F.lit("UNRESOLVABLE"))
     wrong = e.classified.withColumn("_rejection_reason", F.coalesce("_rejection_reason", reason))
     rejects = QU.quarantine_transactions(wrong, A.RUN_ID, A.RUN_TIME)
@@ -690,22 +708,26 @@ def check_sa06(e: Events) -> DataFrame:
 
 @check
 def check_g01(e: Events) -> DataFrame:
+    e.store()
     return CK.g01(e.silver, GD.daily_totals(_stale_silver(e), e.codes))
 
 
 @query()
 def gold_spine_mismatch(e: Events) -> DataFrame:
+    e.store()
     return CK.spine_mismatch(e.silver, GD.daily_totals(_stale_silver(e), e.codes))
 
 
 @check
 def check_g02(e: Events) -> DataFrame:
+    e.store()
     wrong = GD.daily_totals(_generous_silver(e), e.codes)
     return CK.daily_totals_checks(e.silver, wrong, "G-02")
 
 
 @check
 def check_g03(e: Events) -> DataFrame:
+    e.store()
     wrong = GD.daily_totals(_generous_silver(e), e.codes)
     return CK.daily_totals_checks(e.silver, wrong, "G-03")
 
@@ -713,6 +735,7 @@ def check_g03(e: Events) -> DataFrame:
 @check
 def check_g04(e: Events) -> DataFrame:
     """Gold from yesterday's Silver against today's."""
+    e.store()
     stale = GD.weekly_totals(e.silver.where(F.col("channel") == "ONLINE"), e.codes)
     return CK.g04(e.silver, e.codes, stale)
 
@@ -739,6 +762,7 @@ def check_g06(e: Events) -> DataFrame:
 
 @check
 def check_g07(e: Events) -> DataFrame:
+    e.store()
     busy = F.when(F.col("total_transactions") > 100, F.lit(A.RUN_ID))
     bought = F.when(F.col("total_purchases") > 0, F.lit(A.RUN_ID))
     return CK.g07(
@@ -790,6 +814,7 @@ def check_tc01(e: Events) -> DataFrame:
 @query()
 def check_declared(e: Events) -> DataFrame:
     """The sixteen declared column tests on unfiltered inputs."""
+    e.store()
     unsigned = _unsigned(e)
     weekly = GD.weekly_totals(unsigned.withColumn("_is_resolvable", F.lit(True)), e.codes)
     return CK.declared_tests(
@@ -812,7 +837,7 @@ def check_all(e: Events) -> DataFrame:
     The classification is stored once and read by all checks, and checks on rows
     of one table share a scan.
     """
-    e.__dict__["classified"] = TB.keep(e.classified, TB.shared_dir(e.spark, "classified"))
+    e.store()
     wrong = GD.daily_totals(_generous_silver(e), e.codes)
     folded = {
         ("check_st02", "check_st03"): CK.silver_row_checks(_unsigned(e)),
