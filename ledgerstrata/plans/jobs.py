@@ -21,6 +21,7 @@ from ledgerstrata.operators.accounts import (
     first_sightings,
     passing_accounts,
     silver_accounts,
+    upsert_accounts,
 )
 from ledgerstrata.operators.bronze import SKIP, WRITE, load_plan, rows_per_date, with_bronze_audit
 from ledgerstrata.operators.codes import silver_transaction_codes
@@ -144,7 +145,7 @@ def bronze_actions(lake: Lake, entity: str, files: DataFrame) -> dict[date, str]
 def load_bronze(run: Run, entity: str, days: list[date]) -> list[Outcome]:
     """Land every extract of the given days in one job."""
     lake = run.lake
-    files = on_dates(extracts.list_extracts(lake.spark, lake.source, entity), days)
+    files = extracts.list_extracts(lake.spark, lake.source, entity, days)
     actions = bronze_actions(lake, entity, files)
     todo = {day for day, action in actions.items() if action != SKIP}
     path = lake.path("bronze", entity)
@@ -195,21 +196,32 @@ def build_codes(run: Run) -> list[Outcome]:
     return [Outcome(None, S.SUCCESS, n, n)]
 
 
+def follows_all(lake: Lake, days: list[date]) -> bool:
+    """True for one day later than every day whose accounts are in the snapshot."""
+    promoted = _days(runlog.succeeded_dates(lake.run_log(), "silver_accounts")) - set(days)
+    return len(days) == 1 and bool(promoted) and max(promoted) < days[0]
+
+
 def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
-    """Rebuild the snapshot from all deltas; quarantine the given days' rejects.
+    """Bring the snapshot up to date; quarantine the given days' rejects.
 
-    A day without deltas is a success with nothing to write: the snapshot covers
-    it all the same.
+    The day after all others only replaces the accounts it brings. Any other set of
+    days rebuilds the snapshot from all deltas, so the order of loading does not
+    show. A day without deltas is a success: the snapshot covers it all the same.
     """
     lake = run.lake
-    classified = classify_accounts(lake.bronze("accounts"))
-    replace_table(
-        silver_accounts(passing_accounts(classified), run.run_id, run.now),
-        lake.path("silver", "accounts"),
-    )
+    bronze = lake.bronze("accounts")
+    fresh = classify_accounts(on_dates(bronze, days))
+    if follows_all(lake, days):
+        delta = silver_accounts(passing_accounts(fresh), run.run_id, run.now)
+        snapshot = upsert_accounts(lake.silver_accounts(), delta)
+    else:
+        everything = passing_accounts(classify_accounts(bronze))
+        snapshot = silver_accounts(everything, run.run_id, run.now)
+    replace_table(snapshot, lake.path("silver", "accounts"))
     path = lake.path("silver", "accounts_rejected")
     drop_partitions(lake.spark, path, days)
-    rejects = quarantine_accounts(on_dates(classified, days), run.run_id, run.now)
+    rejects = quarantine_accounts(fresh, run.run_id, run.now)
     replace_partitions(evenly_sized(rejects, "date"), path)
     seen = _counts(on_dates(lake.bronze("accounts"), days))
     rejected = _counts(on_dates(lake.rejected_accounts(), days))
@@ -219,6 +231,17 @@ def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
     ]
 
 
+def known_accounts(lake: Lake, days: list[date]) -> DataFrame:
+    """(account_id, known_from) as far as the given days can tell.
+
+    For the day after all others the snapshot is enough, one row per account;
+    other days need the date of each account's first delta.
+    """
+    if follows_all(lake, days):
+        return lake.silver_accounts().select("account_id", F.lit(days[0]).alias("known_from"))
+    return first_sightings(passing_accounts(classify_accounts(lake.bronze("accounts"))))
+
+
 def require_accounts_ready(lake: Lake, days: list[date]) -> None:
     """Transactions must not be judged against accounts older than their input."""
     ready = runlog.accounts_ready(lake.run_log()).where(F.col("accounts_ready"))
@@ -239,11 +262,10 @@ def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
     others = _days(done) - set(days)
     accepted_before = on_dates(lake.silver_transactions(), others) if others else None
     with Scratch(lake.spark, "rulings") as scratch:
-        known = first_sightings(passing_accounts(classify_accounts(lake.bronze("accounts"))))
         classified = classify_transactions(
             on_dates(lake.addressed_transactions(), days).drop("_pipeline_run_id"),
             lake.silver_codes(),
-            scratch.keep(known),
+            scratch.keep(known_accounts(lake, days)),
             accepted_before,
             keep=scratch.keep,
         )
@@ -301,18 +323,25 @@ def build_gold(run: Run, model: str) -> None:
         )
 
 
-def publish_gold(run: Run) -> bool:
-    """Recompute both summaries; every published date is logged as covered."""
+def publish_gold(run: Run, days: list[date]) -> bool:
+    """Recompute both summaries and log the dates they newly cover.
+
+    These are the run's own published dates and any published date Gold missed
+    before; the log does not grow with the length of the history.
+    """
     lake = run.lake
-    days = sorted(_days(runlog.succeeded_dates(lake.run_log(), "silver_transactions")))
-    sizes = {"gold_daily_summary": lake.gold_daily, "gold_weekly_account_summary": lake.gold_weekly}
+    log = lake.run_log()
+    published = _days(runlog.succeeded_dates(log, "silver_transactions"))
+    tables = {"gold_daily_summary": lake.gold_daily, "gold_weekly_account_summary": lake.gold_weekly}
+    covered = _days(runlog.succeeded_dates(log, *tables))
+    logged = sorted((published - covered) | (published & set(days)))
 
     def build(model: str) -> list[Outcome]:
         build_gold(run, model)
-        n = sizes[model]().count()
-        return [Outcome(day, S.SUCCESS, written=n) for day in days]
+        n = tables[model]().count()
+        return [Outcome(day, S.SUCCESS, written=n) for day in logged]
 
-    return all(run.attempt(model, days, lambda m=model: build(m)) for model in sizes)
+    return all(run.attempt(model, logged, lambda m=model: build(m)) for model in tables)
 
 
 def advance_watermark(run: Run) -> date | None:
@@ -335,7 +364,7 @@ def _process(run: Run, days: list[date]) -> date | None:
         if not loaded:
             return None
     done = _days(runlog.succeeded_dates(lake.run_log(), "silver_transactions"))
-    arrived = _days(on_dates(extracts.list_extracts(lake.spark, lake.source, "transactions"), days))
+    arrived = _days(extracts.list_extracts(lake.spark, lake.source, "transactions", days))
     batch = sorted(arrived - done)
     absent = sorted(set(days) - arrived - done)
 
@@ -350,7 +379,7 @@ def _process(run: Run, days: list[date]) -> date | None:
         if not promoted:
             return None
         run.log("silver_quarantine", _now(), [Outcome(day, S.SUCCESS) for day in batch])
-    if not publish_gold(run):
+    if not publish_gold(run, days):
         return None
     return advance_watermark(run)
 
@@ -385,8 +414,7 @@ def run_incremental(lake: Lake, run_id: str, now: datetime | None = None) -> dat
     day = runlog.require_next_date(lake.spark, lake.control_path)
     arrived: set[date] = set()
     for entity in ("transactions", "accounts"):
-        files = extracts.list_extracts(lake.spark, lake.source, entity)
-        arrived |= _days(on_dates(files, [day]))
+        arrived |= _days(extracts.list_extracts(lake.spark, lake.source, entity, [day]))
     done = _days(runlog.succeeded_dates(lake.run_log(), "silver_transactions"))
     if not arrived or day in done:
         return None

@@ -6,6 +6,7 @@ whichever path element carries the extract's name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from ledgerstrata.functions.scalars import extract_date
 from ledgerstrata.sources.tables import is_missing_path
 
 NAME_PATTERN = r"([A-Za-z]+_\d{4}-\d{2}-\d{2}\.csv)"
+NAMED_DAYS = 31
 FILE_LIST = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -42,19 +44,29 @@ def _read_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType)
     )
 
 
-def list_extracts(spark: SparkSession, source: str, entity: str) -> DataFrame:
-    """Files of one entity as (date, _source_file, path); no content is read."""
+def list_extracts(
+    spark: SparkSession, source: str, entity: str, days: Sequence[date] | None = None
+) -> DataFrame:
+    """Files of one entity as (date, _source_file, path); no content is read.
+
+    A few days are named in the listing itself, so that a daily run does not list
+    the extracts of every year.
+    """
+    named = "*"
+    if days is not None and 0 < len(days) <= NAMED_DAYS:
+        named = "{" + ",".join(day.isoformat() for day in days) + "}"
     try:
-        files = spark.read.format("binaryFile").load(f"{source}/*{entity}_*.csv")
+        files = spark.read.format("binaryFile").load(f"{source}/*{entity}_{named}.csv")
     except Exception as error:
         if is_missing_path(error):
             return spark.createDataFrame([], FILE_LIST)
         raise
-    return files.select(
+    listed = files.select(
         extract_date(F.col("path")).alias("date"),
         _source_file(F.col("path")).alias("_source_file"),
         "path",
     ).where(F.col("date").isNotNull())
+    return listed if days is None else listed.where(F.col("date").isin(list(days)))
 
 
 def scan_extracts(
