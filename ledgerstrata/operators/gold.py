@@ -57,10 +57,15 @@ def daily_totals(silver: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def with_source_period(daily: DataFrame, silver: DataFrame) -> DataFrame:
-    """Add the first and last Silver date, read from the date column only."""
-    first = silver.select(F.min("transaction_date")).scalar()
-    last = silver.select(F.max("transaction_date")).scalar()
-    return daily.withColumns({"_source_period_start": first, "_source_period_end": last})
+    """Add the first and last Silver date, from one scan of the date column."""
+    day = "transaction_date"
+    period = silver.select(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    return daily.withColumns(
+        {
+            "_source_period_start": period.getField("first"),
+            "_source_period_end": period.getField("last"),
+        }
+    )
 
 
 def gold_daily_summary(

@@ -48,7 +48,9 @@ def _acceptable() -> Column:
     return F.col("_screen").isNull() & F.col("_reference").isNull()
 
 
-def _repeated_ids(screened: DataFrame, accepted_before: DataFrame | None) -> DataFrame:
+def _repeated_ids(
+    screened: DataFrame, accepted_before: DataFrame | None, keep: Keep
+) -> DataFrame:
     """Ids that may yield a duplicate: seen twice in the batch, or before it.
 
     The aggregate keeps fixed-width values only and folds inside each task, so an
@@ -65,7 +67,10 @@ def _repeated_ids(screened: DataFrame, accepted_before: DataFrame | None) -> Dat
         return per_id.where(F.col("_copies") > 1).select(
             "transaction_id", "_candidates", "_first_date", F.lit(False).alias("_seen")
         )
-    # Only history ids that occur in the batch survive the semi join.
+    # Only history ids that occur in the batch survive the semi join. With the
+    # batch's ids stored, Spark knows their size: few are broadcast to the history
+    # scan, and more of them can be a runtime Bloom filter ahead of its shuffle.
+    per_id = keep(per_id).where(F.col("_copies") > 0)
     seen = (
         accepted_before.select("transaction_id")
         .join(per_id.select("transaction_id"), "transaction_id", "left_semi")
@@ -103,7 +108,7 @@ def _rulings(
     first date. Only ids with such rows are looked at again, and their minimum
     folds inside each task.
     """
-    repeated = keep(_repeated_ids(screened, accepted_before))
+    repeated = keep(_repeated_ids(screened, accepted_before, keep))
     # Joining by date as well lets Spark skip the date partitions without a tie.
     tied = repeated.where((F.col("_candidates") > 1) & ~F.col("_seen")).select(
         "transaction_id", F.col("_first_date").alias("date")
