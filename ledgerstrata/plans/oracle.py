@@ -543,5 +543,5 @@ def oracle_sql() -> dict[str, str]:
         key = "check_" + check_id.replace("-", "").lower()
         statements[key] = _EVENTS + _report({check_id: sql})
     statements["check_declared"] = _EVENTS + _ANY_WEEKLY + _report(_DECLARED)
-    statements["check_all"] = _EVENTS + _report(_VIOLATIONS)
+    statements["check_all"] = _EVENTS + _ANY_WEEKLY + _report(_VIOLATIONS | _DECLARED)
     return statements
