@@ -647,7 +647,7 @@ def check_st06(e: Events) -> DataFrame:
     reason = F.when(~F.col("_is_resolvable"), F.lit("UNRESOLVABLE"))
     wrong = e.classified.withColumn("_rejection_reason", F.coalesce("_rejection_reason", reason))
     rejects = QU.quarantine_transactions(wrong, A.RUN_ID, A.RUN_TIME)
-    return CK.st06(e.silver, rejects, ["date", *S.TRANSACTION_SOURCE.names])
+    return CK.st06(e.silver, rejects, S.TRANSACTION_SOURCE.names)
 
 
 @check

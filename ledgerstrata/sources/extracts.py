@@ -17,6 +17,7 @@ from ledgerstrata.functions.scalars import extract_date
 from ledgerstrata.sources.tables import is_missing_path
 
 NAME_PATTERN = r"([A-Za-z]+_\d{4}-\d{2}-\d{2}\.csv)"
+ROOT_PATTERN = r"^(.*_\d{4}-\d{2}-\d{2}\.csv)"
 NAMED_DAYS = 31
 FILE_LIST = T.StructType(
     [
@@ -47,10 +48,10 @@ def _read_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType)
 def list_extracts(
     spark: SparkSession, source: str, entity: str, days: Sequence[date] | None = None
 ) -> DataFrame:
-    """Files of one entity as (date, _source_file, path); no content is read.
+    """Extracts of one entity as (date, _source_file, path); no content is read.
 
-    A few days are named in the listing itself, so that a daily run does not list
-    the extracts of every year.
+    A day of many part files is one row with the path of its folder. A few days are
+    named in the listing itself, so that a daily run does not list every year.
     """
     named = "*"
     if days is not None and 0 < len(days) <= NAMED_DAYS:
@@ -61,11 +62,16 @@ def list_extracts(
         if is_missing_path(error):
             return spark.createDataFrame([], FILE_LIST)
         raise
-    listed = files.select(
-        extract_date(F.col("path")).alias("date"),
-        _source_file(F.col("path")).alias("_source_file"),
-        "path",
-    ).where(F.col("date").isNotNull())
+    listed = (
+        files.select(F.regexp_extract("path", ROOT_PATTERN, 1).alias("path"))
+        .distinct()
+        .select(
+            extract_date(F.col("path")).alias("date"),
+            _source_file(F.col("path")).alias("_source_file"),
+            "path",
+        )
+        .where(F.col("date").isNotNull())
+    )
     return listed if days is None else listed.where(F.col("date").isin(list(days)))
 
 
