@@ -28,9 +28,9 @@ from ledgerstrata.operators.codes import code_lookup
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def _screened(bronze: DataFrame, codes: DataFrame) -> DataFrame:
+def _screened(bronze: DataFrame, codes: DataFrame, keep: Keep) -> DataFrame:
     """Rows with the verdicts that need no other transaction."""
-    lookup = code_lookup(codes, "debit_credit_indicator").select(
+    lookup = keep(code_lookup(codes, "debit_credit_indicator")).select(
         "transaction_code",
         F.col("debit_credit_indicator").alias("_indicator"),
         F.lit(True).alias("_code_known"),
@@ -138,10 +138,11 @@ def classify_transactions(
 
     `keep` may store an intermediate result and return a scan of it. The result
     is then planned with its true size: the rulings, being small next to the
-    batch, are broadcast and the batch itself is never shuffled by id. Left as it
-    is, the whole plan stays lazy and joins by whatever size Spark expects.
+    batch, are broadcast and the batch itself is never shuffled by id. Too large for
+    that, they meet the batch in a sort-merge join of two plain shuffles, the only
+    form AQE splits at hot keys. Without `keep` the plan stays lazy but has neither.
     """
-    screened = _screened(bronze, codes)
+    screened = _screened(bronze, codes, keep)
     order = F.struct(*tie_break, "_row_id")
     rulings = _rulings(screened, accepted_before, order, keep)
     earlier = F.col("_seen") | (F.col("_first_date") < F.col("date"))

@@ -51,8 +51,14 @@ class Ledger:
 
     @cached_property
     def classified(self) -> DataFrame:
+        return self.judge(self.transactions)
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        return TB.keep(rows, TB.shared_dir(self.spark, "kept"))
+
+    def judge(self, transactions: DataFrame, before: DataFrame | None = None) -> DataFrame:
         return TX.classify_transactions(
-            self.transactions, self.codes, self.known, tie_break=self.order
+            transactions, self.codes, self.keep(self.known), before, self.order, self.keep
         )
 
     def store(self) -> Ledger:
@@ -62,8 +68,7 @@ class Ledger:
         judging the transactions anew.
         """
         if "stored" not in self.__dict__:
-            path = TB.shared_dir(self.spark, "classified")
-            self.__dict__["classified"] = TB.keep(self.classified, path)
+            self.__dict__["classified"] = self.keep(self.classified)
             self.__dict__["stored"] = True
         return self
 
@@ -293,12 +298,8 @@ def transactions_classified(e: Events) -> DataFrame:
 def transactions_classified_rerun(e: Events) -> DataFrame:
     """The dates after the 20th, judged against the Silver ids of those before."""
     late = F.col("date") > F.lit(STALE_DAY)
-    before = TX.classify_transactions(
-        e.transactions.where(~late), e.codes, e.known, tie_break=e.order
-    ).where(F.col("_rejection_reason").isNull())
-    again = TX.classify_transactions(
-        e.transactions.where(late), e.codes, e.known, before, tie_break=e.order
-    )
+    before = e.judge(e.transactions.where(~late)).where(F.col("_rejection_reason").isNull())
+    again = e.judge(e.transactions.where(late), before)
     return again.select("seq", *_VERDICT, "_is_resolvable", "_rejection_reason")
 
 
