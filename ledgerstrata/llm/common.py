@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,14 @@ BUCKETS = 1024
 MAX_ROUNDS = 60
 
 
+def importable(df: DataFrame) -> None:
+    """Let Python workers import this package from where the driver has it, installed or not."""
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

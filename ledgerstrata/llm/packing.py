@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless, stored
+from .common import gapless, importable, stored
 
 #: Tokens of a sequence.
 ROOM = 2048
@@ -202,6 +202,7 @@ def pack(docs: DataFrame, room: int = ROOM, make=encoder) -> DataFrame:
     Only the counts of lengths (at most `room` numbers) reach the driver, which turns them into a recipe; each piece
     finds its sequence from its rank among the pieces of its length, ranked in buckets.
     """
+    importable(docs)
     cut = stored(pieces(docs, room, make))
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     place = places(recipe(counts, room))

@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, sharding, simhash
+from . import gam, mixing, packing, pages, rules, sharding, simhash, vectors
 from .common import table
 
 
+def op1_pivot_distance_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vectors.search(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 def op2_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 16)
 
 
+def op4_additive_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -26,12 +35,25 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return rules.judge(table(spark, sf_dir, "documents"), trusted)
+
+
+def op10_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pivot_distance_search,
         op2_hash_tree_sharding,
+        op4_additive_quality_classifier,
         op5_best_fit_packing,
         op6_mixing,
         op7_simhash_near_dedup,
+        op9_quality_rules,
+        op10_template_extraction,
     )
 }

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, importable, stored
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: A fingerprint has PARTS parts of 16 bits; fingerprints of equal population counts by part form tiles of TILE at most.
@@ -164,6 +164,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     null ones included, have fingerprint 0 and are linked like others. A null doc_id gets its component's least doc_id
     (null if there is none). Repeated rows stay. Only doc_id and text are read; an empty table gives no rows.
     """
+    importable(docs)
     rows = stored(fingerprints(docs))
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     found = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
