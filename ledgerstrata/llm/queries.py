@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import gam, mixing, packing, pages, rules, sharding, simhash, vectors
+from . import gam, mixing, packing, pages, rules, sharding, simhash, suffixes, vectors
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 16)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_additive_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_pivot_distance_search,
         op2_hash_tree_sharding,
+        op3_suffix_dedup,
         op4_additive_quality_classifier,
         op5_best_fit_packing,
         op6_mixing,
