@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import gam, mixing, packing, pages, rules, sharding, simhash, suffixes, vectors
+from . import gam, lines, mixing, packing, pages, rules, sharding, simhash, suffixes, vectors
 from .common import table
 
 
@@ -39,6 +40,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's remaining text and, in numbers, its lines, dropped copies and near lines, and links."""
+    thinned = lines.thin(table(spark, sf_dir, "documents"))
+    return thinned.select("doc_id", "text", *(F.col(c).alias(c[1:]) for c in lines.ADDED))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
     return rules.judge(table(spark, sf_dir, "documents"), trusted)
@@ -58,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_best_fit_packing,
         op6_mixing,
         op7_simhash_near_dedup,
+        op8_line_dedup,
         op9_quality_rules,
         op10_template_extraction,
     )
