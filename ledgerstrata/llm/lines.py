@@ -328,7 +328,7 @@ def links(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 #: Columns that `thin` adds: lines with a word, dropped copies, dropped near lines, links of the document's lines.
-ADDED = ("_n_lines", "_n_copies", "_n_near", "_n_links")
+ADDED = ("_llm_n_lines", "_llm_n_copies", "_llm_n_near", "_llm_n_links")
 
 
 def thin(docs: DataFrame, edits: int = EDITS) -> DataFrame:
@@ -358,8 +358,8 @@ def thin(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     marked = placed.join(notable, "h").select(
         "k", "pos", (~((F.col("k") == F.col("first_k")) & (F.col("pos") == F.col("first_pos")))).alias("copy"),
         F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).alias("links"))
-    listed = marked.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("pos", "copy", "near", "links")).alias("_marks"))
-    joined = docs.withColumn("_key", key).join(listed, F.col("_key") == F.col("_k"), "left").drop("_key", "_k")
+    listed = marked.groupBy(F.col("k").alias("_llm_k")).agg(F.collect_list(F.struct("pos", "copy", "near", "links")).alias("_llm_marks"))
+    joined = docs.withColumn("_llm_key", key).join(listed, F.col("_llm_key") == F.col("_llm_k"), "left").drop("_llm_key", "_llm_k")
     text, kinds = docs.columns.index("text"), joined.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,7 +43,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's remaining text and, in numbers, its lines, dropped copies and near lines, and links."""
     thinned = lines.thin(table(spark, sf_dir, "documents"))
-    return thinned.select("doc_id", "text", *(F.col(c).alias(c[1:]) for c in lines.ADDED))
+    return thinned.select("doc_id", "text", *(F.col(c).alias(c.removeprefix("_llm_")) for c in lines.ADDED))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,5 +182,5 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Repeated rows of one doc_id are one document and stay or go together.
     """
     found = near_duplicates(docs, radius).where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.isnull("component_id")))
-    lead = found.select(F.col("doc_id").alias("_lead")).distinct()
-    return docs.join(lead, docs["doc_id"].eqNullSafe(lead["_lead"]), "left_semi")
+    lead = found.select(F.col("doc_id").alias("_llm_lead")).distinct()
+    return docs.join(lead, docs["doc_id"].eqNullSafe(lead["_llm_lead"]), "left_semi")

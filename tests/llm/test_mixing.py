@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from ledgerstrata.llm import mixing
+
+from . import edge
+
+
+def fill(sizes, weights, total, most=2):
+    """Water filling step by step: capped sources leave, the excess is shared again by weight."""
+    goal, open_, left = {}, dict(weights), total
+    while open_:
+        level = left / sum(open_.values())
+        over = [s for s in open_ if level * open_[s] > most * sizes[s] + 1e-9]
+        if not over:
+            return goal | {s: level * w for s, w in open_.items()}
+        for s in over:
+            goal[s] = most * sizes[s]
+            left -= goal[s]
+            del open_[s]
+    return goal
+
+
+def test_rows(spark):
+    given = edge.rows(edge.docs(spark))
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+    sizes = defaultdict(int)
+    for r in given:
+        sizes[r["source"]] += size(r)
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    goal = fill(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}, 1.5 * sum(sizes.values()))
+    found = edge.rows(mixing.mix(edge.docs(spark)))
+    assert Counter((r["doc_id"], r["source"], size(r)) for r in given) == Counter((r["doc_id"], r["source"], r["size"]) for r in found)
+    for r in found:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(goal[r["source"]])
+        rate = r["target"] / r["source_size"] if r["source_size"] else 0
+        name = "null" if r["doc_id"] is None else r["doc_id"]
+        u = int(hashlib.md5(f"mix-1:{name}".encode()).hexdigest()[:13], 16) / 2**52
+        assert r["copies"] == int(rate) + (u < rate - int(rate)) and r["taken"] == r["size"] * r["copies"] <= 2 * r["size"]
+    assert sum({r["source"]: r["target"] for r in found}.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
+def test_each_source_comes_near_its_target(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sums = mixing.mix(docs).groupBy("source").agg({"target": "max", "taken": "sum"}).collect()
+    assert all(abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.15 for r in sums)
+
+
+def test_repeat_keeps_columns_and_counts(spark):
+    docs = edge.docs(spark)
+    taken = Counter()
+    for r in edge.rows(mixing.mix(docs)):
+        taken[r["doc_id"]] += r["copies"]
+    out = mixing.repeat(docs)
+    assert out.columns == docs.columns
+    got = Counter(r["doc_id"] for r in edge.rows(out))
+    assert {i: n for i, n in got.items() if i is not None} == {i: n for i, n in taken.items() if n and i is not None}
+
+
+def test_empty_and_no_words(spark):
+    assert mixing.mix(edge.empty(spark)).collect() == []
+    blank = spark.createDataFrame([(1, None, "en", "a", 0), (2, " ", "en", None, 1)], edge.SCHEMA)
+    assert {(r["size"], r["target"], r["taken"]) for r in mixing.mix(blank).collect()} == {(0, 0.0, 0)}
+
+
+def test_all_sources_at_their_caps(spark):
+    rows = [(i, "w " * 10, "en", f"s{i}", 20) for i in range(4)]
+    got = {r["source"]: r["target"] for r in mixing.mix(spark.createDataFrame(rows, edge.SCHEMA)).collect()}
+    assert got == pytest.approx(fill({f"s{i}": 10 for i in range(4)}, {"s0": 5, "s1": 2, "s2": 1, "s3": 5}, 60))

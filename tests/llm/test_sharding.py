@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from ledgerstrata.llm.sharding import shard, shard_of, tree
+
+from . import edge
+
+
+def test_rows(spark):
+    given, found = edge.rows(edge.docs(spark)), edge.rows(shard(edge.docs(spark), 16))
+    data = lambda r: (r["text"] or "").encode()
+    assert Counter((r["doc_id"], len(data(r)) + 1, zlib.crc32(data(r))) for r in given) == Counter(
+        (r["doc_id"], r["size"], r["text_crc32"]) for r in found)
+    slots = {}
+    for r in found:
+        assert r["law"] == "key" and 0 <= r["shard"] < 16
+        assert r["grown_shard"] in (r["shard"], 16)
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_empty(spark):
+    assert shard(edge.empty(spark), 16).collect() == []
+
+
+def test_shares_follow_weights(spark):
+    weights = [1, 2, 3, 0, 5, 1]
+    n = 40_000
+    got = spark.range(n).select(shard_of(F.col("id"), 6, weights).alias("s")).groupBy("s").count().collect()
+    got = {r["s"]: r["count"] for r in got}
+    assert 3 not in got
+    assert all(abs(got[i] / n - w / 12) < 0.01 for i, w in enumerate(weights) if w)
+
+
+def test_growth_moves_into_the_changed_leaf_only(spark):
+    ids = spark.range(5000)
+    for n in (1, 4, 7, 8, 16, 20):
+        both = ids.select(shard_of(F.col("id"), n).alias("a"), shard_of(F.col("id"), n + 1).alias("b"))
+        moved = both.where("a <> b")
+        assert moved.where(f"b <> {n}").isEmpty()
+        assert abs(moved.count() / 5000 - 1 / (n + 1)) < 0.03
+
+
+def test_a_larger_weight_only_gains(spark):
+    ids = spark.range(5000)
+    more = [1.0] * 5 + [2.5] + [1.0] * 4
+    both = ids.select(shard_of(F.col("id"), 10).alias("a"), shard_of(F.col("id"), 10, more).alias("b"))
+    assert both.where("a <> b and b <> 5").isEmpty() and not both.where("a <> b").isEmpty()
+
+
+def test_tree():
+    assert tree(10) == [[[0, 1, 2, 3], [4, 5, 6, 7]], [[8, 9]]]
