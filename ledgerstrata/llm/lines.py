@@ -15,12 +15,14 @@ from .textstats import BLANKS
 
 #: Edits (inserted, deleted or changed characters) between near lines; shorter lines are compared for equality only.
 EDITS, MIN_CHARS = 2, 24
-#: A key of more lines than this (or than 1/500,000 of all key rows) is refined by a second segment, and so on.
-HOT, HOT_SHARE, DEEPEST = 2000, 500_000, 4
+#: A key of more lines than this is refined by a second segment, and so on; the last round takes any number.
+HOT, DEEPEST = 2000, 4
 #: Lines to be verified are found by a broadcast up to this many (16 MB); beyond it by a shuffle of lines.
 BROADCAST_LINES = 1_000_000
 #: Cells of character matrices verified at once.
 CELLS = 1 << 21
+#: Pairs of a key verified at once.
+BATCH = 20_000
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
@@ -234,71 +236,74 @@ def _keyed(docs: DataFrame, edits: int, hot: frozenset[int]) -> DataFrame:
     return docs.select("k", "text").mapInArrow(run, "key long, own boolean, h long")
 
 
-def _met(keyed: DataFrame, hot: int | None) -> DataFrame:
-    """(a, b, key): pairs of lines that share a key, at least one of them by its own segment.
+def _meetings(keyed: DataFrame, hot: int | None) -> DataFrame:
+    """(key, own, h): the lines of keys that two lines share, at least one of them by its own segment.
 
-    A key of more than `hot` rows gives one row (null, null, key) instead.
+    A key of more than `hot` lines gives one row with a null h instead.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own, probing, over = None, [], [], False
-
-        def pairs() -> list[tuple]:
-            if over:
-                return [(None, None, last)]
-            found = [(a, b) for i, a in enumerate(own) for b in own[:i]] + [(a, b) for a in own for b in probing]
-            return [(min(x), max(x), None) for x in found if x[0] != x[1]]
+        rest = [np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)]
+
+        def met(key: np.ndarray, own: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+            sizes = np.diff(np.append(starts, len(key)))
+            over = sizes > hot if hot else np.zeros(len(sizes), bool)
+            # A line that owns a segment and probes with it at another place is once in a key: `of` keeps one of them.
+            kept = np.repeat((sizes > 1) & own[starts] & ~over, sizes)
+            full = key[starts[over]]
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([key[kept], full])), pa.array(np.concatenate([own[kept], np.ones(len(full), bool)])),
+                pa.array([*h[kept].tolist(), *[None] * len(full)], pa.int64()),
+            ], ["key", "own", "h"])
 
         for b in batches:
-            out: list[tuple] = []
-            for key, mine, h in _rows(b):
-                if key != last:
-                    if len(own) + len(probing) > 1 and own:
-                        out += pairs()
-                    last, own, probing, over = key, [], [], False
-                if hot and len(own) + len(probing) >= hot:
-                    over = True
-                elif mine:
-                    if not own or own[-1] != h:
-                        own.append(h)
-                elif own and (not probing or probing[-1] != h):
-                    probing.append(h)
-            yield table(out)
-        if own:
-            yield table(pairs())
-
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows, strict=True) if rows else ((),) * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "key"])
+            found = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, b.columns, strict=True)]
+            key, own, h = found
+            if not len(key):
+                continue
+            # The same line from several tasks stands in a row.
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (h[1:] != h[:-1]) | (own[1:] != own[:-1])])
+            key, own, h = key[new], own[new], h[new]
+            last = int(np.searchsorted(key, key[-1]))
+            rest = [c[last:] if hot is None else c[last : last + hot + 1] for c in (key, own, h)]
+            yield met(key[:last], own[:last], h[:last])
+        yield met(*rest)
 
     dealt = keyed.repartition("key").sortWithinPartitions("key", F.desc("own"), "h")
-    return dealt.mapInArrow(run, "a long, b long, key long")
+    return dealt.mapInArrow(run, "key long, own boolean, h long")
+
 
+def candidates(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, frozenset[int]]:
+    """The lines of keys in which lines meet, as (key, own, h), and the keys that were refined.
 
-def candidates(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, b), a < b: hashes of different lines that share a segment key and so may be within `edits`."""
+    Lines within `edits` of each other meet in at least one key. Rows are lines in keys, not pairs.
+    """
     hot: frozenset[int] = frozenset()
     parts = []
     for depth in range(DEEPEST):
-        keyed = _keyed(docs, edits, hot)
-        limit = None if depth == DEEPEST - 1 else HOT
-        met = stored(_met(keyed, limit))
-        parts.append(met.where("key is null").select("a", "b"))
+        met = stored(_meetings(_keyed(docs, edits, hot), None if depth == DEEPEST - 1 else HOT))
+        parts.append(met.where("h is not null"))
         # At most 1/HOT of the key rows, each a 64-bit number.
-        more = {r["key"] for r in met.where("key is not null").select("key").collect()}
+        more = {r["key"] for r in met.where("h is null").select("key").collect()}
         if not more:
             break
         hot |= more
-    pairs = parts[0]
+    members = parts[0]
     for part in parts[1:]:
-        pairs = pairs.union(part)
-    return stored(pairs.distinct())
+        members = members.union(part)
+    return members, hot
+
 
+def links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(h, links, near): lines with others within `edits`: how many, and whether one of them begins earlier.
 
-def links(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, b), a < b: hashes of different lines within `edits` of each other."""
-    pairs = candidates(docs, edits)
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct())
+    `firsts` has for each line its first place (h, first). The lines of a key are compared in the task that holds the
+    key; what leaves it is a row for each line, however many of them are near. A pair that meets in several keys counts
+    in the least of them.
+    """
+    members, hot = candidates(docs, edits)
+    wanted = stored(members.select(F.col("h").alias("w")).distinct())
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
 
     def spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,17 +319,60 @@ def links(docs: DataFrame, edits: int = EDITS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(found, pa.string())], ["h", "line"])
 
     texts = docs.select("k", "text").mapInArrow(spoken, "h long, line string")
-    known = stored(texts.join(side, F.col("h") == F.col("w"), "left_semi").groupBy("h").agg(F.min("line").alias("line")))
-    left = known.select(F.col("h").alias("a"), F.col("line").alias("left"))
-    right = known.select(F.col("h").alias("b"), F.col("line").alias("right"))
+    known = texts.join(side, F.col("h") == F.col("w"), "left_semi").groupBy("h").agg(F.min("line").alias("line"))
+    told = stored(known.join(firsts.select("h", "first"), "h"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker, last, group = Keys(edits, hot), None, []
+        pairs: list[tuple[int, tuple, tuple]] = []
         for b in batches:
-            near = within(list(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)), edits)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in b.columns[:2]], ["a", "b"])
-
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return stored(both.mapInArrow(verify, "a long, b long"))
+            for key, own, h, line, first in _rows(b):
+                if key != last:
+                    for pair in _within_length(group, edits):
+                        pairs.append((last, *pair))
+                        if len(pairs) == BATCH:
+                            yield _settled(pairs, edits, maker)
+                            pairs = []
+                    last, group = key, []
+                group.append((own, h, line, (first["doc_id"] is not None, first["doc_id"] or 0, first["k"], first["pos"])))
+        pairs += [(last, *pair) for pair in _within_length(group, edits)]
+        for at in range(0, len(pairs), BATCH):
+            yield _settled(pairs[at : at + BATCH], edits, maker)
+
+    both = members.join(told, "h").select("key", "own", "h", "line", "first")
+    dealt = both.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(compare, "h long, links long, near boolean").groupBy("h").agg(
+        F.sum("links").alias("links"), F.max("near").alias("near"))
+
+
+def _within_length(group: list[tuple], edits: int) -> Iterator[tuple[tuple, tuple]]:
+    """Pairs of a key's lines (own, h, line, first) whose lengths allow `edits`, one of them by its own segment."""
+    group = sorted(group, key=lambda g: (len(g[2]), g[1]))
+    for i, b in enumerate(group):
+        for a in reversed(group[:i]):
+            if len(b[2]) - len(a[2]) > edits:
+                break
+            if a[0] or b[0]:
+                yield a, b
+
+
+def _settled(pairs: list[tuple[int, tuple, tuple]], edits: int, maker: Keys) -> pa.RecordBatch:
+    """(h, links, near) of the lines in near pairs (key, a, b) that have no smaller key in common."""
+    found: dict[int, tuple[int, bool]] = {}
+    keys: dict[int, dict[int, bool]] = {}
+    for (key, a, b), near in zip(pairs, within([(a[2], b[2]) for _, a, b in pairs], edits), strict=True):
+        if near:
+            for x in (a, b):
+                if x[1] not in keys:
+                    keys[x[1]] = maker.of(x[2])
+            ka, kb = keys[a[1]], keys[b[1]]
+            if min(k for k in ka if k in kb and (ka[k] or kb[k])) == key:
+                for x, y in ((a, b), (b, a)):
+                    n, earlier = found.get(x[1], (0, False))
+                    found[x[1]] = (n + 1, earlier or y[3] < x[3])
+    return pa.RecordBatch.from_pydict({
+        "h": pa.array(list(found), pa.int64()), "links": pa.array([n for n, _ in found.values()], pa.int64()),
+        "near": pa.array([x for _, x in found.values()], pa.bool_())})
 
 
 #: Columns that `thin` adds: lines with a word, dropped copies, dropped near lines, links of the document's lines.
@@ -345,14 +393,7 @@ def thin(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     keyed = docs.select(key.alias("k"), "text", "doc_id")
     placed = stored(_placed(keyed))
     firsts = stored(placed.groupBy("h").agg(F.min(F.struct("doc_id", "k", "pos")).alias("first"), F.count("*").alias("n")))
-    near = links(keyed, edits)
-    a = firsts.select(F.col("h").alias("a"), F.col("first").alias("first_a"))
-    b = firsts.select(F.col("h").alias("b"), F.col("first").alias("first_b"))
-    sides = near.join(a, "a").join(b, "b").select(F.explode(F.array(
-        F.struct(F.col("a").alias("h"), (F.col("first_a") > F.col("first_b")).alias("later")),
-        F.struct(F.col("b").alias("h"), (F.col("first_b") > F.col("first_a")).alias("later")),
-    )).alias("s")).select("s.*")
-    linked = sides.groupBy("h").agg(F.count("*").alias("links"), F.max("later").alias("near"))
+    linked = links(keyed, firsts, edits)
     notable = firsts.join(linked, "h", "left").where("n > 1 or links is not null").select(
         "h", F.col("first.k").alias("first_k"), F.col("first.pos").alias("first_pos"), "links", "near")
     marked = placed.join(notable, "h").select(
