@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerstrata import schemas as S
 from ledgerstrata.functions.scalars import (
@@ -41,29 +42,32 @@ def daily_totals(silver: DataFrame, codes: DataFrame) -> DataFrame:
     by_type = []
     for name in S.TRANSACTION_TYPES:
         count_name, sum_name = _type_columns(name)
-        by_type.append(F.coalesce(sum_when(kind == name, F.col("n")), F.lit(0)).cast("int").alias(count_name))
+        by_type.append(F.coalesce(sum_when(kind == name, F.col("n")), F.lit(0)).cast("long").alias(count_name))
         by_type.append(gold_money_or_zero(sum_when(kind == name, F.col("signed"))).alias(sum_name))
     return (
         per_code.join(code_lookup(codes, "transaction_type"), "transaction_code", "left")
         .groupBy("transaction_date")
         .agg(
-            F.sum("n").cast("int").alias("total_transactions"),
+            F.sum("n").alias("total_transactions"),
             gold_money_or_zero(F.sum("signed")).alias("total_signed_amount"),
             *by_type,
-            F.sum("online").cast("int").alias("online_transactions"),
-            F.sum("instore").cast("int").alias("instore_transactions"),
+            F.sum("online").alias("online_transactions"),
+            F.sum("instore").alias("instore_transactions"),
         )
     )
 
 
-def with_source_period(daily: DataFrame, silver: DataFrame) -> DataFrame:
-    """Add the first and last Silver date, from one scan of the date column."""
-    day = "transaction_date"
-    period = silver.select(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+def with_source_period(daily: DataFrame) -> DataFrame:
+    """Add the first and last Silver date to every row.
+
+    `daily` has a row for every date of Silver, so its own dates say it without another
+    scan; the window holds one row per date.
+    """
+    day, everything = F.col("transaction_date"), Window.partitionBy()
     return daily.withColumns(
         {
-            "_source_period_start": period.getField("first"),
-            "_source_period_end": period.getField("last"),
+            "_source_period_start": F.min(day).over(everything),
+            "_source_period_end": F.max(day).over(everything),
         }
     )
 
@@ -79,7 +83,7 @@ def gold_daily_summary(
             F.struct(F.col(count_name).alias("count"), F.col(sum_name).alias("sum")).alias(name)
         )
     return (
-        with_source_period(daily_totals(silver, codes), silver)
+        with_source_period(daily_totals(silver, codes))
         .withColumns(
             {
                 "transactions_by_type": F.struct(*cells),
@@ -112,7 +116,7 @@ def weekly_totals(silver: DataFrame, codes: DataFrame) -> DataFrame:
             "account_id",
         )
         .agg(
-            purchases.cast("int").alias("total_purchases"),
+            purchases.alias("total_purchases"),
             gold_money(mean).alias("avg_purchase_amount"),
             gold_money_or_zero(sum_when(kind == "PAYMENT", amount)).alias("total_payments"),
             gold_money_or_zero(sum_when(kind == "FEE", amount)).alias("total_fees"),

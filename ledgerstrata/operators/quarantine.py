@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstrata import schemas as S
@@ -31,16 +31,20 @@ def quarantine_accounts(classified: DataFrame, run_id: str, now: datetime) -> Da
 
 
 def quarantine_all(transactions: DataFrame | None, accounts: DataFrame | None) -> DataFrame:
-    """All rejects by column name; a field an entity lacks is NULL."""
-    parts = [
+    """All rejects by column name; a field an entity lacks is NULL.
+
+    The schema is always that of both entities, whichever of them has rejects yet.
+    """
+    spark = SparkSession.active()
+    if transactions is None:
+        transactions = spark.createDataFrame([], S.QUARANTINE_TRANSACTIONS)
+    if accounts is None:
+        accounts = spark.createDataFrame([], S.QUARANTINE_ACCOUNTS)
+    named = [
         rows.withColumn("entity", F.lit(entity))
         for entity, rows in (("transactions", transactions), ("accounts", accounts))
-        if rows is not None
     ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part, allowMissingColumns=True)
-    return united
+    return named[0].unionByName(named[1], allowMissingColumns=True)
 
 
 def rejection_summary(rejects: DataFrame) -> DataFrame:

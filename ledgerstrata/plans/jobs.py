@@ -33,6 +33,7 @@ from ledgerstrata.plans.lake import Lake, on_dates
 from ledgerstrata.sources import extracts
 from ledgerstrata.sources.tables import (
     Scratch,
+    current_path,
     drop_partitions,
     evenly_sized,
     replace_partitions,
@@ -134,7 +135,7 @@ def bronze_actions(lake: Lake, entity: str, files: DataFrame) -> dict[date, str]
     bronze_rows = rows_per_date(stored, "bronze_rows")
     present = _days(bronze_rows)
     recount = [path for path, day in paths.items() if day in present]
-    source = extracts.scan_extracts(lake.spark, recount, _SOURCE_SCHEMAS[entity])
+    source = extracts.scan_extracts(lake.spark, recount, _SOURCE_SCHEMAS[entity], lake.multi_line)
     plan = load_plan(rows_per_date(source, "source_rows"), bronze_rows)
     # A file that shrank to its header has no count of its own: rewrite it.
     stale = F.col("source_rows").isNull()
@@ -151,10 +152,10 @@ def load_bronze(run: Run, entity: str, days: list[date]) -> list[Outcome]:
     path = lake.path("bronze", entity)
     if todo:
         paths = [row["path"] for row in on_dates(files, todo).collect()]
-        rows = extracts.scan_extracts(lake.spark, paths, _SOURCE_SCHEMAS[entity])
-        drop_partitions(lake.spark, path, todo)
+        rows = extracts.scan_extracts(lake.spark, paths, _SOURCE_SCHEMAS[entity], lake.multi_line)
         # A CSV split belongs to one day, so no shuffle is needed to group days.
         replace_partitions(with_bronze_audit(rows, run.run_id, run.now), path)
+        drop_emptied(run, path, lake.bronze(entity), "_ingested_at", todo)
     counts = _counts(on_dates(lake.bronze(entity), actions))
     outcomes = []
     for day in days:
@@ -168,6 +169,30 @@ def load_bronze(run: Run, entity: str, days: list[date]) -> list[Outcome]:
     return outcomes
 
 
+def drop_emptied(run: Run, path: str, table: DataFrame, stamp: str, days: Iterable[date]) -> None:
+    """Drop what the days held before where the run has written no row for them.
+
+    The write replaces the partitions of its rows; a day that has none left would keep
+    its old ones.
+    """
+    own = (F.col("_pipeline_run_id") == run.run_id) & (F.col(stamp) == F.lit(run.now))
+    drop_partitions(run.lake.spark, path, set(days) - _days(on_dates(table, days).where(own)))
+
+
+def load_isolated(run: Run, entity: str, days: list[date]) -> list[Outcome]:
+    """`load_bronze`, with a broken extract failing its own date only.
+
+    All days are one job; if that fails, its halves are tried, down to the broken days.
+    """
+    try:
+        return load_bronze(run, entity, days)
+    except Exception as error:  # any fault of a file is its date's fault
+        if len(days) == 1:
+            return [Outcome(days[0], S.FAILED, error=str(error))]
+        half = len(days) // 2
+        return load_isolated(run, entity, days[:half]) + load_isolated(run, entity, days[half:])
+
+
 def load_codes(run: Run) -> list[Outcome]:
     lake = run.lake
     source = extracts.scan_static(
@@ -176,8 +201,8 @@ def load_codes(run: Run) -> list[Outcome]:
     path = lake.path("bronze", "transaction_codes")
     expected = source.count()
     if table_exists(lake.spark, path):
-        tolerant = lake.spark.read.option("ignoreCorruptFiles", True)
-        if tolerant.schema(S.BRONZE_CODES).parquet(path).count() == expected:
+        tolerant = lake.spark.read.option("ignoreCorruptFiles", True).schema(S.BRONZE_CODES)
+        if tolerant.parquet(current_path(lake.spark, path)).count() == expected:
             return [Outcome(None, S.SKIPPED, expected, 0)]
     replace_table(with_bronze_audit(source, run.run_id, run.now), path)
     return [Outcome(None, S.SUCCESS, expected, expected)]
@@ -196,33 +221,42 @@ def build_codes(run: Run) -> list[Outcome]:
     return [Outcome(None, S.SUCCESS, n, n)]
 
 
-def follows_all(lake: Lake, days: list[date]) -> bool:
-    """True for one day later than every day whose accounts are in the snapshot."""
-    promoted = _days(runlog.succeeded_dates(lake.run_log(), "silver_accounts")) - set(days)
-    return len(days) == 1 and bool(promoted) and max(promoted) < days[0]
+def promoted_days(lake: Lake) -> set[date]:
+    """Days whose account deltas are in the snapshot."""
+    return _days(runlog.succeeded_dates(lake.run_log(), "silver_accounts"))
+
+
+def follows_all(promoted: set[date], days: list[date]) -> bool:
+    """True for one day later than every other day whose accounts are in the snapshot."""
+    others = promoted - set(days)
+    return len(days) == 1 and bool(others) and max(others) < days[0]
 
 
 def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
     """Bring the snapshot up to date; quarantine the given days' rejects.
 
     The day after all others only replaces the accounts it brings. Any other set of
-    days rebuilds the snapshot from all deltas, so the order of loading does not
-    show. A day without deltas is a success: the snapshot covers it all the same.
+    days rebuilds the snapshot from the deltas of these and all promoted days, so the
+    order of loading does not show. Deltas that a broken run left in Bronze for other days
+    wait for their own promotion. A day without deltas is a success: the snapshot covers
+    it all the same.
     """
     lake = run.lake
+    lake.require_built("silver_accounts", "silver", "accounts")
+    promoted = promoted_days(lake)
     bronze = lake.bronze("accounts")
     fresh = classify_accounts(on_dates(bronze, days))
-    if follows_all(lake, days):
+    if follows_all(promoted, days):
         delta = silver_accounts(passing_accounts(fresh), run.run_id, run.now)
         snapshot = upsert_accounts(lake.silver_accounts(), delta)
     else:
-        everything = passing_accounts(classify_accounts(bronze))
+        everything = passing_accounts(classify_accounts(on_dates(bronze, promoted | set(days))))
         snapshot = silver_accounts(everything, run.run_id, run.now)
     replace_table(snapshot, lake.path("silver", "accounts"))
     path = lake.path("silver", "accounts_rejected")
-    drop_partitions(lake.spark, path, days)
     rejects = quarantine_accounts(fresh, run.run_id, run.now)
     replace_partitions(evenly_sized(rejects, "date"), path)
+    drop_emptied(run, path, lake.rejected_accounts(), "_rejected_at", days)
     seen = _counts(on_dates(lake.bronze("accounts"), days))
     rejected = _counts(on_dates(lake.rejected_accounts(), days))
     return [
@@ -234,12 +268,15 @@ def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
 def known_accounts(lake: Lake, days: list[date]) -> DataFrame:
     """(account_id, known_from) as far as the given days can tell.
 
-    For the day after all others the snapshot is enough, one row per account;
-    other days need the date of each account's first delta.
+    Only promoted days count. For the day after all others the snapshot is enough, which
+    holds nothing later; other days need the date of each account's first delta.
     """
-    if follows_all(lake, days):
+    lake.require_built("silver_accounts", "silver", "accounts")
+    promoted = promoted_days(lake)
+    if follows_all(promoted, days):
         return lake.silver_accounts().select("account_id", F.lit(days[0]).alias("known_from"))
-    return first_sightings(passing_accounts(classify_accounts(lake.bronze("accounts"))))
+    deltas = on_dates(lake.bronze("accounts"), promoted | set(days))
+    return first_sightings(passing_accounts(classify_accounts(deltas)))
 
 
 def require_accounts_ready(lake: Lake, days: list[date]) -> None:
@@ -258,6 +295,7 @@ def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
     """
     lake = run.lake
     require_accounts_ready(lake, days)
+    lake.require_built("silver_transaction_codes", "silver", "transaction_codes")
     done = runlog.succeeded_dates(lake.run_log(), "silver_transactions")
     others = _days(done) - set(days)
     accepted_before = on_dates(lake.silver_transactions(), others) if others else None
@@ -270,14 +308,15 @@ def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
             keep=scratch.keep,
         )
         outcome = split_by_disposition(classified, run.run_id, run.now)
-        for disposition in (S.ACCEPTED, S.REJECTED):
-            drop_partitions(lake.spark, lake.outcome_path(disposition), days)
         replace_partitions(
             evenly_sized(outcome, "disposition", "date"),
             lake.path("silver", "transactions"),
             "disposition",
             "date",
         )
+        accepted, rejected = lake.outcome_path(S.ACCEPTED), lake.outcome_path(S.REJECTED)
+        drop_emptied(run, accepted, lake.silver_transactions(), "_promoted_at", days)
+        drop_emptied(run, rejected, lake.rejected_transactions(), "_rejected_at", days)
     checked = reconcile(
         on_dates(lake.bronze("transactions"), days),
         on_dates(lake.silver_transactions(), days),
@@ -344,6 +383,12 @@ def publish_gold(run: Run, days: list[date]) -> bool:
     return all(run.attempt(model, logged, lambda m=model: build(m)) for model in tables)
 
 
+def failed_days(run: Run, model: str) -> set[date]:
+    """Dates whose attempt in this run failed."""
+    log = run.lake.run_log().where((F.col("run_id") == run.run_id) & (F.col("model_name") == model))
+    return _days(log.where(F.col("status") == S.FAILED).withColumnRenamed("processing_date", "date"))
+
+
 def advance_watermark(run: Run) -> date | None:
     """Move the watermark to the last date before the first open one."""
     mark = runlog.watermark_from_log(run.lake.run_log()).first()
@@ -359,10 +404,15 @@ def advance_watermark(run: Run) -> date | None:
 def _process(run: Run, days: list[date]) -> date | None:
     """Bronze, Silver, Gold and watermark for the given days; None if held back."""
     lake = run.lake
+    mark = runlog.read_watermark(lake.spark, lake.control_path)
+    asked = days
     for entity in ("accounts", "transactions"):
-        loaded = run.attempt(f"bronze_{entity}", days, lambda e=entity: load_bronze(run, e, days))
+        loaded = run.attempt(f"bronze_{entity}", days, lambda e=entity: load_isolated(run, e, days))
         if not loaded:
-            return None
+            # A broken extract costs its own date; the others go on.
+            days = sorted(set(days) - failed_days(run, f"bronze_{entity}"))
+    if not days:
+        return None
     done = _days(runlog.succeeded_dates(lake.run_log(), "silver_transactions"))
     arrived = _days(extracts.list_extracts(lake.spark, lake.source, "transactions", days))
     batch = sorted(arrived - done)
@@ -381,7 +431,8 @@ def _process(run: Run, days: list[date]) -> date | None:
         run.log("silver_quarantine", _now(), [Outcome(day, S.SUCCESS) for day in batch])
     if not publish_gold(run, days):
         return None
-    return advance_watermark(run)
+    reached = advance_watermark(run)
+    return reached if days == asked or reached != mark else None
 
 
 def run_historical(

@@ -35,6 +35,8 @@ class Lake:
     spark: SparkSession
     root: str
     source: str
+    #: Whether extracts may hold line breaks inside quotes; each file is then one task's.
+    multi_line: bool = False
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -56,6 +58,14 @@ class Lake:
     def bronze_codes(self) -> DataFrame:
         return scan_table(self.spark, self.path("bronze", "transaction_codes"), S.BRONZE_CODES)
 
+    def require_built(self, model: str, *parts: str) -> None:
+        """An absent state table is an error once the log says that it was built."""
+        if table_exists(self.spark, self.path(*parts)):
+            return
+        built = (F.col("model_name") == model) & (F.col("status") == S.SUCCESS)
+        if not self.run_log().where(built).isEmpty():
+            raise RuntimeError(f"table {'/'.join(parts)} is missing although {model} has built it")
+
     def silver_codes(self) -> DataFrame:
         return scan_table(self.spark, self.path("silver", "transaction_codes"), S.SILVER_CODES)
 
@@ -93,14 +103,7 @@ class Lake:
 
     def quarantine(self) -> DataFrame:
         """All rejects of both entities; typed and empty while there are none."""
-        paths = (self.outcome_path(S.REJECTED), self.path("silver", "accounts_rejected"))
-        found = [table_exists(self.spark, path) for path in paths]
-        if not any(found):
-            return self.spark.createDataFrame([], S.QUARANTINE_EMPTY)
-        return quarantine_all(
-            self.rejected_transactions() if found[0] else None,
-            self.rejected_accounts() if found[1] else None,
-        )
+        return quarantine_all(self.rejected_transactions(), self.rejected_accounts())
 
     def gold_daily(self) -> DataFrame:
         return scan_table(self.spark, self.path("gold", "daily_summary"), S.GOLD_DAILY)

@@ -111,16 +111,16 @@ def _daily(name: str, source: str, flag: str = "_is_resolvable") -> str:
     parts = []
     for kind in S.TRANSACTION_TYPES:
         match = f"FILTER (WHERE {flag} AND transaction_type = '{kind}')"
-        parts.append(f"CAST(COUNT(*) {match} AS INTEGER) AS {kind.lower()}_count")
+        parts.append(f"CAST(COUNT(*) {match} AS BIGINT) AS {kind.lower()}_count")
         parts.append(
             f"CAST(COALESCE(SUM(_signed_amount) {match}, 0) AS DECIMAL(18,3)) AS {kind.lower()}_sum"
         )
     return f"""{name} AS (
-  SELECT transaction_date, CAST(COUNT(*) FILTER (WHERE {flag}) AS INTEGER) AS total_transactions,
+  SELECT transaction_date, CAST(COUNT(*) FILTER (WHERE {flag}) AS BIGINT) AS total_transactions,
          CAST(COALESCE(SUM(_signed_amount) FILTER (WHERE {flag}), 0) AS DECIMAL(18,3)) AS total_signed_amount,
          {", ".join(parts)},
-         CAST(COUNT(*) FILTER (WHERE {flag} AND channel = 'ONLINE') AS INTEGER) AS online_transactions,
-         CAST(COUNT(*) FILTER (WHERE {flag} AND channel = 'IN_STORE') AS INTEGER) AS instore_transactions
+         CAST(COUNT(*) FILTER (WHERE {flag} AND channel = 'ONLINE') AS BIGINT) AS online_transactions,
+         CAST(COUNT(*) FILTER (WHERE {flag} AND channel = 'IN_STORE') AS BIGINT) AS instore_transactions
   FROM {source} s LEFT JOIN codes c ON s.transaction_code = c.transaction_code
   GROUP BY transaction_date)"""
 
@@ -137,7 +137,7 @@ def _weekly(name: str, source: str) -> str:
     return f"""{name} AS (
   SELECT CAST(DATE_TRUNC('week', transaction_date) AS DATE) AS week_start_date,
          CAST(DATE_TRUNC('week', transaction_date) AS DATE) + 6 AS week_end_date, account_id,
-         CAST(COUNT(*) {bought} AS INTEGER) AS total_purchases, {mean} AS avg_purchase_amount,
+         CAST(COUNT(*) {bought} AS BIGINT) AS total_purchases, {mean} AS avg_purchase_amount,
          {money('PAYMENT')} AS total_payments, {money('FEE')} AS total_fees,
          {money('INTEREST')} AS total_interest
   FROM {source} s LEFT JOIN codes c ON s.transaction_code = c.transaction_code

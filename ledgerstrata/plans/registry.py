@@ -161,6 +161,7 @@ def dump_extracts(rows: DataFrame, entity: str, columns: list[str], folder: str)
         .write.mode("append")
         .partitionBy("extract")
         .option("header", True)
+        .option("escape", '"')
         .csv(folder)
     )
 
@@ -339,7 +340,6 @@ def _rejection_summary_accounts(e: Events) -> DataFrame:
 @query()
 def gold_daily_summary(e: Events) -> DataFrame:
     """The daily table with its nested entries spread over columns."""
-    e.store()
     table = GD.gold_daily_summary(e.silver, e.codes, A.RUN_ID, A.RUN_TIME)
     cells = []
     for kind in S.TRANSACTION_TYPES:

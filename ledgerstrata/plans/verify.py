@@ -33,7 +33,7 @@ def lake_metrics(lake: Lake) -> DataFrame:
 def _extract_rows(lake: Lake, entity: str, last: date) -> DataFrame:
     schema = {"transactions": S.TRANSACTION_SOURCE, "accounts": S.ACCOUNT_SOURCE}[entity]
     files = EX.list_extracts(lake.spark, lake.source, entity).where(F.col("date") <= F.lit(last))
-    return EX.scan_extracts(lake.spark, [row["path"] for row in files.collect()], schema)
+    return EX.scan_extracts(lake.spark, [row["path"] for row in files.collect()], schema, lake.multi_line)
 
 
 def lake_checks(lake: Lake, last: date, earlier_metrics: DataFrame | None = None) -> DataFrame:

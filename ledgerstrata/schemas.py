@@ -142,7 +142,6 @@ _REJECT_AUDIT = (
 QUARANTINE_TRANSACTIONS = _extend(TRANSACTION_SOURCE, *_REJECT_AUDIT, _DATE)
 QUARANTINE_ACCOUNTS = _extend(ACCOUNT_SOURCE, *_REJECT_AUDIT, _DATE)
 # The shape of the union of rejects while there is nothing to unite.
-QUARANTINE_EMPTY = _extend(T.StructType([]), *_REJECT_AUDIT)
 
 # Accepted and rejected transactions are written by one job into one tree,
 # split by `disposition`. Rejects keep the two parsed fields as raw text.
@@ -150,19 +149,19 @@ ACCEPTED, REJECTED = "accepted", "rejected"
 RAW_FIELDS = {"transaction_date": "_raw_transaction_date", "amount": "_raw_amount"}
 
 _TYPE_CELL = T.StructType(
-    [T.StructField("count", T.IntegerType()), T.StructField("sum", GOLD_MONEY)]
+    [T.StructField("count", T.LongType()), T.StructField("sum", GOLD_MONEY)]
 )
 GOLD_DAILY = T.StructType(
     [
         T.StructField("transaction_date", T.DateType()),
-        T.StructField("total_transactions", T.IntegerType()),
+        T.StructField("total_transactions", T.LongType()),
         T.StructField("total_signed_amount", GOLD_MONEY),
         T.StructField(
             "transactions_by_type",
             T.StructType([T.StructField(t, _TYPE_CELL) for t in TRANSACTION_TYPES]),
         ),
-        T.StructField("online_transactions", T.IntegerType()),
-        T.StructField("instore_transactions", T.IntegerType()),
+        T.StructField("online_transactions", T.LongType()),
+        T.StructField("instore_transactions", T.LongType()),
         T.StructField("_computed_at", T.TimestampType()),
         T.StructField("_pipeline_run_id", T.StringType()),
         T.StructField("_source_period_start", T.DateType()),
@@ -174,7 +173,7 @@ GOLD_WEEKLY = T.StructType(
         T.StructField("week_start_date", T.DateType()),
         T.StructField("week_end_date", T.DateType()),
         T.StructField("account_id", T.StringType()),
-        T.StructField("total_purchases", T.IntegerType()),
+        T.StructField("total_purchases", T.LongType()),
         T.StructField("avg_purchase_amount", GOLD_MONEY),
         T.StructField("total_payments", GOLD_MONEY),
         T.StructField("total_fees", GOLD_MONEY),

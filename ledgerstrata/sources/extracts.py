@@ -17,8 +17,10 @@ from ledgerstrata.functions.scalars import extract_date
 from ledgerstrata.sources.tables import is_missing_path
 
 NAME_PATTERN = r"([A-Za-z]+_\d{4}-\d{2}-\d{2}\.csv)"
+DAY_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
+#: Prefix of a day's folder if extracts are written with `partitionBy("extract")`.
+WRITTEN = "extract="
 ROOT_PATTERN = r"^(.*_\d{4}-\d{2}-\d{2}\.csv)"
-NAMED_DAYS = 31
 FILE_LIST = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -28,19 +30,31 @@ FILE_LIST = T.StructType(
 )
 
 
+def _places(source: str, entity: str, named: str) -> str:
+    """Extracts by their exact names, also as written by a partitioned writer."""
+    return f"{source}/{{{entity},{WRITTEN}{entity}}}_{named}.csv"
+
+
 def _source_file(path: Column) -> Column:
     """Extract name inside a path; the bare file name for undated files."""
     named = F.regexp_extract(path, NAME_PATTERN, 1)
     return F.when(named == "", F.element_at(F.split(path, "/"), -1)).otherwise(named)
 
 
-def _read_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType) -> DataFrame:
+def _read_csv(
+    spark: SparkSession, paths: list[str] | str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     # enforceSchema=False makes Spark compare header names with the schema, so
-    # a file with moved or renamed columns fails instead of shifting values.
+    # a file with moved or renamed columns fails instead of shifting values. A
+    # doubled quote stands for one, and a row of too few or too many fields fails.
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .csv(paths)
     )
 
@@ -50,14 +64,15 @@ def list_extracts(
 ) -> DataFrame:
     """Extracts of one entity as (date, _source_file, path); no content is read.
 
-    A day of many part files is one row with the path of its folder. A few days are
-    named in the listing itself, so that a daily run does not list every year.
+    A day of many part files is one row with the path of its folder. The days asked
+    for are named in the listing itself, so that a daily run does not list every year.
+    Names must match in full: a stray `old_transactions_…` is no extract.
     """
-    named = "*"
-    if days is not None and 0 < len(days) <= NAMED_DAYS:
-        named = "{" + ",".join(day.isoformat() for day in days) + "}"
+    named = DAY_GLOB if days is None else "{" + ",".join(day.isoformat() for day in days) + "}"
+    if days is not None and not days:
+        return spark.createDataFrame([], FILE_LIST)
     try:
-        files = spark.read.format("binaryFile").load(f"{source}/*{entity}_{named}.csv")
+        files = spark.read.format("binaryFile").load(_places(source, entity, named))
     except Exception as error:
         if is_missing_path(error):
             return spark.createDataFrame([], FILE_LIST)
@@ -76,13 +91,17 @@ def list_extracts(
 
 
 def scan_extracts(
-    spark: SparkSession, paths: list[str] | str, schema: T.StructType
+    spark: SparkSession, paths: list[str] | str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """Rows of dated extracts with `_source_file` and the `date` of the file."""
+    """Rows of dated extracts with `_source_file` and the `date` of the file.
+
+    `multi_line` allows line breaks inside quotes; each file is then read by one task.
+    Without it such a row has too few fields and its day fails.
+    """
     if not paths:
         typed = T.StructType(schema.fields + FILE_LIST.fields[1::-1])
         return spark.createDataFrame([], typed)
-    rows = _read_csv(spark, paths, schema)
+    rows = _read_csv(spark, paths, schema, multi_line)
     path = F.col("_metadata.file_path")
     return rows.select(
         *schema.names,
@@ -95,7 +114,7 @@ def scan_entity(
     spark: SparkSession, source: str, entity: str, schema: T.StructType
 ) -> DataFrame:
     """Every extract of one entity below a folder, in one job."""
-    return scan_extracts(spark, f"{source}/*{entity}_*.csv", schema)
+    return scan_extracts(spark, _places(source, entity, DAY_GLOB), schema)
 
 
 def scan_static(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

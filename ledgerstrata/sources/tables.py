@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: Prefix of the folders that hold the versions of a replaced table.
+VERSION = "version-"
+
+
 def is_missing_path(error: Exception) -> bool:
     return (
         isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
@@ -38,7 +42,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="ledgerstrata-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -61,7 +65,7 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
 def scan_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of a (possibly date-partitioned) table; a typed empty one if absent."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(current_path(spark, path))
     except AnalysisException as error:
         if is_missing_path(error):
             return spark.createDataFrame([], schema)
@@ -103,7 +107,7 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _hadoop_path(spark, path)
+    fs, target = _hadoop_path(spark, current_path(spark, path))
     return fs.exists(target)
 
 
@@ -115,18 +119,31 @@ def drop_partitions(spark: SparkSession, path: str, days: Iterable[date]) -> Non
             fs.delete(target, True)
 
 
-def _publish(spark: SparkSession, staged: str, path: str) -> None:
-    """Swap a finished staging folder into the published place."""
-    fs, source = _hadoop_path(spark, staged)
-    _, target = _hadoop_path(spark, path)
-    _, retired = _hadoop_path(spark, f"{staged}.retired")
-    fs.mkdirs(target.getParent())
-    if fs.exists(target) and not fs.rename(target, retired):
-        raise RuntimeError("could not retire the published table")
-    if not fs.rename(source, target):
-        raise RuntimeError("could not publish the staged table")
-    if fs.exists(retired):
-        fs.delete(retired, True)
+def _versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Versions of a table that `replace_table` wrote: number, and whether it is whole."""
+    fs, target = _hadoop_path(spark, path)
+    if not fs.exists(target):
+        return {}
+    found = {}
+    for status in fs.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith(VERSION):
+            done = _hadoop_path(spark, f"{path}/{name}/_SUCCESS")[1]
+            found[int(name.removeprefix(VERSION))] = fs.exists(done)
+    return found
+
+
+def _version_path(path: str, number: int) -> str:
+    return f"{path}/{VERSION}{number:010d}"
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where a table's rows are: its newest whole version, or the folder itself."""
+    versions = _versions(spark, path)
+    if not versions:
+        return path
+    whole = [number for number, done in versions.items() if done]
+    return _version_path(path, max(whole)) if whole else f"{path}/_none"
 
 
 # ---------------------------------------------------------------------------
@@ -147,16 +164,22 @@ def replace_partitions(rows: DataFrame, path: str, *partition_columns: str) -> N
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Replace a whole table; readers see the old or the new one, never half.
+    """Replace a whole table; readers see the old or the new one, never half and never none.
 
-    The rows go to a staging folder next to the table first, so a table may also
-    be rebuilt from itself.
+    Every write is a version of its own, and the newest with Spark's success marker is
+    the table, so that nothing is renamed and a write that breaks at any step leaves the
+    table as it was. A table may be rebuilt from itself. The version before stays for
+    those who are reading it; older and broken ones go.
     """
     spark = rows.sparkSession
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    staged = f"{parent}/_staging-{name}-{uuid.uuid4().hex}"
-    rows.write.mode("errorifexists").parquet(staged)
-    _publish(spark, staged, path)
+    path = path.rstrip("/")
+    before = _versions(spark, path)
+    rows.write.mode("errorifexists").parquet(_version_path(path, max(before, default=0) + 1))
+    latest = max((number for number, done in before.items() if done), default=0)
+    for number in before:
+        if number != latest:
+            fs, old = _hadoop_path(spark, _version_path(path, number))
+            fs.delete(old, True)
 
 
 def evenly_sized(rows: DataFrame, *columns: str) -> DataFrame:

@@ -12,28 +12,35 @@ from ledgerstrata.sources.tables import small_table
 
 RUN_ID = "20240201_00000001"
 NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
-D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
+D1, D2, D3 = date(2024, 7, 1), date(2024, 7, 2), date(2024, 7, 3)
 
-# Seven days of (account, amount, code, channel); the merchant is
-# of no account. Every day ends with an unknown account and a bad channel.
+# An invented week: for each day three good rows, one of an account that no extract
+# holds, and one that is rejected, as (account, amount, code, channel).
 WEEK = [
-    ["1 50 PURCH01 ONLINE", "2 120 PURCH01 IN_STORE", "1 200 PAY01 ONLINE", "X 75", "1 25 PURCH01"],
-    ["1 85 PURCH01 ONLINE", "3 300 PAY01 ONLINE", "2 45 PURCH01 IN_STORE", "X 60", "1 15 FEE01"],
-    ["2 500 PAY01 ONLINE", "3 95 PURCH01 IN_STORE", "1 30 INT01 ONLINE", "X 110", "2 40 PURCH01"],
-    ["1 175 PURCH01 ONLINE", "2 65 PURCH01 IN_STORE", "3 400 PAY01 ONLINE", "X 90", "3 20 FEE01"],
-    ["3 55 PURCH01 ONLINE", "1 800 PAY01 ONLINE", "2 35 PURCH01 IN_STORE", "X 45", "1 30 INT01"],
-    ["1 220 PURCH01 ONLINE", "3 150 PURCH01 IN_STORE", "2 600 PAY01 ONLINE", "X 80", "2 25 INT01"],
-    ["2 70 PURCH01 IN_STORE", "1 1000 PAY01 ONLINE", "3 130 PURCH01 IN_STORE", "X 55", "3 15 FEE01"],
+    ["1 18.40 PURCH01 IN_STORE", "2 7.15 FEE01 ONLINE", "1 260.00 PAY01 IN_STORE", "X 33.10 PURCH01 ONLINE",
+     "2 12.00 PURCH01 KIOSK"],
+    ["2 91.25 PURCH01 ONLINE", "3 14.60 PURCH01 IN_STORE", "1 5.05 INT01 ONLINE", "X 8.80 PAY01 ONLINE",
+     "1 64.00 REFUND9 ONLINE"],
+    ["1 310.75 PAY01 ONLINE", "2 48.90 PURCH01 IN_STORE", "1 27.35 PURCH01 ONLINE", "X 102.45 PURCH01 IN_STORE",
+     "2 1.2.3 PURCH01 ONLINE"],
+    ["3 9.99 FEE01 IN_STORE", "1 133.20 PURCH01 ONLINE", "2 21.50 PURCH01 ONLINE", "X 56.65 FEE01 ONLINE",
+     "3 none PURCH01 ONLINE"],
+    ["2 405.10 PAY01 ONLINE", "3 76.80 PURCH01 IN_STORE", "3 11.45 INT01 ONLINE", "X 19.30 PURCH01 ONLINE",
+     "1 40.00 PURCH01 PHONE"],
+    ["1 62.70 PURCH01 IN_STORE", "2 3.85 INT01 IN_STORE", "3 189.00 PAY01 IN_STORE", "X 71.15 PURCH01 ONLINE",
+     "1 0.00 PURCH01 ONLINE"],
+    ["3 24.95 PURCH01 ONLINE", "1 150.60 PAY01 IN_STORE", "2 37.05 PURCH01 IN_STORE", "X 4.40 INT01 ONLINE",
+     "2 15.00 CASH77 IN_STORE"],
 ]
-# Balance of accounts 1, 2, 3 per day; account 3 opens on day two.
+# Balance of accounts 1, 2, 3 after each day; account 3 opens on day two.
 BALANCES = [
-    (1200, 850, None),
-    (1150, 730, 2000),
-    (1300, 630, 1950),
-    (1250, 580, 1900),
-    (1200, 530, 1850),
-    (1350, 480, 1800),
-    (1300, 430, 1750),
+    ("318.22", "1904.10", None),
+    ("323.27", "1995.35", "514.60"),
+    ("39.87", "2044.25", "514.60"),
+    ("173.07", "2065.75", "524.59"),
+    ("173.07", "1660.65", "612.84"),
+    ("235.77", "1664.50", "423.84"),
+    ("85.17", "1701.55", "448.79"),
 ]
 CODES = """transaction_code,description,debit_credit_indicator,transaction_type,affects_balance
 PURCH01,Purchase,DR,PURCHASE,true
@@ -63,19 +70,16 @@ def write_codes(folder: str) -> None:
 
 def week_rows(day: date) -> list[str]:
     rows = []
-    for n, entry in enumerate(WEEK[day.day - 1], start=1):
-        parts = entry.split()
-        account, amount = f"ACC-{parts[0]}", f"{parts[1]}.00"
-        code = parts[2] if len(parts) > 2 else "PURCH01"
-        channel = parts[3] if len(parts) > 3 else ("IN_STORE" if n == 4 else "DRIVE_THRU")
-        rows.append(f"T-{day.day}-{n},{account},{day},{amount},{code},,{channel}")
+    for n, entry in enumerate(WEEK[(day - D1).days], start=1):
+        account, amount, code, channel = entry.split()
+        rows.append(f"T-{day.day}-{n},L-{account},{day},{amount},{code},,{channel}")
     return rows
 
 
 def account_rows(day: date) -> list[str]:
     return [
-        f"ACC-{n},Holder {n},ACTIVE,5000.00,{balance}.00,2020-01-15,2024-01-01,2024-01-31"
-        for n, balance in enumerate(BALANCES[day.day - 1], start=1)
+        f"L-{n},Holder {n},ACTIVE,2500.00,{balance},2021-09-30,2024-07-01,2024-07-31"
+        for n, balance in enumerate(BALANCES[(day - D1).days], start=1)
         if balance is not None
     ]
 

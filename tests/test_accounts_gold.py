@@ -14,13 +14,13 @@ from ledgerstrata.sources.tables import small_table
 from tests import sample
 from tests.sample import D1, D2, NOW, RUN_ID
 
-SUNDAY, NEXT_MONDAY = date(2024, 1, 7), date(2024, 1, 8)
+SUNDAY, NEXT_MONDAY = date(2024, 7, 7), date(2024, 7, 8)
 
 
 def deltas(spark, rows):
     """Bronze deltas from (date, id, status, limit, balance[, opened])."""
     full = [
-        (r[1], "name", r[2], r[3], r[4], r[5] if len(r) > 5 else "2020-01-01", "2024-01-01", "2024-01-31",
+        (r[1], "name", r[2], r[3], r[4], r[5] if len(r) > 5 else "2020-01-01", "2024-07-01", "2024-07-31",
          f"accounts_{r[0]}.csv", NOW, RUN_ID, r[0])
         for r in rows
     ]
@@ -74,8 +74,8 @@ def test_upsert_equals_rebuild(spark):
     rows = [(D1, "1", "ACTIVE", "1", "10"), (D1, "2", "ACTIVE", "1", "20"), (D2, "1", "CLOSED", "1", "11"),
             (D2, "3", "ACTIVE", "1", "30")]
     passing = AC.passing_accounts(AC.classify_accounts(deltas(spark, rows)))
-    early = AC.newest_per_account(passing.where("date = DATE '2024-01-01'"))
-    late = AC.newest_per_account(passing.where("date = DATE '2024-01-02'"))
+    early = AC.newest_per_account(passing.where("date = DATE '2024-07-01'"))
+    late = AC.newest_per_account(passing.where("date = DATE '2024-07-02'"))
     merged = AC.upsert_accounts(early, late)
     assert sorted(merged.collect()) == sorted(AC.newest_per_account(passing).select(merged.columns).collect())
 

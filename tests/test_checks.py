@@ -22,7 +22,7 @@ from tests.sample import D1, D2
 def lake(spark, tmp_path_factory) -> Lake:
     folder = tmp_path_factory.mktemp("checks")
     sample.write_week(f"{folder}/source", 2)
-    sample.write_accounts(f"{folder}/source", D2, ["ACC-9,n,FROZEN,1,1,2020-01-01,2024-01-01,2024-01-31"])
+    sample.write_accounts(f"{folder}/source", D2, ["L-9,n,FROZEN,1,1,2020-01-01,2024-07-01,2024-07-31"])
     made = Lake(spark, f"{folder}/lake", f"{folder}/source")
     assert jobs.run_historical(made, D1, D2, "run-a") == D2
     return made
@@ -96,10 +96,10 @@ DEFECTS = {
             "total_signed_amount", F.col("total_signed_amount") + F.lit(0.01).cast("decimal(18,3)")), "G-03"
     ),
     "G-04": lambda k: CK.g04(k.silver_transactions(), codes_of(k), wrong(k.gold_weekly(), "total_purchases", 9)),
-    "G-05": lambda k: CK.weekly_row_checks(wrong(k.gold_weekly(), "week_start_date", "2024-01-02"), "G-05"),
-    "G-06": lambda k: CK.weekly_row_checks(wrong(k.gold_weekly(), "week_end_date", "2024-01-08"), "G-06"),
+    "G-05": lambda k: CK.weekly_row_checks(wrong(k.gold_weekly(), "week_start_date", "2024-07-02"), "G-05"),
+    "G-06": lambda k: CK.weekly_row_checks(wrong(k.gold_weekly(), "week_end_date", "2024-07-08"), "G-06"),
     "G-07": lambda k: CK.g07(k.gold_daily(), first_without(k.gold_weekly(), "_pipeline_run_id")),
-    "AT-01": lambda k: CK.at01(k.control(), date(2024, 1, 3)),
+    "AT-01": lambda k: CK.at01(k.control(), date(2024, 7, 3)),
     "AT-01 none": lambda k: CK.at01(k.control().limit(0), D2),
     "AT-01 twice": lambda k: CK.at01(doubled(k.control()), D2),
     "AT-02": lambda k: CK.at02(

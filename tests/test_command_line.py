@@ -16,14 +16,14 @@ def test_run_id_format():
 def test_historical_verify_and_a_failure(spark, tmp_path, capsys):
     sample.write_week(f"{tmp_path}/source", 1)
     where = ["--lake", f"{tmp_path}/lake", "--source", f"{tmp_path}/source"]
-    assert main(["historical", *where, "--start-date", "2024-01-01", "--end-date", "2024-01-01"]) == 0
-    assert "watermark 2024-01-01" in capsys.readouterr().out
-    assert main(["verify", *where, "--end-date", "2024-01-01"]) == 0
-    assert main(["verify", *where, "--end-date", "2024-01-02"]) == 1
+    assert main(["historical", *where, "--start-date", "2024-07-01", "--end-date", "2024-07-01"]) == 0
+    assert "watermark 2024-07-01" in capsys.readouterr().out
+    assert main(["verify", *where, "--end-date", "2024-07-01"]) == 0
+    assert main(["verify", *where, "--end-date", "2024-07-02"]) == 1
     assert "FAIL  AT-01" in capsys.readouterr().out
-    sample.write(f"{tmp_path}/source/transactions_2024-01-02.csv", ["wrong,header", "1,2"])
+    sample.write(f"{tmp_path}/source/transactions_2024-07-02.csv", ["wrong,header", "1,2"])
     assert main(["incremental", *where]) == 1
-    assert "bronze_transactions 2024-01-02" in capsys.readouterr().out
+    assert "bronze_transactions 2024-07-02" in capsys.readouterr().out
 
 
 def test_bad_dates_are_refused():

@@ -28,7 +28,7 @@ def test_a_hot_id_is_split(spark):
         rows = spark.range(0, n, 1, 8).select(
             F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("transaction_id"),
             F.concat(F.lit("N"), "id").alias("account_id"),
-            F.lit("2024-01-01").alias("transaction_date"),
+            F.lit("2024-07-01").alias("transaction_date"),
             F.lit("1.00").alias("amount"),
             F.concat(F.lit("C"), F.col("id") % 50).alias("transaction_code"),
             F.sha2(F.col("id").cast("string"), 256).alias("merchant_name"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerstrata import schemas as S
 from ledgerstrata.functions.scalars import scrub_error
 from ledgerstrata.operators import bronze as BR
+from ledgerstrata.operators import quarantine as QU
 from ledgerstrata.operators import reconcile as RC
 from ledgerstrata.operators import runlog as RL
 from ledgerstrata.sources import extracts as EX
@@ -97,11 +98,11 @@ def test_control_table(spark, tmp_path):
     for bad in ("2024-1-1", "01.01.2024", "2024-02-30", ""):
         with pytest.raises(ValueError):
             RL.write_watermark(spark, path, bad, "run", NOW)
-    RL.write_watermark(spark, path, "2024-01-31", "run", NOW)
+    RL.write_watermark(spark, path, "2024-07-31", "run", NOW)
     RL.write_watermark(spark, path, D1, "run", NOW)  # overwrites
     assert RL.read_watermark(spark, path) == D1
     assert RL.require_next_date(spark, path) == D2
-    TB.append_rows(TB.small_table(spark, [(D2, NOW, "run")], S.CONTROL), path)
+    TB.append_rows(TB.small_table(spark, [(D2, NOW, "run")], S.CONTROL), TB.current_path(spark, path))
     with pytest.raises(ValueError):
         RL.read_watermark(spark, path)
 
@@ -119,28 +120,28 @@ def test_scan_of_dated_extracts(spark, tmp_path):
     rows = EX.scan_entity(spark, folder, "transactions", S.TRANSACTION_SOURCE)
     counts = {(r["date"], r["_source_file"]): r["source_rows"] for r in EX.source_counts(rows).collect()}
     assert counts == {
-        (D1, "transactions_2024-01-01.csv"): 5,
-        (D2, "transactions_2024-01-02.csv"): 5,
+        (D1, "transactions_2024-07-01.csv"): 5,
+        (D2, "transactions_2024-07-02.csv"): 5,
     }
     row = rows.where("transaction_id = 'T-1-1'").first()
-    assert (row["amount"], row["merchant_name"]) == ("50.00", None)  # text kept, empty is NULL
+    assert (row["amount"], row["merchant_name"]) == ("18.40", None)  # text kept, empty is NULL
     files = EX.list_extracts(spark, folder, "accounts")
     assert {r["date"] for r in files.collect()} == {D1, D2}
-    absent = EX.missing_dates(EX.calendar(spark, D1, date(2024, 1, 4)), files)
-    assert {r["date"] for r in absent.collect()} == {D3, date(2024, 1, 4)}
+    absent = EX.missing_dates(EX.calendar(spark, D1, date(2024, 7, 4)), files)
+    assert {r["date"] for r in absent.collect()} == {D3, date(2024, 7, 4)}
     assert EX.list_extracts(spark, folder, "nothing").count() == 0
 
 
 def test_moved_columns_fail(spark, tmp_path):
     header = ",".join(reversed(S.TRANSACTION_SOURCE.names))
-    sample.write(f"{tmp_path}/transactions_2024-01-01.csv", [header, "1,2,3,4,5,6,7"])
+    sample.write(f"{tmp_path}/transactions_2024-07-01.csv", [header, "1,2,3,4,5,6,7"])
     with pytest.raises(Exception, match="header"):
         EX.scan_entity(spark, str(tmp_path), "transactions", S.TRANSACTION_SOURCE).collect()
 
 
 def test_load_plan(spark):
     def counts(name, **days):
-        rows = [(date(2024, 1, int(d[1:])), n) for d, n in days.items()]
+        rows = [(date(2024, 7, int(d[1:])), n) for d, n in days.items()]
         return spark.createDataFrame(rows, f"date date, {name} bigint")
 
     plan = BR.load_plan(counts("source_rows", d1=5, d2=5, d3=5), counts("bronze_rows", d1=5, d2=4, d9=1))
@@ -167,9 +168,30 @@ def test_partitions_are_replaced_alone(spark, tmp_path):
 def test_a_table_can_be_rebuilt_from_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     TB.replace_table(spark.range(3), path)
-    TB.replace_table(spark.read.parquet(path).union(spark.range(10, 11)), path)
-    assert {r["id"] for r in spark.read.parquet(path).collect()} == {0, 1, 2, 10}
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    schema = spark.range(1).schema
+    TB.replace_table(TB.scan_table(spark, path, schema).union(spark.range(10, 11)), path)
+    assert {r["id"] for r in TB.scan_table(spark, path, schema).collect()} == {0, 1, 2, 10}
+    TB.replace_table(spark.range(7), path)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["version-0000000002", "version-0000000003"]
+
+
+def test_a_write_that_breaks_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = spark.range(1).schema
+    assert not TB.table_exists(spark, path)
+    TB.replace_table(spark.range(3), path)
+    with pytest.raises(Exception):
+        TB.replace_table(spark.range(5).selectExpr("assert_true(id < 3) as x", "id"), path)
+    # a version without its marker is no table, and the next write clears it
+    (tmp_path / "t" / "version-0000000009").mkdir()
+    assert TB.scan_table(spark, path, schema).count() == 3
+    TB.replace_table(spark.range(4), path)
+    assert TB.scan_table(spark, path, schema).count() == 4
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["version-0000000001", "version-0000000010"]
+    # only broken versions: the table is absent
+    (tmp_path / "u" / "version-0000000001").mkdir(parents=True)
+    assert not TB.table_exists(spark, str(tmp_path / "u"))
+    assert TB.scan_table(spark, str(tmp_path / "u"), schema).count() == 0
 
 
 def test_absent_tables_are_empty_and_typed(spark, tmp_path):
@@ -202,3 +224,39 @@ def test_metric_comparison(spark):
     assert RC.compare_metrics(metrics(a=1, b=None), metrics(a=1, b=None)).isEmpty()
     differing = RC.compare_metrics(metrics(a=1, b=2, c=3), metrics(a=1, b=3, d=4))
     assert {r["metric"] for r in differing.collect()} == {"b", "c", "d"}
+
+
+def test_quotes_line_breaks_and_ragged_rows(spark, tmp_path):
+    folder, header = str(tmp_path), ",".join(S.TRANSACTION_SOURCE.names)
+    good = '1,L-1,2024-07-01,2.00,PURCH01,"Joe ""The"" Shop, Inc",ONLINE'
+    sample.write(f"{folder}/transactions_2024-07-01.csv", [header, good])
+    row = EX.scan_entity(spark, folder, "transactions", S.TRANSACTION_SOURCE).first()
+    assert (row["merchant_name"], row["channel"]) == ('Joe "The" Shop, Inc', "ONLINE")
+    for bad in ("1,2,3,4", good + ",more"):
+        sample.write(f"{folder}/transactions_2024-07-01.csv", [header, bad])
+        with pytest.raises(Exception):
+            EX.scan_entity(spark, folder, "transactions", S.TRANSACTION_SOURCE).collect()
+    broken = good.replace("Shop, Inc", "Shop\nInc")
+    sample.write(f"{folder}/transactions_2024-07-01.csv", [header, broken])
+    path = f"{folder}/transactions_2024-07-01.csv"
+    with pytest.raises(Exception):
+        EX.scan_extracts(spark, [path], S.TRANSACTION_SOURCE).collect()
+    rows = EX.scan_extracts(spark, [path], S.TRANSACTION_SOURCE, multi_line=True).collect()
+    assert [r["merchant_name"] for r in rows] == ['Joe "The" Shop\nInc']
+
+
+def test_only_exact_names_are_extracts(spark, tmp_path):
+    folder, header = str(tmp_path), ",".join(S.TRANSACTION_SOURCE.names)
+    names = ["transactions_2024-07-01", "old_transactions_2024-07-01", "transactions_2024-07-01_old", "transactions_x"]
+    for name in names:
+        sample.write(f"{folder}/{name}.csv", [header, "1,L-1,2024-07-01,2.00,PURCH01,,ONLINE"])
+    assert EX.scan_entity(spark, folder, "transactions", S.TRANSACTION_SOURCE).count() == 1
+    for days in (None, [D1, D2], [D1 + timedelta(days=i) for i in range(90)]):
+        assert EX.list_extracts(spark, folder, "transactions", days).count() == 1
+    assert EX.list_extracts(spark, folder, "transactions", []).count() == 0
+
+
+def test_quarantine_has_one_schema(spark):
+    kinds = [(None, None), (spark.createDataFrame([], S.QUARANTINE_TRANSACTIONS), None),
+             (None, spark.createDataFrame([], S.QUARANTINE_ACCOUNTS))]
+    assert len({str(QU.quarantine_all(*k).schema.names) for k in kinds}) == 1

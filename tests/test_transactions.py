@@ -143,10 +143,10 @@ def test_both_outcomes_come_from_one_frame(spark):
     split = split_by_disposition(classified, sample.RUN_ID, sample.NOW)
     found = {(r["transaction_id"], str(r["date"])): r for r in split.collect()}
     assert len(found) == 3
-    bad = found[("bad", "2024-01-01")]
+    bad = found[("bad", "2024-07-01")]
     assert (bad["disposition"], bad["_raw_amount"], bad["amount"]) == ("rejected", "abc", None)
-    assert found[("ok", "2024-01-01")]["disposition"] == "accepted"
-    assert found[("ok", "2024-01-02")]["_rejection_reason"] == DUPLICATE
+    assert found[("ok", "2024-07-01")]["disposition"] == "accepted"
+    assert found[("ok", "2024-07-02")]["_rejection_reason"] == DUPLICATE
 
 
 def one_by_one(rows, known):
@@ -232,7 +232,7 @@ def test_one_id_and_one_account_in_most_rows(spark):
     hot = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("transaction_id"),
         F.when(F.col("id") % 2 == 0, "A").otherwise(F.concat(F.lit("N"), "id")).alias("account_id"),
-        F.lit("2024-01-01").alias("transaction_date"),
+        F.lit("2024-07-01").alias("transaction_date"),
         F.lit("1.00").alias("amount"),
         F.lit("PURCH01").alias("transaction_code"),
         F.lit(None).cast("string").alias("merchant_name"),
