@@ -10,19 +10,19 @@ WITH sized AS (
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         row_number() OVER (ORDER BY source NULLS LAST) AS at
+         row_number() OVER (ORDER BY source NULLS LAST) AS place
   FROM sized GROUP BY source),
 capped AS (
-  SELECT *, 2 * source_size AS cap, CAST([5, 2, 1][((at - 1) % 3) + 1] AS BIGINT) AS w FROM sources),
+  SELECT *, 2 * source_size AS cap, CAST([5, 2, 1][((place - 1) % 3) + 1] AS BIGINT) AS w FROM sources),
 -- The level at which a set of sources stops: every prefix in the order of cap / weight is tried.
 prefix AS (
   SELECT CAST((SELECT sum(source_size) FROM sources) * 150
-              - 100 * coalesce((SELECT sum(b.cap) FROM capped b WHERE (b.cap / b.w, b.at) < (a.cap / a.w, a.at)), 0)
+              - 100 * coalesce((SELECT sum(b.cap) FROM capped b WHERE (b.cap / b.w, b.place) < (a.cap / a.w, a.place)), 0)
               AS DOUBLE)
-         / (100 * (SELECT sum(b.w) FROM capped b WHERE (b.cap / b.w, b.at) >= (a.cap / a.w, a.at))) AS level,
-         a.cap / a.w AS ratio, a.at, a.cap, a.w
+         / (100 * (SELECT sum(b.w) FROM capped b WHERE (b.cap / b.w, b.place) >= (a.cap / a.w, a.place))) AS level,
+         a.cap / a.w AS ratio, a.place, a.cap, a.w
   FROM capped a),
-final AS (SELECT level FROM prefix WHERE level * w <= cap ORDER BY ratio, at LIMIT 1),
+final AS (SELECT level FROM prefix WHERE level * w <= cap ORDER BY ratio, place LIMIT 1),
 goal AS (
   SELECT source, source_size,
          least(CAST(cap AS DOUBLE), coalesce((SELECT level FROM final) * w, CAST(cap AS DOUBLE))) AS target FROM capped),
