@@ -44,6 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def passing(spark: SparkSession, path: str) -> None:
+    """Have an existing folder removed when the driver's JVM ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.deleteOnExit(folder)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: work is not repeated, and lost executors lose nothing.
 
@@ -52,8 +59,7 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    passing(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
