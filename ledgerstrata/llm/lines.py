@@ -210,11 +210,15 @@ def _placed(docs: DataFrame) -> DataFrame:
     return docs.select("k", "text", "doc_id").mapInArrow(run, f"h long, k long, pos int, doc_id {kind}")
 
 
-def _keyed(docs: DataFrame, edits: int, hot: frozenset[int]) -> DataFrame:
-    """(key, own, h): keys of lines, each line once in a task; in later rounds only keys that refine hot ones."""
+def _keyed(docs: DataFrame, edits: int, hot: frozenset[int], earlier: frozenset[int] = frozenset()) -> DataFrame:
+    """(key, own, h): keys of lines, each line once in a task; in later rounds only keys that refine new hot ones.
+
+    `earlier` has the keys that were hot before the last round: keys of that round are settled, except hot ones that are
+    too short to be refined.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker, plain = Keys(edits, hot), Keys(edits)
+        maker, plain = Keys(edits, hot), Keys(edits, earlier)
         seen: set[int] = set()
         for b in batches:
             keys, owns, hs = [], [], []
@@ -226,7 +230,7 @@ def _keyed(docs: DataFrame, edits: int, hot: frozenset[int]) -> DataFrame:
                     found = maker.of(line)
                     if hot:
                         before = plain.of(line) if maker.hot else {}
-                        found = {key: own for key, own in found.items() if key not in before}
+                        found = {key: own for key, own in found.items() if key not in before or key in hot}
                     keys += found.keys()
                     owns += found.values()
                     hs += [h] * len(found)
@@ -280,15 +284,16 @@ def candidates(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, frozense
     Lines within `edits` of each other meet in at least one key. Rows are lines in keys, not pairs.
     """
     hot: frozenset[int] = frozenset()
+    earlier = hot
     parts = []
     for depth in range(DEEPEST):
-        met = stored(_meetings(_keyed(docs, edits, hot), None if depth == DEEPEST - 1 else HOT))
+        met = stored(_meetings(_keyed(docs, edits, hot, earlier), None if depth == DEEPEST - 1 else HOT))
         parts.append(met.where("h is not null"))
         # At most 1/HOT of the key rows, each a 64-bit number.
         more = {r["key"] for r in met.where("h is null").select("key").collect()}
         if not more:
             break
-        hot |= more
+        earlier, hot = hot, hot | more
     members = parts[0]
     for part in parts[1:]:
         members = members.union(part)

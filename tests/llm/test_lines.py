@@ -110,3 +110,20 @@ def test_documents_and_empty(spark):
     assert out.columns == docs.columns and out.count() == docs.count()
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in edge.rows(out))
     assert lines.thin(edge.empty(spark)).collect() == []
+
+
+def test_a_line_is_once_in_a_key(spark, monkeypatch):
+    """Keys that an earlier round has settled do not come out again when a third round refines others."""
+    monkeypatch.setattr(lines, "HOT", 3)
+    docs = documents(spark).selectExpr("xxhash64(doc_id, text) as k", "text", "doc_id")
+    members, _ = lines.candidates(docs)
+    assert members.groupBy("key", "h").count().where("count > 1").collect() == []
+
+
+def test_hot_keys_too_short_to_refine(spark, monkeypatch):
+    monkeypatch.setattr(lines, "HOT", 3)
+    rows = [(i, f"abcdefghijklmnopqrstuv{i:02d}", "en", "s", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA)
+    expected, _ = brute(edge.rows(docs), 2)
+    found = lines.thin(docs)
+    assert Counter((r["doc_id"], r["text"], *(r[c] for c in lines.ADDED)) for r in edge.rows(found)) == expected
