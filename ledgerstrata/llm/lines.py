@@ -15,8 +15,9 @@ from .textstats import BLANKS
 
 #: Edits (inserted, deleted or changed characters) between near lines; shorter lines are compared for equality only.
 EDITS, MIN_CHARS = 2, 24
-#: A key of more lines than this is refined by a second segment, and so on; the last round takes any number.
-HOT, DEEPEST = 2000, 4
+#: A key of more lines than this is refined by a second segment, and so on; one that is too short for it is dealt in
+#: pairs of blocks of about so many lines.
+HOT = 2000
 #: Lines to be verified are found by a broadcast up to this many (16 MB); beyond it by a shuffle of lines.
 BROADCAST_LINES = 1_000_000
 #: Cells of character matrices verified at once.
@@ -240,7 +241,7 @@ def _keyed(docs: DataFrame, edits: int, hot: frozenset[int], earlier: frozenset[
     return docs.select("k", "text").mapInArrow(run, "key long, own boolean, h long")
 
 
-def _meetings(keyed: DataFrame, hot: int | None) -> DataFrame:
+def _meetings(keyed: DataFrame, hot: int) -> DataFrame:
     """(key, own, h): the lines of keys that two lines share, at least one of them by its own segment.
 
     A key of more than `hot` lines gives one row with a null h instead.
@@ -252,7 +253,7 @@ def _meetings(keyed: DataFrame, hot: int | None) -> DataFrame:
         def met(key: np.ndarray, own: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
             sizes = np.diff(np.append(starts, len(key)))
-            over = sizes > hot if hot else np.zeros(len(sizes), bool)
+            over = sizes > hot
             # A line that owns a segment and probes with it at another place is once in a key: `of` keeps one of them.
             kept = np.repeat((sizes > 1) & own[starts] & ~over, sizes)
             full = key[starts[over]]
@@ -270,7 +271,7 @@ def _meetings(keyed: DataFrame, hot: int | None) -> DataFrame:
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (h[1:] != h[:-1]) | (own[1:] != own[:-1])])
             key, own, h = key[new], own[new], h[new]
             last = int(np.searchsorted(key, key[-1]))
-            rest = [c[last:] if hot is None else c[last : last + hot + 1] for c in (key, own, h)]
+            rest = [c[last : last + hot + 1] for c in (key, own, h)]
             yield met(key[:last], own[:last], h[:last])
         yield met(*rest)
 
@@ -278,22 +279,39 @@ def _meetings(keyed: DataFrame, hot: int | None) -> DataFrame:
     return dealt.mapInArrow(run, "key long, own boolean, h long")
 
 
+def _blocks(keyed: DataFrame) -> DataFrame:
+    """(key, own, h, i, j, block): lines of keys of any size, each in all pairs (i, j) of blocks with its own block.
+
+    A pair of blocks is one group to compare, of about 2 x HOT lines however many the key has.
+    """
+    lines = stored(keyed.distinct())
+    sizes = lines.groupBy("key").agg(F.ceil(F.count("*") / HOT).cast("int").alias("blocks"))
+    placed = lines.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
+    met = placed.select("key", "own", "h", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return met.select("key", "own", "h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+
+
 def candidates(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, frozenset[int]]:
-    """The lines of keys in which lines meet, as (key, own, h), and the keys that were refined.
+    """The lines of keys in which lines meet, as (key, own, h, i, j, block), and the keys that were refined.
 
-    Lines within `edits` of each other meet in at least one key. Rows are lines in keys, not pairs.
+    Lines within `edits` of each other meet in at least one key and pair of blocks. Rows are lines in keys, not pairs.
+    Rounds go on until each key is within HOT or too short to be refined; the sides of a segment shrink in each.
     """
     hot: frozenset[int] = frozenset()
     earlier = hot
+    one = [F.lit(0).alias(c) for c in ("i", "j", "block")]
     parts = []
-    for depth in range(DEEPEST):
-        met = stored(_meetings(_keyed(docs, edits, hot, earlier), None if depth == DEEPEST - 1 else HOT))
-        parts.append(met.where("h is not null"))
+    while True:
+        met = stored(_meetings(_keyed(docs, edits, hot, earlier), HOT))
+        parts.append(met.where("h is not null").select("key", "own", "h", *one))
         # At most 1/HOT of the key rows, each a 64-bit number.
         more = {r["key"] for r in met.where("h is null").select("key").collect()}
-        if not more:
+        if more <= hot:
             break
         earlier, hot = hot, hot | more
+    if more:
+        # What comes out again is too short to be refined.
+        parts.append(_blocks(_keyed(docs, edits, hot, hot)))
     members = parts[0]
     for part in parts[1:]:
         members = members.union(part)
@@ -303,8 +321,8 @@ def candidates(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, frozense
 def links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
     """(h, links, near): lines with others within `edits`: how many, and whether one of them begins earlier.
 
-    `firsts` has for each line its first place (h, first). The lines of a key are compared in the task that holds the
-    key; what leaves it is a row for each line, however many of them are near. A pair that meets in several keys counts
+    `firsts` has for each line its first place (h, first). The lines of a key, or of two blocks of a large key,
+    are compared in one task; what leaves it is a row for each line, however many of them are near. A pair that meets in several keys counts
     in the least of them.
     """
     members, hot = candidates(docs, edits)
@@ -331,33 +349,40 @@ def links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
         maker, last, group = Keys(edits, hot), None, []
         pairs: list[tuple[int, tuple, tuple]] = []
         for b in batches:
-            for key, own, h, line, first in _rows(b):
-                if key != last:
+            for key, i, j, block, own, h, line, first in _rows(b):
+                if (key, i, j) != last:
                     for pair in _within_length(group, edits):
-                        pairs.append((last, *pair))
+                        pairs.append((last[0], *pair))
                         if len(pairs) == BATCH:
                             yield _settled(pairs, edits, maker)
                             pairs = []
-                    last, group = key, []
-                group.append((own, h, line, (first["doc_id"] is not None, first["doc_id"] or 0, first["k"], first["pos"])))
-        pairs += [(last, *pair) for pair in _within_length(group, edits)]
-        for at in range(0, len(pairs), BATCH):
-            yield _settled(pairs[at : at + BATCH], edits, maker)
-
-    both = members.join(told, "h").select("key", "own", "h", "line", "first")
-    dealt = both.repartition("key").sortWithinPartitions("key")
+                    last, group = (key, i, j), []
+                place = (first["doc_id"] is not None, first["doc_id"] or 0, first["k"], first["pos"])
+                group.append((own, h, line, place, block if i != j else None))
+        for pair in _within_length(group, edits):
+            pairs.append((last[0], *pair))
+            if len(pairs) == BATCH:
+                yield _settled(pairs, edits, maker)
+                pairs = []
+        yield _settled(pairs, edits, maker)
+
+    both = members.join(told, "h").select("key", "i", "j", "block", "own", "h", "line", "first")
+    dealt = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(compare, "h long, links long, near boolean").groupBy("h").agg(
         F.sum("links").alias("links"), F.max("near").alias("near"))
 
 
 def _within_length(group: list[tuple], edits: int) -> Iterator[tuple[tuple, tuple]]:
-    """Pairs of a key's lines (own, h, line, first) whose lengths allow `edits`, one of them by its own segment."""
+    """Pairs of a group's lines (own, h, line, first, block) whose lengths allow `edits`, one by its own segment.
+
+    In a group of two blocks only lines of different blocks are paired; in a group of one, block is None.
+    """
     group = sorted(group, key=lambda g: (len(g[2]), g[1]))
     for i, b in enumerate(group):
         for a in reversed(group[:i]):
             if len(b[2]) - len(a[2]) > edits:
                 break
-            if a[0] or b[0]:
+            if (a[0] or b[0]) and (a[4] is None or a[4] != b[4]):
                 yield a, b
 
 

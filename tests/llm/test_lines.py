@@ -117,7 +117,7 @@ def test_a_line_is_once_in_a_key(spark, monkeypatch):
     monkeypatch.setattr(lines, "HOT", 3)
     docs = documents(spark).selectExpr("xxhash64(doc_id, text) as k", "text", "doc_id")
     members, _ = lines.candidates(docs)
-    assert members.groupBy("key", "h").count().where("count > 1").collect() == []
+    assert members.groupBy("key", "h", "i", "j").count().where("count > 1").collect() == []
 
 
 def test_hot_keys_too_short_to_refine(spark, monkeypatch):
@@ -127,3 +127,16 @@ def test_hot_keys_too_short_to_refine(spark, monkeypatch):
     expected, _ = brute(edge.rows(docs), 2)
     found = lines.thin(docs)
     assert Counter((r["doc_id"], r["text"], *(r[c] for c in lines.ADDED)) for r in edge.rows(found)) == expected
+
+
+def test_no_group_grows_with_its_key(spark, monkeypatch):
+    """Lines that no refining can part are dealt in pairs of blocks."""
+    monkeypatch.setattr(lines, "HOT", 20)
+    rows = [(i, f"abcdefghijklmnopqrstuv{chr(200 + i)}", "en", "s", 0) for i in range(300)]
+    rows += [(500 + i, f"abcdefghijklmnopqrstuv{chr(200 + i)}{chr(300 + i)}", "en", "s", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA)
+    members, _ = lines.candidates(docs.selectExpr("xxhash64(doc_id, text) as k", "text", "doc_id"))
+    assert members.groupBy("key", "i", "j").count().selectExpr("max(count)").first()[0] < 4 * 20
+    expected, _ = brute(edge.rows(docs), 2)
+    found = lines.thin(docs)
+    assert Counter((r["doc_id"], r["text"], *(r[c] for c in lines.ADDED)) for r in edge.rows(found)) == expected
