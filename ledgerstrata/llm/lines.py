@@ -409,6 +409,12 @@ def _settled(pairs: list[tuple[int, tuple, tuple]], edits: int, maker: Keys) ->
 ADDED = ("_llm_n_lines", "_llm_n_copies", "_llm_n_near", "_llm_n_links")
 
 
+def listed(marked: DataFrame) -> DataFrame:
+    """(_llm_k, _llm_marks): the marks of each k, each once however many rows repeat the document."""
+    return marked.groupBy(F.col("k").alias("_llm_k")).agg(
+        F.collect_set(F.struct("pos", "copy", "near", "links")).alias("_llm_marks"))
+
+
 def thin(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The documents without repeated lines, and with the columns ADDED.
 
@@ -429,16 +435,14 @@ def thin(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     marked = placed.join(notable, "h").select(
         "k", "pos", (~((F.col("k") == F.col("first_k")) & (F.col("pos") == F.col("first_pos")))).alias("copy"),
         F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).alias("links"))
-    listed = marked.groupBy(F.col("k").alias("_llm_k")).agg(F.collect_list(F.struct("pos", "copy", "near", "links")).alias("_llm_marks"))
-    joined = docs.withColumn("_llm_key", key).join(listed, F.col("_llm_key") == F.col("_llm_k"), "left").drop("_llm_key", "_llm_k")
+    joined = docs.withColumn("_llm_key", key).join(listed(marked), F.col("_llm_key") == F.col("_llm_k"), "left").drop("_llm_key", "_llm_k")
     text, kinds = docs.columns.index("text"), joined.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, added = [], []
             for whole, marks in zip(b.column(text).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
-                # Rows of one document have each mark once a row.
-                marks = list({m["pos"]: m for m in marks or []}.values())
+                marks = marks or []
                 gone = {m["pos"] for m in marks if m["copy"] or m["near"]}
                 added.append((len(lines_of(whole or "")), sum(m["copy"] for m in marks),
                               sum(m["near"] and not m["copy"] for m in marks), sum(m["links"] for m in marks)))

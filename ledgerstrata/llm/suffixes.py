@@ -300,6 +300,11 @@ def _merged(spans: list[dict], length: int) -> list[tuple[int, int]]:
     return out
 
 
+def listed(spans: DataFrame) -> DataFrame:
+    """(k, windows): the spans of each k, each once however many rows repeat the document."""
+    return spans.groupBy("k").agg(F.collect_set(F.struct("start", "n")).alias("windows"))
+
+
 def remove(docs: DataFrame, length: int = LENGTH, texts: bool = False) -> DataFrame:
     """Remove each byte under a string of `length` bytes that also starts elsewhere in any text, the same included.
 
@@ -311,8 +316,7 @@ def remove(docs: DataFrame, length: int = LENGTH, texts: bool = False) -> DataFr
     importable(docs)
     data = F.coalesce(F.col("text").cast("binary"), F.lit(bytearray()))
     keyed = docs.select("doc_id", data.alias("data"), F.xxhash64("doc_id", "text").alias("k"))
-    spans = repeated(keyed, length).groupBy("k").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
-    joined = keyed.join(spans, "k", "left").select("doc_id", "data", "windows")
+    joined = keyed.join(listed(repeated(keyed, length)), "k", "left").select("doc_id", "data", "windows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -140,3 +140,14 @@ def test_no_group_grows_with_its_key(spark, monkeypatch):
     expected, _ = brute(edge.rows(docs), 2)
     found = lines.thin(docs)
     assert Counter((r["doc_id"], r["text"], *(r[c] for c in lines.ADDED)) for r in edge.rows(found)) == expected
+
+
+def test_a_repeated_row_has_each_mark_once(spark):
+    """The marks of a document are as many as its lines, not times its rows."""
+    marked = spark.range(120).selectExpr("7L as k", "cast(id % 3 as int) as pos", "true as copy", "false as near", "0L as links")
+    assert [len(r["_llm_marks"]) for r in lines.listed(marked).collect()] == [3]
+    rows = [(1, "one\ntwo\nthree", "en", "s", 0)] * 40 + [(0, "two", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA).repartition(4)
+    expected, _ = brute(edge.rows(docs), 2)
+    found = lines.thin(docs)
+    assert Counter((r["doc_id"], r["text"], *(r[c] for c in lines.ADDED)) for r in edge.rows(found)) == expected

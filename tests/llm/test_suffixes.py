@@ -74,3 +74,15 @@ def test_runs_cover_all_windows_and_depend_on_content():
         assert start[0] == 0 and (start[1:] == (start + n)[:-1]).all() and start[-1] + n[-1] == len(data) - 199
         anchors.append(np.repeat(anchor, n))
     assert (anchors[0][700:1801] == anchors[1][500:1601]).all()
+
+
+def test_a_repeated_row_has_each_span_once(spark):
+    rng = random.Random(9)
+    text = edge.words(rng, 300)
+    rows = [(1, text, "en", "s", 0)] * 40 + [(2, edge.words(rng, 60), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA).repartition(4)
+    keyed = docs.selectExpr("doc_id", "cast(text as binary) as data", "xxhash64(doc_id, text) as k")
+    spans = suffixes.repeated(keyed)
+    found = suffixes.listed(spans).collect()
+    assert len(found) == 1 and len(found[0]["windows"]) == spans.distinct().count() < spans.count()
+    assert got(remove(docs)) == brute(edge.rows(docs), 200)
