@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from ledgerstrata.plans import oracle, registry
 from tests.oracle_compare import compare, duck, entry_points
 
 SMALL = "/root/testdata/sf0.001"
@@ -25,7 +26,10 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tabl
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    """The training-data queries are apart: not all of them can be said in SQL."""
+    assert set(registry.QUERIES) == set(oracle.oracle_sql())
+    assert set(registry.QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @needs_tables
