@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gam, lines, mixing, packing, pages, rules, sharding, simhash, suffixes, vectors
+from . import gam, lines, mixing, packing, pages, periodic, resampling, rules, secretscan, sharding, simhash, suffixes
+from . import vectors
 from .common import table
 
 
@@ -55,6 +56,19 @@ def op10_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents after the rule that turns the tail of every tenth one, by checksum, into copies."""
+    return periodic.digest(periodic.collapse(periodic.with_repeats(table(spark, sf_dir, "documents"))))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(secretscan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,5 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_quality_rules,
         op10_template_extraction,
+        op11_importance_resampling,
+        op12_periodic_runs,
+        op13_secret_scan,
     )
 }

@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerstrata.llm import periodic as P
+from tests.llm import edge
+
+
+def smallest_period(words) -> int:
+    return next(q for q in range(1, len(words) + 1) if all(words[i] == words[i + q] for i in range(len(words) - q)))
+
+
+def brute(words, least: int = 24, times: int = 3) -> list[tuple[int, int, int]]:
+    """Runs by definition: rows of equal places at every lag, kept if the lag is the smallest period."""
+    made, n = [], len(words)
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(least, times * q) and smallest_period(words[i : i + length]) == q:
+                made.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(made, key=lambda r: (r[0], r[2]))
+
+
+def texts() -> list[list[str]]:
+    rng = random.Random(5)
+    made = []
+    for _ in range(60):
+        letters = "abcdefghijklmnop"[: rng.randrange(1, 16)]
+        words = [rng.choice(letters) for _ in range(rng.randrange(0, 90))]
+        for _ in range(rng.randrange(0, 4)):
+            block = [rng.choice(letters) for _ in range(rng.randrange(1, 20))]
+            at, times = rng.randrange(0, len(words) + 1), rng.randrange(2, 9)
+            tail = block[: rng.randrange(0, len(block))]
+            words[at:at] = block * times + tail
+        made.append(words)
+    made += [["a"] * 23, ["a"] * 24, ["a", "b"] * 12, list("abcdefgh") * 3, list("abcdefgh") * 3 + ["a"], list("abcdefghi") * 3,
+             list("abcdefghi")[:8] * 2 + ["x"] + ["a"] * 30 + ["b"] * 24 + ["a"] * 30]
+    return made
+
+
+@pytest.mark.parametrize("least, times", [(24, 3), (6, 3), (8, 2)])
+def test_runs_equal_the_definition(least, times):
+    found = 0
+    for words in texts():
+        expected = brute(words, least, times)
+        assert P.find(P._numbered(words), least, times) == expected
+        found += len(expected)
+    assert found > 20
+
+
+def test_segments_are_stable_and_hold_all_runs():
+    rng = np.random.default_rng(1)
+    for n in (0, 5, 24, 300, 3000):
+        words = rng.zipf(1.3, n) % 50
+        segments = list(P.segments(words))
+        for start, end in segments:
+            assert end - start >= P.LEAST
+            assert np.unique(words[start:end], return_counts=True)[1].min() >= P.TIMES
+        covered = {i for start, end in segments for i in range(start, end)}
+        assert all(i in covered for start, length, _ in brute(words.tolist()[:300]) for i in range(start, start + length))
+
+
+def test_deep_splitting_is_quick():
+    """Every round cuts one word off: counts must not be taken anew for the long rest."""
+    n = 60_000
+    words = np.concatenate([[i, i + 1, i] for i in range(n // 3)])
+    assert list(P.segments(words)) == []
+
+
+def test_query_equals_brute_force(spark):
+    docs = edge.docs(spark)
+    more = [(1000 + i, " ".join(w)) for i, w in enumerate(texts())]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    docs = docs.selectExpr("*", "'x' as runs", "'y' as best", "1 as g", "2 as words")
+    found = sorted(map(str, (tuple(r.values()) for r in edge.rows(P.digest(P.collapse(P.with_repeats(docs)))))))
+    expected = []
+    for row in docs.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", row["text"] or "")
+        n = len(words)
+        h = 1 if row["doc_id"] is None else zlib.crc32(str(row["doc_id"]).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+        runs = brute(words)
+        dropped = {i for s, k, q in runs for i in range(s + q, s + k)}
+        best = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=(None,) * 3)
+        listed = "".join(f"{s},{k},{q}\n" for s, k, q in runs)
+        kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+        sha = [hashlib.sha256(t.encode()).hexdigest() for t in (listed, kept)]
+        expected.append((row["doc_id"], len(runs), *best, None if best[0] is None else 1000 * best[1] // best[2], *sha))
+    assert found == sorted(map(str, expected))
+    assert sum(e[1] > 0 for e in expected) > 20
+
+
+def test_empty_table(spark):
+    assert P.digest(P.collapse(P.with_repeats(edge.empty(spark)))).count() == 0

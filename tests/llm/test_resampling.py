@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerstrata.llm import resampling as R
+from tests.llm import edge
+
+
+def features(text: str | None) -> tuple[int, list[int]]:
+    folded = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+    grams = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    return len(words), [zlib.crc32(g.encode()) % 10000 for g in grams]
+
+
+def brute(docs: list, target: list[str | None]) -> list[tuple]:
+    s, t = Counter(), Counter()
+    for _, text in docs:
+        s.update(features(text)[1])
+    for text in target:
+        t.update(features(text)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + 10000) / ((s[b] + 1) * (all_t + 10000)))) for b in range(10000)]
+    made = []
+    for doc_id, text in docs:
+        n, buckets = features(text)
+        weight = sum(gain[b] for b in buckets) // len(buckets) if buckets else 0
+        name = "null" if doc_id is None else doc_id
+        h = int(hashlib.sha256(f"7:{name}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        made.append([doc_id, len(buckets), weight, score, None, n])
+    able = sorted((r for r in made if r[5] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, row in enumerate(able[: 25 * len(able) // 100], 1):
+        row[4] = rank
+    return [tuple(r[:5]) for r in made]
+
+
+TARGET = ["the same words of a target text, ABC abc", "line of characters", None, "", "日本語 é"]
+
+
+def test_query_equals_brute_force(spark):
+    docs = edge.docs(spark).withColumn("n_features", F.lit(1)).withColumn("weight", F.lit(1))
+    target = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TARGET)], "item_id long, text string, score int")
+    expected = brute([(r["doc_id"], r["text"]) for r in docs.collect()], TARGET)
+    found = [tuple(r) for r in R.resample(docs, target).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+    assert sum(r[4] is not None for r in found) > 5
+
+
+def test_repeated_rows_take_neighbouring_ranks(spark, monkeypatch):
+    monkeypatch.setattr(R, "PIECE", 7)
+    rows = [(1, "one two three " * 9)] * 50 + [(i, f"w{i} " * 25) for i in range(2, 30)] + [(None, "x " * 30)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([("one two",)], "text string")
+    found = R.resample(docs, target, 100)
+    assert sorted(r["rank"] for r in found.collect()) == list(range(1, len(rows) + 1))
+    ranks = sorted(r["rank"] for r in found.where("doc_id = 1").collect())
+    assert len(ranks) == 50 and ranks[-1] - ranks[0] == 49
+
+
+def test_table_tells_equal_keys_apart(monkeypatch):
+    """With one key for all n-grams, only the bytes decide."""
+    texts = [b"a b a c aa a longer-than-eight-bytes longer-than-eight-bytez abcdefgh abcdefgi", b"", None, b"a b " * 9]
+    grams = R.Grams(texts)
+    plain = R.Table(grams)
+    monkeypatch.setattr(R.xxhash, "xxh64_intdigest", lambda data: 5)
+    forced = R.Table(grams)
+    for table in (plain, forced):
+        names = [grams.buffer[a:b] for a, b in zip(grams.start, grams.end)]
+        assert len(set(table.slots.tolist())) == len(set(names))
+        assert {n: zlib.crc32(n) % 10000 for n in names} == {n: table.bucket[s] for n, s in zip(names, table.slots)}
+        assert Counter(names) == {n: table.count[s] for n, s in zip(names, table.slots)}
+    assert np.array_equal(plain.bucket[plain.slots], forced.bucket[forced.slots])
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "text string")
+    assert R.resample(edge.empty(spark), none).count() == 0
+    assert R.resample(edge.docs(spark), none).count() == edge.docs(spark).count()
