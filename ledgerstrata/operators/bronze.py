@@ -28,10 +28,13 @@ def load_plan(source_rows: DataFrame, bronze_rows: DataFrame) -> DataFrame:
     """Decide per date from (date, source_rows) and (date, bronze_rows).
 
     Equal counts: the date is done. Different counts: an earlier load broke off,
-    so the date is rewritten. Dates only Bronze knows are left alone.
+    so the date is rewritten. Dates only Bronze knows are left alone. If `bronze_rows`
+    says whether a date is `sound`, one that is not is rewritten, whatever its count.
     """
+    unsound = ~F.col("sound") if "sound" in bronze_rows.columns else F.lit(False)
     action = (
-        F.when(F.col("bronze_rows").isNull(), WRITE)
+        F.when(unsound, REWRITE)
+        .when(F.col("bronze_rows").isNull(), WRITE)
         .when(F.col("source_rows").isNull(), SKIP)
         .when(F.col("source_rows") == F.col("bronze_rows"), SKIP)
         .otherwise(REWRITE)

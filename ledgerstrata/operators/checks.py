@@ -252,27 +252,27 @@ def _expected_daily(silver: DataFrame) -> DataFrame:
 
 
 def daily_totals_checks(silver: DataFrame, daily: DataFrame, *names: str) -> DataFrame:
-    """G-02 and G-03 from one aggregate of Silver."""
-    joined = daily.join(_expected_daily(silver), "transaction_date", "left")
-    off_by = F.col("total_signed_amount") - F.coalesce("expected_sum", F.lit(0))
+    """G-02 and G-03 from one aggregate of Silver; a date that Gold has lost counts as well."""
+    joined = daily.join(_expected_daily(silver), "transaction_date", "full_outer")
+    off_by = F.coalesce("total_signed_amount", F.lit(0)) - F.coalesce("expected_sum", F.lit(0))
     predicates = {
-        "G-02": F.col("total_transactions") != F.coalesce("expected_n", F.lit(0)),
+        "G-02": F.coalesce("total_transactions", F.lit(0)) != F.coalesce("expected_n", F.lit(0)),
         "G-03": F.abs(off_by) > TOLERANCE,
     }
     return row_checks(joined, {n: predicates[n] for n in names or tuple(predicates)})
 
 
 def g04(silver: DataFrame, codes: DataFrame, weekly: DataFrame) -> DataFrame:
-    """Weekly purchase counts against Silver."""
-    purchase_codes = codes.where(F.col("transaction_type") == "PURCHASE")
+    """Weekly purchase counts against Silver, both ways: a lost or a surplus week row counts."""
+    kinds = codes.select("transaction_code", "transaction_type").distinct()
     expected = (
         silver.where(F.col("_is_resolvable"))
-        .join(purchase_codes.select("transaction_code").distinct(), "transaction_code", "inner")
+        .join(kinds, "transaction_code", "inner")
         .groupBy("account_id", week_start(F.col("transaction_date")).alias("week_start_date"))
-        .agg(F.count("*").alias("expected_n"))
+        .agg(F.count_if(F.col("transaction_type") == "PURCHASE").alias("expected_n"))
     )
-    joined = weekly.join(expected, ["account_id", "week_start_date"], "left")
-    wrong = F.col("total_purchases") != F.coalesce("expected_n", F.lit(0))
+    joined = weekly.join(expected, ["account_id", "week_start_date"], "full_outer")
+    wrong = ~F.col("total_purchases").eqNullSafe(F.col("expected_n"))
     return row_checks(joined, {"G-04": wrong})
 
 

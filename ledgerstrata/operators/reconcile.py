@@ -11,13 +11,21 @@ from ledgerstrata.operators.bronze import rows_per_date
 
 
 def reconcile(bronze: DataFrame, silver: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Per date: bronze, silver and quarantine counts, and what is unaccounted for."""
+    """Per date: bronze, silver and quarantine counts, and what is unaccounted for.
+
+    On written tables the counts come from partition folders and file footers.
+    """
+    return reconcile_counts(*(rows_per_date(rows, "rows") for rows in (bronze, silver, rejects)))
+
+
+def reconcile_counts(bronze: DataFrame, silver: DataFrame, rejects: DataFrame) -> DataFrame:
+    """`reconcile` from rows that say how many `rows` a `date` has, such as manifests."""
     counts = ("bronze_rows", "silver_rows", "quarantine_rows")
-    joined = (
-        rows_per_date(bronze, counts[0])
-        .join(rows_per_date(silver, counts[1]), "date", "full_outer")
-        .join(rows_per_date(rejects, counts[2]), "date", "full_outer")
-    )
+    sides = [
+        table.select("date", F.col("rows").alias(name))
+        for table, name in zip((bronze, silver, rejects), counts)
+    ]
+    joined = sides[0].join(sides[1], "date", "full_outer").join(sides[2], "date", "full_outer")
     filled = joined.select("date", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
     delta = F.col("bronze_rows") - F.col("silver_rows") - F.col("quarantine_rows")
     return filled.withColumn("delta", delta)

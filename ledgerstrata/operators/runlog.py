@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ledgerstrata import schemas as S
 from ledgerstrata.functions.rules import any_of
 from ledgerstrata.functions.scalars import scrub_error
-from ledgerstrata.sources.tables import append_rows, replace_table, scan_table, small_table
+from ledgerstrata.sources.journal import Journal
+from ledgerstrata.sources.tables import replace_table, scan_table, small_table
 
 # Models that must have succeeded before a date counts as fully processed.
 WATERMARK_MODELS = ("silver_transactions", "gold_daily_summary", "gold_weekly_account_summary")
@@ -31,12 +32,20 @@ def append_run_log(rows: DataFrame, path: str) -> None:
     if bad is not None:
         empty = [name for name in S.RUN_LOG_REQUIRED if bad[name] is None]
         raise ValueError(f"run log fields must not be null: {', '.join(empty)}")
-    append_rows(sanitize_errors(rows).select(*S.RUN_LOG.names).coalesce(1), path)
+    journal(rows.sparkSession, path).append(sanitize_errors(rows))
+
+
+def journal(spark: SparkSession, path: str) -> Journal:
+    """The log as a folder of entries by month."""
+    return Journal(spark, path, S.RUN_LOG, "started_at")
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Every attempt, oldest first; empty while nothing was logged."""
-    return scan_table(spark, path, S.RUN_LOG).orderBy("started_at")
+    """Every attempt, oldest first; empty while nothing was logged.
+
+    Files that cannot be read are left out; `journal(…).broken()` names them.
+    """
+    return journal(spark, path).rows().orderBy("started_at")
 
 
 def latest_attempts(log: DataFrame) -> DataFrame:

@@ -7,25 +7,36 @@ driver, never rows.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstrata import schemas as S
+from ledgerstrata.operators import manifest as MF
 from ledgerstrata.operators import runlog
 from ledgerstrata.operators.accounts import (
     classify_accounts,
     first_sightings,
+    keep_stamps,
     passing_accounts,
     silver_accounts,
     upsert_accounts,
 )
 from ledgerstrata.operators.bronze import SKIP, WRITE, load_plan, rows_per_date, with_bronze_audit
 from ledgerstrata.operators.codes import silver_transaction_codes
-from ledgerstrata.operators.gold import gold_daily_summary, gold_weekly_account_summary
+from ledgerstrata.operators.gold import (
+    daily_partials,
+    daily_table,
+    fold_daily,
+    fold_weekly,
+    weekly_partials,
+    weekly_table,
+)
 from ledgerstrata.operators.quarantine import quarantine_accounts
 from ledgerstrata.operators.reconcile import reconcile
 from ledgerstrata.operators.transactions import classify_transactions, split_by_disposition
@@ -42,6 +53,8 @@ from ledgerstrata.sources.tables import (
     table_exists,
 )
 
+logger = logging.getLogger(__name__)
+
 _SOURCE_SCHEMAS = {"transactions": S.TRANSACTION_SOURCE, "accounts": S.ACCOUNT_SOURCE}
 _LAYER = {"bronze": "BRONZE", "silver": "SILVER", "gold": "GOLD"}
 
@@ -93,6 +106,13 @@ class Run:
             frame = small_table(self.lake.spark, rows, S.RUN_LOG)
             runlog.append_run_log(frame, self.lake.log_path)
 
+    def record(
+        self, table: str, counted: DataFrame, days: Iterable[date], inputs: DataFrame | None = None
+    ) -> None:
+        """Put what a write left into the manifest."""
+        made = MF.entries(counted, table, days, self.run_id, _now(), inputs)
+        self.lake.manifest_journal().append(made)
+
     def attempt(
         self, model: str, days: Iterable[date | None], work: Callable[[], list[Outcome]]
     ) -> bool:
@@ -117,26 +137,41 @@ def _counts(rows: DataFrame) -> dict[date, int]:
 # ---------------------------------------------------------------------------
 # Bronze
 # ---------------------------------------------------------------------------
+def bronze_rows_found(lake: Lake, entity: str, days: Iterable[date]) -> DataFrame:
+    """(date, bronze_rows, sound) of the given days: the manifest against file footers.
+
+    Only footers are read. A file that is missing, cut or unreadable makes its day
+    unsound, and so does one the manifest does not know.
+    """
+    path, schema = lake.path("bronze", entity), lake.bronze(entity).schema
+    days = list(days)
+    expected = on_dates(MF.newest(lake.manifest(), f"bronze_{entity}"), days)
+    if table_exists(lake.spark, path):
+        tolerant = lake.spark.read.option("ignoreCorruptFiles", True).schema(schema).parquet(path)
+        name = F.col("_metadata.file_name").alias("file")
+        found = on_dates(tolerant, days).groupBy("date", name).agg(F.count("*").alias("rows"))
+    else:
+        found = expected.where(F.lit(False))
+    return MF.audit(expected, found)
+
+
 def bronze_actions(lake: Lake, entity: str, files: DataFrame) -> dict[date, str]:
     """Load action per date that has an extract.
 
-    A date without a Bronze partition needs no counting. Only dates that are on
-    disk already are counted on both sides; Bronze counts come from file footers,
-    and an unreadable Bronze file counts as rows that are not there.
+    Dates that Bronze has never held need no counting. The others are counted on both
+    sides; what the manifest and the files of a date do not agree on is written again.
     """
     paths = {row["path"]: row["date"] for row in files.collect()}
     actions = {day: WRITE for day in paths.values()}
-    bronze_path = lake.path("bronze", entity)
-    if not table_exists(lake.spark, bronze_path):
+    if not actions:
+        return actions
+    stored = bronze_rows_found(lake, entity, actions)
+    present = _days(stored)
+    if not present:
         return actions
-    tolerant = lake.spark.read.option("ignoreCorruptFiles", True)
-    schema = lake.bronze(entity).schema
-    stored = on_dates(tolerant.schema(schema).parquet(bronze_path), actions)
-    bronze_rows = rows_per_date(stored, "bronze_rows")
-    present = _days(bronze_rows)
     recount = [path for path, day in paths.items() if day in present]
     source = extracts.scan_extracts(lake.spark, recount, _SOURCE_SCHEMAS[entity], lake.multi_line)
-    plan = load_plan(rows_per_date(source, "source_rows"), bronze_rows)
+    plan = load_plan(rows_per_date(source, "source_rows"), stored)
     # A file that shrank to its header has no count of its own: rewrite it.
     stale = F.col("source_rows").isNull()
     decided = plan.select("date", F.when(stale, "REWRITE").otherwise(F.col("action")).alias("action"))
@@ -156,6 +191,8 @@ def load_bronze(run: Run, entity: str, days: list[date]) -> list[Outcome]:
         # A CSV split belongs to one day, so no shuffle is needed to group days.
         replace_partitions(with_bronze_audit(rows, run.run_id, run.now), path)
         drop_emptied(run, path, lake.bronze(entity), "_ingested_at", todo)
+        written = on_dates(lake.bronze(entity), todo)
+        run.record(f"bronze_{entity}", MF.by_file(written, _SOURCE_SCHEMAS[entity].names), todo)
     counts = _counts(on_dates(lake.bronze(entity), actions))
     outcomes = []
     for day in days:
@@ -182,11 +219,14 @@ def drop_emptied(run: Run, path: str, table: DataFrame, stamp: str, days: Iterab
 def load_isolated(run: Run, entity: str, days: list[date]) -> list[Outcome]:
     """`load_bronze`, with a broken extract failing its own date only.
 
-    All days are one job; if that fails, its halves are tried, down to the broken days.
+    All days are one job; if an extract breaks it, its halves are tried, down to the broken
+    days. Any other fault, such as a full disk, fails all days at once.
     """
     try:
         return load_bronze(run, entity, days)
-    except Exception as error:  # any fault of a file is its date's fault
+    except Exception as error:
+        if not extracts.is_broken_extract(error):
+            raise
         if len(days) == 1:
             return [Outcome(days[0], S.FAILED, error=str(error))]
         half = len(days) // 2
@@ -238,7 +278,8 @@ def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
     The day after all others only replaces the accounts it brings. Any other set of
     days rebuilds the snapshot from the deltas of these and all promoted days, so the
     order of loading does not show. Deltas that a broken run left in Bronze for other days
-    wait for their own promotion. A day without deltas is a success: the snapshot covers
+    wait for their own promotion. Rows that a rebuild finds unchanged keep their audit
+    values. A day without deltas is a success: the snapshot covers
     it all the same.
     """
     lake = run.lake
@@ -252,6 +293,8 @@ def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
     else:
         everything = passing_accounts(classify_accounts(on_dates(bronze, promoted | set(days))))
         snapshot = silver_accounts(everything, run.run_id, run.now)
+        if promoted:
+            snapshot = keep_stamps(snapshot, lake.silver_accounts())
     replace_table(snapshot, lake.path("silver", "accounts"))
     path = lake.path("silver", "accounts_rejected")
     rejects = quarantine_accounts(fresh, run.run_id, run.now)
@@ -290,15 +333,15 @@ def require_accounts_ready(lake: Lake, days: list[date]) -> None:
 def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
     """Classify the given days together and write both outcomes in one job.
 
-    Days that succeeded earlier supply the ids already taken. What a broken run
-    left of the given days is dropped first, so a repeat cannot see its own rows.
+    Days that succeeded earlier supply the ids already taken: only those of the
+    judgements that hold, so a repeat cannot see its own rows.
     """
     lake = run.lake
     require_accounts_ready(lake, days)
     lake.require_built("silver_transaction_codes", "silver", "transaction_codes")
     done = runlog.succeeded_dates(lake.run_log(), "silver_transactions")
     others = _days(done) - set(days)
-    accepted_before = on_dates(lake.silver_transactions(), others) if others else None
+    accepted_before = taken_ids(lake, others) if others else None
     with Scratch(lake.spark, "rulings") as scratch:
         classified = classify_transactions(
             on_dates(lake.addressed_transactions(), days).drop("_pipeline_run_id"),
@@ -340,22 +383,93 @@ def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
                 None if sound else f"{row['delta']} rows unaccounted for",
             )
         )
+    record_judgement(run, days)
     return outcomes
 
 
+def judgements(lake: Lake, days: Iterable[date]) -> DataFrame:
+    """(date, judged_at) of the judgements in force for the given days."""
+    judged = on_dates(MF.versions(lake.manifest(), "silver_transactions"), days)
+    rows = judged.select("date", "recorded_at").collect()
+    schema = T.StructType([f for f in S.ACCEPTED_IDS.fields if f.name != "transaction_id"])
+    return small_table(lake.spark, [tuple(row) for row in rows], schema)
+
+
+def taken_ids(lake: Lake, days: Iterable[date]) -> DataFrame:
+    """Ids accepted on the given days, by bucket; a lost table is filled from Silver."""
+    table, held = lake.accepted_ids(), judgements(lake, days)
+    if not table.exists():
+        silver = on_dates(lake.silver_transactions(), days)
+        table.append(silver.join(F.broadcast(held), "date"))
+    return table.valid(held)
+
+
+def record_judgement(run: Run, days: list[date]) -> None:
+    """Store the ids the days have taken, and what they were judged from.
+
+    The ids carry the time of the manifest's entry. They come first: without the entry
+    they are of no judgement, and nobody reads them.
+    """
+    lake, when = run.lake, _now()
+    silver = on_dates(lake.silver_transactions(), days)
+    stamp = F.lit(when).cast("timestamp").alias("judged_at")
+    lake.accepted_ids().append(silver.select("transaction_id", "date", stamp))
+    bronze = MF.versions(lake.manifest(), "bronze_transactions")
+    content = [c for c in S.SILVER_TRANSACTIONS.names if c not in S.STAMPS]
+    rejects = on_dates(lake.rejected_transactions(), days)
+    reasons = [*S.TRANSACTION_SOURCE.names, "_rejection_reason"]
+    made = [
+        MF.entries(MF.by_date(rows, columns), table, days, run.run_id, when, bronze)
+        for table, rows, columns in (
+            ("silver_transactions", silver, content),
+            ("silver_quarantine", rejects, reasons),
+        )
+    ]
+    lake.manifest_journal().append(made[0].unionByName(made[1]))
+
+
+def moved_days(lake: Lake, days: Iterable[date]) -> set[date]:
+    """Of the given days, those whose Bronze rows are not the ones they were judged from."""
+    kept = lake.manifest()
+    judged = on_dates(MF.versions(kept, "silver_transactions"), days)
+    return set(days) - _days(MF.current(judged, MF.versions(kept, "bronze_transactions")))
+
+
 # ---------------------------------------------------------------------------
 # Gold
 # ---------------------------------------------------------------------------
-def build_gold(run: Run, model: str) -> None:
+def refresh_partials(run: Run, gate: list[date]) -> None:
+    """Bring the partial aggregates of the gated dates up to date with Silver.
+
+    Only dates whose Silver rows the partials do not stand for yet are read. The manifest names them last, so that a broken refresh is done again.
+    """
     lake = run.lake
-    silver, codes = lake.published_transactions(), lake.silver_codes()
+    kept = lake.manifest()
+    silver = MF.versions(kept, "silver_transactions")
+    fresh = MF.current(MF.versions(kept, "gold_partials"), silver)
+    due = sorted(set(gate) - _days(fresh))
+    if not due:
+        return
+    rows = on_dates(lake.silver_transactions(), due)
+    tables = {"daily_partials": daily_partials, "weekly_partials": weekly_partials}
+    for name, build in tables.items():
+        path = lake.path("gold", name)
+        drop_partitions(lake.spark, path, due)
+        replace_partitions(evenly_sized(build(rows, "date"), "date"), path)
+    made = on_dates(lake.daily_partials(), due)
+    run.record("gold_partials", MF.by_date(made, [f for f in made.columns if f != "date"]), due, silver)
+
+
+def build_gold(run: Run, model: str, gate: list[date]) -> None:
+    """Fold the partials of all gated dates; Silver itself is not read."""
+    lake, codes = run.lake, run.lake.silver_codes()
     if model == "gold_daily_summary":
-        table = gold_daily_summary(silver, codes, run.run_id, run.now)
+        figures = fold_daily(on_dates(lake.daily_partials(), gate), codes)
+        table = daily_table(figures, run.run_id, run.now)
         replace_table(table.orderBy("transaction_date"), lake.path("gold", "daily_summary"))
     else:
-        table = gold_weekly_account_summary(
-            silver, codes, lake.silver_accounts(), run.run_id, run.now
-        )
+        figures = fold_weekly(on_dates(lake.weekly_partials(), gate), codes)
+        table = weekly_table(figures, lake.silver_accounts(), run.run_id, run.now)
         replace_table(
             table.orderBy("week_start_date", "account_id"),
             lake.path("gold", "weekly_account_summary"),
@@ -370,13 +484,18 @@ def publish_gold(run: Run, days: list[date]) -> bool:
     """
     lake = run.lake
     log = lake.run_log()
-    published = _days(runlog.succeeded_dates(log, "silver_transactions"))
+    gate = sorted(_days(lake.promotion_gate()))
     tables = {"gold_daily_summary": lake.gold_daily, "gold_weekly_account_summary": lake.gold_weekly}
     covered = _days(runlog.succeeded_dates(log, *tables))
-    logged = sorted((published - covered) | (published & set(days)))
+    logged = [day for day in gate if day not in covered or day in days]
+    refreshed = False
 
     def build(model: str) -> list[Outcome]:
-        build_gold(run, model)
+        nonlocal refreshed
+        if not refreshed:
+            refresh_partials(run, gate)
+            refreshed = True
+        build_gold(run, model, gate)
         n = tables[model]().count()
         return [Outcome(day, S.SUCCESS, written=n) for day in logged]
 
@@ -398,12 +517,25 @@ def advance_watermark(run: Run) -> date | None:
     return day
 
 
+def tidy(run: Run) -> None:
+    """Fold what many small appends have left: log, manifest and buckets of ids."""
+    lake = run.lake
+    lake.log_journal().compact()
+    lake.manifest_journal().compact()
+    lake.accepted_ids().compact(
+        lambda: judgements(lake, _days(runlog.succeeded_dates(lake.run_log(), "silver_transactions")))
+    )
+
+
 # ---------------------------------------------------------------------------
 # Runs
 # ---------------------------------------------------------------------------
 def _process(run: Run, days: list[date]) -> date | None:
     """Bronze, Silver, Gold and watermark for the given days; None if held back."""
     lake = run.lake
+    for journal in (lake.log_journal(), lake.manifest_journal()):
+        for row in journal.broken().collect():
+            logger.warning("unreadable file %s is left out", row["file"])
     mark = runlog.read_watermark(lake.spark, lake.control_path)
     asked = days
     for entity in ("accounts", "transactions"):
@@ -415,7 +547,8 @@ def _process(run: Run, days: list[date]) -> date | None:
         return None
     done = _days(runlog.succeeded_dates(lake.run_log(), "silver_transactions"))
     arrived = _days(extracts.list_extracts(lake.spark, lake.source, "transactions", days))
-    batch = sorted(arrived - done)
+    # A day whose Bronze rows have changed since it was judged is judged again.
+    batch = sorted((arrived - done) | moved_days(lake, done & set(days)))
     absent = sorted(set(days) - arrived - done)
 
     # Account deltas are promoted whether or not transactions came that day.
@@ -432,6 +565,7 @@ def _process(run: Run, days: list[date]) -> date | None:
     if not publish_gold(run, days):
         return None
     reached = advance_watermark(run)
+    tidy(run)
     return reached if days == asked or reached != mark else None
 
 
@@ -440,8 +574,8 @@ def run_historical(
 ) -> date | None:
     """Process every date of a range; returns the watermark, None if it stayed.
 
-    Dates that succeeded before are not judged again, and missing extracts hold
-    the watermark before the gap without failing the run.
+    Dates that succeeded before are judged again only if their Bronze rows have changed,
+    and missing extracts hold the watermark before the gap without failing the run.
     """
     run = Run(lake, run_id, S.HISTORICAL, now or _now())
     codes_done = lake.run_log().where(

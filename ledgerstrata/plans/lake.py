@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstrata import schemas as S
+from ledgerstrata.operators import manifest as MF
+from ledgerstrata.operators import reconcile as RC
 from ledgerstrata.operators import runlog
 from ledgerstrata.operators.quarantine import quarantine_all
+from ledgerstrata.sources.buckets import BucketedIds
+from ledgerstrata.sources.journal import Journal
 from ledgerstrata.sources.tables import scan_addressed, scan_table, table_exists
 
 _BRONZE = {"transactions": S.BRONZE_TRANSACTIONS, "accounts": S.BRONZE_ACCOUNTS}
@@ -37,6 +41,8 @@ class Lake:
     source: str
     #: Whether extracts may hold line breaks inside quotes; each file is then one task's.
     multi_line: bool = False
+    #: Hash buckets of the ids of accepted transactions.
+    id_buckets: int = 16
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -78,14 +84,27 @@ class Lake:
     def silver_transactions(self) -> DataFrame:
         return scan_table(self.spark, self.outcome_path(S.ACCEPTED), S.SILVER_TRANSACTIONS)
 
-    def published_transactions(self) -> DataFrame:
-        """Silver rows of the dates whose latest attempt succeeded.
+    def promotion_gate(self) -> DataFrame:
+        """Dates that Gold may read, from log and manifests; no row of a table is read.
 
-        The log is the authority: a date a broken run left half written is not
-        read. The dates prune partitions when the query runs.
+        The latest attempt of the date succeeded, its Bronze rows are still those that were
+        judged, and each of them is in Silver or in quarantine.
         """
         done = runlog.succeeded_dates(self.run_log(), "silver_transactions")
-        return self.silver_transactions().join(done, "date", "left_semi")
+        kept = self.manifest()
+        bronze = MF.versions(kept, "bronze_transactions")
+        judged = MF.current(MF.versions(kept, "silver_transactions"), bronze)
+        rejected = MF.versions(kept, "silver_quarantine")
+        counted = RC.reconcile_counts(bronze, judged, rejected).join(judged.select("date"), "date", "left_semi")
+        return RC.promotion_gate(counted).join(done, "date", "left_semi")
+
+    def published_transactions(self) -> DataFrame:
+        """Silver rows of the dates that pass the gate.
+
+        A date a broken run left half written, or whose Bronze rows have changed since, is
+        not read. The dates prune partitions when the query runs.
+        """
+        return RC.gated(self.silver_transactions(), self.promotion_gate())
 
     def rejected_transactions(self) -> DataFrame:
         renamed = {raw: name for name, raw in S.RAW_FIELDS.items()}
@@ -111,8 +130,27 @@ class Lake:
     def gold_weekly(self) -> DataFrame:
         return scan_table(self.spark, self.path("gold", "weekly_account_summary"), S.GOLD_WEEKLY)
 
+    def log_journal(self) -> Journal:
+        return runlog.journal(self.spark, self.log_path)
+
     def run_log(self) -> DataFrame:
-        return scan_table(self.spark, self.log_path, S.RUN_LOG)
+        return self.log_journal().rows()
+
+    def manifest_journal(self) -> Journal:
+        return Journal(self.spark, self.path("pipeline", "manifest"), S.MANIFEST, "recorded_at")
+
+    def manifest(self) -> DataFrame:
+        """What each write left, by table and date; see `operators.manifest`."""
+        return self.manifest_journal().rows()
+
+    def accepted_ids(self) -> BucketedIds:
+        return BucketedIds(self.spark, self.path("silver", "transaction_ids"), self.id_buckets)
+
+    def daily_partials(self) -> DataFrame:
+        return scan_table(self.spark, self.path("gold", "daily_partials"), S.DAILY_PARTIALS)
+
+    def weekly_partials(self) -> DataFrame:
+        return scan_table(self.spark, self.path("gold", "weekly_partials"), S.WEEKLY_PARTIALS)
 
     def control(self) -> DataFrame:
         return scan_table(self.spark, self.control_path, S.CONTROL)

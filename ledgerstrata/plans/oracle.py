@@ -237,6 +237,40 @@ _LINEITEM = (
     f"{_daily('daily', 'silver')},\n{_weekly('weekly', 'silver')}\n"
 )
 
+
+# A day's extract that had only some of its rows when it was first loaded: the rest of its
+# rows come in when all other days are taken.
+_LATE_DAY = "DATE '2024-01-11'"
+_REGROWN = f"""WITH {_BASE.replace("txn AS (", "whole AS (", 1)},
+txn AS (SELECT * FROM whole WHERE date <> {_LATE_DAY} OR seq % 10 > 0),
+{_classified(_TEXT_ORDER)},
+{_DERIVED},
+again AS (
+  SELECT w.*, c.debit_credit_indicator AS _indicator, COALESCE(k.known_from <= w.date, false) AS _is_resolvable,
+         CASE WHEN w.transaction_id IS NULL OR w.account_id IS NULL THEN 'NULL_REQUIRED_FIELD'
+              WHEN amount <= 0 THEN 'INVALID_AMOUNT'
+              WHEN w.transaction_id IN (SELECT s.transaction_id FROM silver s WHERE s.date <> {_LATE_DAY})
+                THEN 'DUPLICATE_TRANSACTION_ID'
+              WHEN c.transaction_code IS NULL THEN 'INVALID_TRANSACTION_CODE'
+              WHEN channel NOT IN ('ONLINE','IN_STORE') THEN 'INVALID_CHANNEL' END AS reason
+  FROM whole w LEFT JOIN codes c ON w.transaction_code = c.transaction_code
+  LEFT JOIN known k ON w.account_id = k.account_id WHERE w.date = {_LATE_DAY}),
+ruled AS (
+  SELECT *, reason IS NULL AND ROW_NUMBER() OVER (PARTITION BY transaction_id, reason IS NULL ORDER BY {_TEXT_ORDER}) = 1 AS taken
+  FROM again),
+regrown AS (
+  SELECT transaction_date, transaction_code, channel, _is_resolvable, _signed_amount FROM silver WHERE date <> {_LATE_DAY}
+  UNION ALL
+  SELECT transaction_date, transaction_code, channel, _is_resolvable,
+         CAST(CASE WHEN _indicator = 'DR' THEN amount ELSE -amount END AS DECIMAL(18,2)) FROM ruled WHERE taken),
+{_daily('regrown_daily', 'regrown')},
+regrown_recon AS (
+  SELECT * FROM recon WHERE date <> {_LATE_DAY}
+  UNION ALL
+  SELECT date, COUNT(*), COUNT(*) FILTER (WHERE taken), COUNT(*) FILTER (WHERE NOT taken), CAST(0 AS BIGINT)
+  FROM ruled GROUP BY date)
+"""
+
 _SOURCE = ", ".join(S.TRANSACTION_SOURCE.names)
 _SOURCE_TEXT = (
     "transaction_id, account_id, CAST(transaction_date AS VARCHAR) AS transaction_date, "
@@ -276,9 +310,6 @@ _DIFF = f"""SELECT a.metric, a.value AS first_value, b.value AS second_value
   FROM ({_metrics('daily', 'weekly')}) a JOIN ({_metrics('stale_daily', 'stale_weekly')}) b ON a.metric = b.metric
   WHERE a.value IS DISTINCT FROM b.value"""
 
-_REPORT = """SELECT r.*, d.total_transactions, d.total_signed_amount, DATE '{mark}' AS watermark
-  FROM recon r LEFT JOIN daily d ON r.date = d.transaction_date"""
-
 _ORACLE: dict[str, tuple[str, str]] = {
     "bronze_transactions": (_EVENTS, f"SELECT {_SOURCE_TEXT}, {_AUDIT}, date FROM txn"),
     "bronze_accounts": (_EVENTS, f"SELECT {_ACCOUNT_TEXT}, {_AUDIT}, date FROM acc_full"),
@@ -301,10 +332,11 @@ _ORACLE: dict[str, tuple[str, str]] = {
     ),
     "bronze_load_plan": (
         _EVENTS,
-        """SELECT date, source_rows, CASE WHEN DAY(date) = 3 THEN NULL WHEN DAY(date) = 5 THEN source_rows - 1
+        """SELECT date, source_rows, CASE WHEN DAY(date) IN (2, 3, 5, 7) THEN NULL WHEN DAY(date) = 9 THEN found
                     ELSE source_rows END AS bronze_rows,
-                  CASE DAY(date) WHEN 3 THEN 'WRITE' WHEN 5 THEN 'REWRITE' ELSE 'SKIP' END AS action
-           FROM (SELECT date, COUNT(*) AS source_rows FROM txn GROUP BY date)""",
+                  CASE WHEN DAY(date) = 2 THEN 'WRITE' WHEN DAY(date) IN (3, 5, 7) OR found <> source_rows AND DAY(date) = 9
+                    THEN 'REWRITE' ELSE 'SKIP' END AS action
+           FROM (SELECT date, COUNT(*) AS source_rows, COUNT(*) FILTER (seq % 10 > 0) AS found FROM txn GROUP BY date)""",
     ),
     "silver_transaction_codes": (
         _EVENTS,
@@ -415,8 +447,27 @@ _ORACLE: dict[str, tuple[str, str]] = {
     ),
     "incremental_run": (
         _LAKE,
-        _REPORT.format(mark="2024-01-13") + " WHERE r.date <= DATE '2024-01-13'",
+        """SELECT r.*, d.total_transactions, d.total_signed_amount, (SELECT MAX(date) FROM txn) AS watermark
+           FROM recon r LEFT JOIN daily d ON r.date = d.transaction_date""",
+    ),
+    "regrown_extract_run": (
+        _REGROWN,
+        """SELECT r.*, d.total_transactions, d.total_signed_amount, (SELECT MAX(date) FROM txn) AS watermark
+           FROM regrown_recon r LEFT JOIN regrown_daily d ON r.date = d.transaction_date""",
+    ),
+    "run_log_compacted": (_EVENTS, "SELECT * FROM log"),
+    "reconciliation_lost_partition": (
+        _EVENTS,
+        f"""SELECT date, bronze_rows, CASE WHEN date = {_STALE} THEN 0 ELSE silver_rows END AS silver_rows,
+                   quarantine_rows, CASE WHEN date = {_STALE} THEN silver_rows ELSE 0 END AS delta FROM recon""",
+    ),
+    "idempotency_content_diff": (
+        _EVENTS,
+        """SELECT 'silver_transactions' AS table_name, date, COUNT(*) AS first_rows, COUNT(*) AS second_rows
+           FROM silver WHERE date = (SELECT date FROM silver ORDER BY transaction_id LIMIT 1) GROUP BY date""",
     ),
+    "gold_daily_from_partials": (_EVENTS, "SELECT * FROM daily"),
+    "gold_weekly_from_partials": (_EVENTS, "SELECT * FROM weekly"),
     "gold_spine_mismatch": (
         _EVENTS,
         """SELECT DISTINCT transaction_date, 'MISSING_IN_GOLD' AS mismatch FROM silver
@@ -424,9 +475,10 @@ _ORACLE: dict[str, tuple[str, str]] = {
     ),
 }
 
-_EXPECTED_WEEKLY = """SELECT account_id, CAST(DATE_TRUNC('week', transaction_date) AS DATE) AS week_start_date, COUNT(*) AS n
+_EXPECTED_WEEKLY = """SELECT account_id, CAST(DATE_TRUNC('week', transaction_date) AS DATE) AS week_start_date,
+         COUNT(*) FILTER (WHERE transaction_type = 'PURCHASE') AS n
   FROM silver JOIN codes USING (transaction_code)
-  WHERE _is_resolvable AND transaction_type = 'PURCHASE' GROUP BY ALL"""
+  WHERE _is_resolvable GROUP BY ALL"""
 _DAILY_PAIR = "generous_daily g JOIN daily d ON g.transaction_date = d.transaction_date"
 _DONE = "SELECT run_id FROM log WHERE status = 'SUCCESS' AND model_name ="
 _RUN_1, _RUN_2 = "'run-' || CAST(date AS VARCHAR) || '-1'", "'run-' || CAST(date AS VARCHAR) || '-2'"
@@ -464,9 +516,9 @@ _VIOLATIONS: dict[str, str] = {
     "G-02": f"SELECT COUNT(*) FROM {_DAILY_PAIR} WHERE g.total_transactions <> d.total_transactions",
     "G-03": f"""SELECT COUNT(*) FROM {_DAILY_PAIR}
                 WHERE ABS(g.total_signed_amount - d.total_signed_amount) > 0.001""",
-    "G-04": f"""SELECT COUNT(*) FROM online_weekly w LEFT JOIN ({_EXPECTED_WEEKLY}) s
+    "G-04": f"""SELECT COUNT(*) FROM online_weekly w FULL JOIN ({_EXPECTED_WEEKLY}) s
                 ON w.account_id = s.account_id AND w.week_start_date = s.week_start_date
-                WHERE w.total_purchases <> COALESCE(s.n, 0)""",
+                WHERE w.total_purchases IS DISTINCT FROM s.n""",
     "G-05": "SELECT COUNT(*) FROM shifted WHERE EXTRACT(DOW FROM week_start_date) <> 1",
     "G-06": "SELECT COUNT(*) FROM shifted WHERE week_end_date <> week_start_date + 6",
     "G-07": """SELECT (SELECT COUNT(*) FROM daily WHERE total_transactions <= 100)

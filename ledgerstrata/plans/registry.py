@@ -7,7 +7,7 @@ something; the tests run the same checks on a clean lake and expect zero.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from ledgerstrata.operators import bronze as BR
 from ledgerstrata.operators import checks as CK
 from ledgerstrata.operators import codes as CD
 from ledgerstrata.operators import gold as GD
+from ledgerstrata.operators import manifest as MF
 from ledgerstrata.operators import quarantine as QU
 from ledgerstrata.operators import reconcile as RC
 from ledgerstrata.operators import runlog as RL
@@ -29,13 +30,15 @@ from ledgerstrata.plans.lake import Lake
 from ledgerstrata.sources import adapters as A
 from ledgerstrata.sources import extracts as EX
 from ledgerstrata.sources import tables as TB
+from ledgerstrata.sources.buckets import BucketedIds
+from ledgerstrata.sources.journal import Journal
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Reports of the demonstration inputs.
 STALE_DAY = date(2024, 1, 20)
-FIRST_DAY, LAST_HISTORICAL_DAY = date(2024, 1, 1), date(2024, 1, 12)
+LATE_DAY = date(2024, 1, 11)
 
 
 class Ledger:
@@ -250,12 +253,25 @@ def missing_dates(e: Events) -> DataFrame:
 
 @query()
 def bronze_load_plan(e: Events) -> DataFrame:
-    """Source counts against a Bronze table that lacks a day and broke off another."""
-    source = BR.rows_per_date(e.transactions, "source_rows")
-    day = F.dayofmonth("date")
-    lost = F.when(day == 5, 1).otherwise(0)
-    stored = source.where(day != 3).select("date", (F.col("source_rows") - lost).alias("bronze_rows"))
-    return BR.load_plan(source, stored)
+    """What a load would do to a Bronze table with five kinds of damage.
+
+    Of the days of the month, the 2nd was never loaded, the 3rd is gone, a file of the 5th
+    is cut, one of the 7th is no Parquet file, and the extract of the 9th has grown since.
+    """
+    run = _bronze_run(e)
+    lake, days = run.lake, _event_days(e)
+    short = f"{lake.source}-short"
+    rows = e.transactions.where((F.dayofmonth("date") != 9) | (F.col("seq") % 10 > 0))
+    dump_extracts(rows, "transactions", S.TRANSACTION_SOURCE.names, short)
+    earlier = jobs.Run(Lake(e.spark, lake.root, short), A.RUN_ID, S.HISTORICAL, A.RUN_TIME)
+    jobs.load_bronze(earlier, "transactions", [day for day in days if day.day != 2])
+    harm = {3: TB.drop_files, 5: TB.cut_files, 7: TB.spoil_files}
+    for day in days:
+        if day.day in harm:
+            harm[day.day](e.spark, f"{lake.path('bronze', 'transactions')}/date={day}")
+    source = EX.scan_entity(e.spark, lake.source, "transactions", S.TRANSACTION_SOURCE)
+    found = jobs.bronze_rows_found(lake, "transactions", days)
+    return BR.load_plan(BR.rows_per_date(source, "source_rows"), found)
 
 
 # ---------------------------------------------------------------------------
@@ -297,10 +313,19 @@ def transactions_classified(e: Events) -> DataFrame:
 
 @query()
 def transactions_classified_rerun(e: Events) -> DataFrame:
-    """The dates after the 20th, judged against the Silver ids of those before."""
+    """The dates after the 20th, judged against the ids taken before, held in hash buckets.
+
+    A judgement of the 20th that no longer holds left ids too; they must not count.
+    """
     late = F.col("date") > F.lit(STALE_DAY)
     before = e.judge(e.transactions.where(~late)).where(F.col("_rejection_reason").isNull())
-    again = e.judge(e.transactions.where(late), before)
+    table = BucketedIds(e.spark, TB.shared_dir(e.spark, "ids"), 8)
+    now, old = F.lit(A.RUN_TIME).cast("timestamp"), F.lit(A.RUN_TIME - timedelta(days=1)).cast("timestamp")
+    stale = e.transactions.where(late).select("transaction_id", F.lit(STALE_DAY).alias("date"))
+    table.append(stale.where(F.col("transaction_id").isNotNull()).withColumn("judged_at", old))
+    table.append(before.withColumn("judged_at", now))
+    in_force = before.select("date").distinct().withColumn("judged_at", now)
+    again = e.judge(e.transactions.where(late), table.valid(in_force))
     return again.select("seq", *_VERDICT, "_is_resolvable", "_rejection_reason")
 
 
@@ -354,6 +379,21 @@ def gold_weekly_account_summary(e: Events) -> DataFrame:
     return e.weekly
 
 
+@query()
+def gold_daily_from_partials(e: Events) -> DataFrame:
+    """Daily figures folded from partials that were written by processing date."""
+    path = TB.shared_dir(e.spark, "partials")
+    TB.replace_partitions(TB.evenly_sized(GD.daily_partials(e.silver, "date"), "date"), path)
+    return GD.fold_daily(TB.scan_table(e.spark, path, S.DAILY_PARTIALS), e.codes)
+
+
+@query()
+def gold_weekly_from_partials(e: Events) -> DataFrame:
+    path = TB.shared_dir(e.spark, "partials")
+    TB.replace_partitions(TB.evenly_sized(GD.weekly_partials(e.silver, "date"), "date"), path)
+    return GD.fold_weekly(TB.scan_table(e.spark, path, S.WEEKLY_PARTIALS), e.codes)
+
+
 @query(on=Lineitems)
 def transactions_classified_lineitem(ledger: Lineitems) -> DataFrame:
     return ledger.classified.select(*_VERDICT, "_is_resolvable", "_rejection_reason")
@@ -383,6 +423,21 @@ def reconciliation(e: Events) -> DataFrame:
     return RC.reconcile(e.transactions, e.silver, e.rejects)
 
 
+@query()
+def reconciliation_lost_partition(e: Events) -> DataFrame:
+    """Counts from the footers of written tables, after Silver has lost a day's files."""
+    root = TB.shared_dir(e.spark, "layers")
+    bronze = e.transactions.select(*S.TRANSACTION_SOURCE.names, "date")
+    TB.replace_partitions(TB.evenly_sized(bronze, "date"), f"{root}/bronze")
+    outcome = TX.split_by_disposition(e.classified, A.RUN_ID, A.RUN_TIME)
+    TB.replace_partitions(
+        TB.evenly_sized(outcome, "disposition", "date"), f"{root}/silver", "disposition", "date"
+    )
+    TB.drop_files(e.spark, f"{root}/silver/disposition={S.ACCEPTED}/date={STALE_DAY}")
+    layers = ["bronze", f"silver/disposition={S.ACCEPTED}", f"silver/disposition={S.REJECTED}"]
+    return RC.reconcile(*(TB.scan_table(e.spark, f"{root}/{layer}", S.DAYS) for layer in layers))
+
+
 def _leaky_reconciliation(e: Events) -> DataFrame:
     """Silver and quarantine after the rejected channels were lost."""
     e.store()
@@ -446,6 +501,25 @@ def idempotency_diff(e: Events) -> DataFrame:
     return _differing_metrics(e)
 
 
+@query()
+def idempotency_content_diff(e: Events) -> DataFrame:
+    """Two runs that differ in one cent of one row, told apart by their manifests alone."""
+    e.store()
+    content = [c for c in S.SILVER_TRANSACTIONS.names if c not in S.STAMPS]
+    first = e.silver.select(F.min("transaction_id")).first()[0]
+    cent = F.when(F.col("transaction_id") == first, F.lit("0.01").cast(S.MONEY)).otherwise(0)
+    altered = e.silver.withColumn("amount", (F.col("amount") + cent).cast(S.MONEY))
+    days = _event_days(e)
+    manifests = []
+    for silver in (e.silver, altered):
+        kept = Journal(e.spark, TB.shared_dir(e.spark, "manifest"), S.MANIFEST, "recorded_at")
+        tables = {"silver_transactions": (silver, content), "silver_quarantine": (e.rejects, S.TRANSACTION_SOURCE.names)}
+        for name, (rows, columns) in tables.items():
+            kept.append(MF.entries(MF.by_date(rows, columns), name, days, A.RUN_ID, A.RUN_TIME))
+        manifests.append(kept.rows())
+    return MF.compare(*manifests)
+
+
 # ---------------------------------------------------------------------------
 # Run log and watermark
 # ---------------------------------------------------------------------------
@@ -464,6 +538,20 @@ def run_log(e: Events) -> DataFrame:
     return _plain_times(RL.read_run_log(e.spark, path))
 
 
+@query()
+def run_log_compacted(e: Events) -> DataFrame:
+    """The log in many appends, folded twice on the way, with a broken file in its folder."""
+    path = TB.shared_dir(e.spark, "run-log")
+    kept = RL.journal(e.spark, path)
+    for part in range(6):
+        RL.append_run_log(e.log.where(F.dayofmonth("processing_date") % 6 == part), path)
+        if part in (2, 4):
+            kept.compact(most=1)
+    TB.write_junk(e.spark, f"{path}/entries/month=2024-01/part-junk.parquet")
+    TB.write_junk(e.spark, f"{path}/junk.parquet")
+    return _plain_times(kept.rows())
+
+
 @query()
 def run_log_latest(e: Events) -> DataFrame:
     return _plain_times(RL.latest_attempts(e.log)).drop("error_message")
@@ -537,13 +625,30 @@ def historical_run(e: Events) -> DataFrame:
 
 @query()
 def incremental_run(e: Events) -> DataFrame:
-    """A historical run of twelve days, then one day more; a gap must not stop it."""
+    """A historical run of all days but the last, which comes by an incremental run."""
     lake = _lake(e)
-    jobs.run_historical(lake, FIRST_DAY, LAST_HISTORICAL_DAY, A.RUN_ID)
+    days = _event_days(e)
+    jobs.run_historical(lake, days[0], days[-2], A.RUN_ID)
     jobs.run_incremental(lake, A.RUN_ID)
     return _run_report(lake)
 
 
+@query()
+def regrown_extract_run(e: Events) -> DataFrame:
+    """A published day whose extract grows: it is loaded and judged again, and Gold follows."""
+    whole = _lake(e)
+    short = f"{whole.source}-short"
+    rows = e.transactions.where((F.col("date") != LATE_DAY) | (F.col("seq") % 10 > 0))
+    dump_extracts(rows, "transactions", S.TRANSACTION_SOURCE.names, short)
+    dump_extracts(e.accounts, "accounts", S.ACCOUNT_SOURCE.names, short)
+    codes = A.event_codes(e.spark, e.sf_dir).select(*S.CODE_SOURCE.names)
+    codes.coalesce(1).write.option("header", True).csv(f"{short}/transaction_codes.csv")
+    days = _event_days(e)
+    jobs.run_historical(Lake(e.spark, whole.root, short), days[0], days[-1], A.RUN_ID)
+    jobs.run_historical(whole, days[0], days[-1], f"{A.RUN_ID}-2")
+    return _run_report(whole)
+
+
 # ---------------------------------------------------------------------------
 # Checks, on inputs that break them
 # ---------------------------------------------------------------------------

@@ -93,6 +93,7 @@ def lake_checks(lake: Lake, last: date, earlier_metrics: DataFrame | None = None
         CK.expect_rows("EXISTS-bronze_transactions", transactions),
         CK.expect_rows("EXISTS-bronze_accounts", accounts),
         CK.expect_rows("EXISTS-run_log", log),
+        CK.result("FILES-run_log", lake.log_journal().broken()),
     ]
     if earlier_metrics is not None:
         results.append(CK.i01(RC.compare_metrics(earlier_metrics, lake_metrics(lake))))

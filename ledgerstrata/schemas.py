@@ -216,3 +216,65 @@ CONTROL = T.StructType(
         T.StructField("updated_by_run_id", T.StringType()),
     ]
 )
+
+# ---------------------------------------------------------------------------
+# Manifests: what each write left in a table, by date.
+# ---------------------------------------------------------------------------
+FINGERPRINT = T.DecimalType(38, 0)
+DAYS = T.StructType([T.StructField("date", T.DateType())])
+MANIFEST = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("fingerprint", FINGERPRINT),
+        T.StructField("input_rows", T.LongType()),
+        T.StructField("input_fingerprint", FINGERPRINT),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("recorded_at", T.TimestampType()),
+    ]
+)
+# Tables whose versions two runs over one input must agree on.
+FINGERPRINTED = (
+    "bronze_transactions",
+    "bronze_accounts",
+    "silver_transactions",
+    "silver_quarantine",
+    "gold_partials",
+)
+# Columns that say when and by which run a row was written, not what it holds.
+STAMPS = ("_bronze_ingested_at", "_promoted_at", "_pipeline_run_id")
+# Ids of accepted transactions, by the write that accepted them.
+ACCEPTED_IDS = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("judged_at", T.TimestampType()),
+    ]
+)
+
+# Gold folds these: one row per transaction date and code, and one per week, account and
+# code, for every processing date.
+PARTIAL_MONEY = T.DecimalType(28, 2)
+DAILY_PARTIALS = T.StructType(
+    [
+        T.StructField("transaction_date", T.DateType()),
+        T.StructField("transaction_code", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("signed", PARTIAL_MONEY),
+        T.StructField("online", T.LongType()),
+        T.StructField("instore", T.LongType()),
+        T.StructField("date", T.DateType()),
+    ]
+)
+WEEKLY_PARTIALS = T.StructType(
+    [
+        T.StructField("week_start_date", T.DateType()),
+        T.StructField("account_id", T.StringType()),
+        T.StructField("transaction_code", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("signed", PARTIAL_MONEY),
+        T.StructField("date", T.DateType()),
+    ]
+)

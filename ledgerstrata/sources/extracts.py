@@ -30,6 +30,15 @@ FILE_LIST = T.StructType(
 )
 
 
+# How Spark names the faults of a CSV file in its errors.
+FILE_FAULTS = ("MALFORMED_RECORD_IN_PARSING", "CSV header does not conform", "FAILED_READ_FILE")
+
+
+def is_broken_extract(error: Exception) -> bool:
+    """Whether an error is the fault of a file: its header, its rows or its encoding."""
+    return any(fault in str(error) for fault in FILE_FAULTS)
+
+
 def _places(source: str, entity: str, named: str) -> str:
     """Extracts by their exact names, also as written by a partitioned writer."""
     return f"{source}/{{{entity},{WRITTEN}{entity}}}_{named}.csv"

@@ -111,6 +111,43 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    fs, target = _hadoop_path(spark, folder)
+    names = (status.getPath().getName() for status in fs.listStatus(target)) if fs.exists(target) else ()
+    return [f"{folder}/{name}" for name in names if not name.startswith(("_", "."))]
+
+
+def write_junk(spark: SparkSession, path: str, length: int = 10) -> None:
+    """A file that is no Parquet file, for inputs that are broken on purpose."""
+    fs, target = _hadoop_path(spark, path)
+    stream = fs.create(target, True)
+    stream.write(bytearray(b"x" * length))
+    stream.close()
+
+
+def drop_files(spark: SparkSession, folder: str) -> None:
+    fs, target = _hadoop_path(spark, folder)
+    fs.delete(target, True)
+
+
+def spoil_files(spark: SparkSession, folder: str) -> None:
+    """Overwrite every file of a folder with text."""
+    for path in _files(spark, folder):
+        write_junk(spark, path)
+
+
+def cut_files(spark: SparkSession, folder: str) -> None:
+    """Keep the first half of every file of a folder."""
+    for path in _files(spark, folder):
+        fs, target = _hadoop_path(spark, path)
+        stream = fs.open(target)
+        half = stream.readNBytes(fs.getFileStatus(target).getLen() // 2)
+        stream.close()
+        out = fs.create(target, True)
+        out.write(half)
+        out.close()
+
+
 def drop_partitions(spark: SparkSession, path: str, days: Iterable[date]) -> None:
     """Delete `date=…` folders ahead of their rewrite."""
     for day in days:

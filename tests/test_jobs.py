@@ -120,7 +120,7 @@ def test_checks_pass_and_a_repeat_changes_nothing(week):
     assert jobs.run_historical(week, D1, D7, "run-d") == D7
     assert compare_metrics(stored, lake_metrics(week)).isEmpty()
     found = violations(lake_checks(week, D7, stored))
-    assert len(found) == 30 + 3 + 16 + 8 and not any(found.values()), found
+    assert len(found) == 30 + 3 + 16 + 9 and not any(found.values()), found
     # the repeat loaded nothing again
     loads = week.run_log().where("run_id = 'run-d' AND layer = 'BRONZE'")
     assert {r["status"] for r in loads.collect()} == {"SKIPPED"}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerstrata import schemas as S
 from ledgerstrata.operators import checks as CK
 from ledgerstrata.operators import gold as GD
+from ledgerstrata.operators import manifest as MF
 from ledgerstrata.operators.accounts import newest_per_account
 from ledgerstrata.operators.transactions import classify_transactions
 from ledgerstrata.plans import jobs
@@ -96,6 +97,84 @@ def test_history_ids_can_be_filtered_ahead_of_their_shuffle(spark, lake):
     assert any("might_contain" in plan for plan in plans)
 
 
+def test_bucketed_history_is_not_shuffled(spark, lake, tmp_path):
+    """A day whose ids are too many for a broadcast meets the history bucket by bucket."""
+    from datetime import datetime
+
+    from ledgerstrata.sources.buckets import BucketedIds
+
+    table, when = BucketedIds(spark, str(tmp_path / "ids"), 8), datetime(2024, 7, 2)
+    ids = spark.range(400_000).select(F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"))
+    stamped = ids.withColumns({"date": F.lit(D1), "judged_at": F.lit(when)})
+    table.append(stamped.where("transaction_id < '8'"))
+    table.append(stamped.where("transaction_id >= '8'"))
+    in_force = stamped.limit(1).select("date", "judged_at")
+    assert table.valid(in_force).count() == 400_000
+    day = ids.withColumns({"date": F.lit(D2), "_copies": F.lit(1)})
+    with Scratch(spark, "plan") as scratch:
+        plans = []
+
+        def keep(rows):
+            plans.append(plan_of(rows))
+            return scratch.keep(rows)
+
+        columns = {"account_id": F.lit("L-1"), "transaction_date": F.lit(str(D2)), "amount": F.lit("1"),
+                   "transaction_code": F.lit("PURCH01"), "merchant_name": F.lit(None).cast("string"),
+                   "channel": F.lit("ONLINE"), "_row_id": F.col("transaction_id")}
+        frame = classify_transactions(
+            scratch.keep(day.drop("_copies").withColumns(columns)), lake.silver_codes(),
+            keep(jobs.known_accounts(lake, [D2])), table.valid(in_force), keep=keep,
+        )
+        assert frame.where("_rejection_reason = 'DUPLICATE_TRANSACTION_ID'").count() == 400_000
+    (plan,) = [p for p in plans if "Bucketed: true" in p]
+    join = plan[plan.index("SortMergeJoin") :] if "SortMergeJoin" in plan else plan[plan.index("ShuffledHashJoin") :]
+    history = next(i for i, line in enumerate(join.split("\n")) if "Bucketed: true" in line)
+    above = join.split("\n")[:history]
+    # between the join and the bucketed scan there is no exchange of its rows
+    depth = join.split("\n")[history].index("FileScan")
+    chain = []
+    for line in reversed(above):
+        at = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if at < depth:
+            chain.append(line)
+            depth = at
+    assert not any("Exchange hashpartitioning" in line for line in chain if "Join" not in line), plan
+
+
+def test_a_day_of_gold_reads_a_day_of_silver(spark, lake, monkeypatch):
+    plans = []
+    real = jobs.replace_partitions
+
+    def watch(rows, path, *columns):
+        plans.append((path, plan_of(rows)))
+        return real(rows, path, *columns)
+
+    monkeypatch.setattr(jobs, "replace_partitions", watch)
+    run = jobs.Run(lake, "run-z", S.HISTORICAL)
+    again = MF.by_date(on_dates(lake.silver_transactions(), [D2]), ["transaction_id"])
+    run.record("silver_transactions", again, [D2], MF.versions(lake.manifest(), "bronze_transactions"))
+    jobs.refresh_partials(run, [D1, D2])
+    written = [plan for path, plan in plans if "partials" in path]
+    assert len(written) == 2
+    for plan in written:
+        (line,) = scans(plan, "lake/silver/transactions")
+        assert str(D2) in line.split("PartitionFilters")[1] or "19906" in line.split("PartitionFilters")[1]
+        assert str(D1) not in line.split("PartitionFilters")[1]
+    for table in (lake.gold_daily(), lake.gold_weekly()):
+        assert table.count()
+
+
+def test_gold_does_not_read_silver_rows(lake, monkeypatch):
+    plans = []
+    monkeypatch.setattr(jobs, "replace_table", lambda rows, path: plans.append(plan_of(rows)))
+    run = jobs.Run(lake, "run-z", S.HISTORICAL)
+    for model in ("gold_daily_summary", "gold_weekly_account_summary"):
+        jobs.build_gold(run, model, [D1, D2])
+    assert len(plans) == 2
+    for plan in plans:
+        assert "partials" in plan and not scans(plan, "lake/silver/transactions")
+
+
 def test_history_is_read_by_id_and_date_only(spark, lake):
     plans = []
     with Scratch(spark, "plan") as scratch:
@@ -148,9 +227,10 @@ def test_reference_checks_fold_before_a_shuffled_join(spark, lake):
     assert "partial_count" in plan[join:]  # the fold lies below the join
 
 
-def test_newest_rows_need_no_window(lake):
+def test_newest_rows_are_found_by_hash_and_without_whole_groups(lake):
     plan = plan_of(newest_per_account(lake.bronze("accounts")))
-    assert "partial_max" in plan and "Window" not in plan
+    assert "partial_max(date" in plan and "SortAggregate" not in plan
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
 
 
 def test_bronze_counts_read_no_column(lake):
