@@ -10,6 +10,7 @@ import hashlib
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from .common import importable, stored
 BUCKETS, DRAWN_PERCENT, MIN_WORDS = 10_000, 25, 20
 SEED = 7
 #: Texts are interned together until they hold this many bytes, whatever the size of the Arrow batch.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 19
 #: Equal result rows written by one task of `_ranked`.
 PIECE = 1 << 20
 
@@ -40,35 +41,36 @@ class Grams:
     """
 
     def __init__(self, texts: list[bytes | None]):
-        words = [(text or b"").translate(_FOLD).split() for text in texts]
-        self.n_words = np.fromiter(map(len, words), np.int64, len(words))
-        self.buffer = b" ".join(word for text in words for word in text)
-        lengths = np.fromiter((len(word) for text in words for word in text), np.int64, int(self.n_words.sum()))
+        per_text = [(text or b"").translate(_FOLD).split() for text in texts]
+        self.n_words = np.fromiter(map(len, per_text), np.int64, len(per_text))
+        words = list(chain.from_iterable(per_text))
+        self.buffer = b" ".join(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths + 1) - 1
         starts = ends - lengths
-        owner = np.repeat(np.arange(len(words)), self.n_words)
+        owner = np.repeat(np.arange(len(per_text)), self.n_words)
         pair = np.flatnonzero(owner[1:] == owner[:-1])
+        self.grams = words + [a + b" " + b for text in per_text for a, b in zip(text, text[1:])]
         self.start = np.concatenate([starts, starts[pair]])
         self.end = np.concatenate([ends, ends[pair + 1]])
         self.owner = np.concatenate([owner, owner[pair]])
-        self.n_features = np.bincount(self.owner, minlength=len(words)).astype(np.int64)
+        self.n_features = np.bincount(self.owner, minlength=len(per_text)).astype(np.int64)
 
 
 class Table:
-    """An open-addressed table of n-grams: keys, places of the bytes they stand for, buckets and counts.
+    """An open-addressed table of n-grams: the n-gram that fills a slot, its bucket and its count.
 
     `slots` has the slot of every occurrence. A key met twice counts as the same n-gram only if the bytes agree;
     otherwise the second one moves on to the next free slot.
     """
 
     def __init__(self, grams: Grams):
-        data, n = grams.buffer, len(grams.start)
-        bounds = zip(grams.start.tolist(), grams.end.tolist(), strict=True)
-        keys = np.fromiter((xxhash.xxh64_intdigest(data[a:b]) for a, b in bounds), np.uint64, n)
+        n = len(grams.grams)
+        keys = np.frombuffer(b"".join(map(xxhash.xxh64_digest, grams.grams)), ">u8").astype(np.uint64)
         size = 1 << max(4, (2 * n).bit_length())
         self.owner = np.full(size, -1, np.int64)  # the occurrence whose bytes fill the slot
         self.slots = np.empty(n, np.int64)
-        self._bytes = np.frombuffer(data + bytes(8), np.uint8)
+        self._bytes = np.frombuffer(grams.buffer + bytes(8), np.uint8)
         left, mask = np.arange(n), size - 1
         at = (keys & np.uint64(mask)).astype(np.int64)
         while len(left):
@@ -80,10 +82,9 @@ class Table:
             self.slots[left[same]] = at[same]
             left, at = left[~same], (at[~same] + 1) & mask
         used = np.flatnonzero(self.owner >= 0)
-        holders = self.owner[used]
+        held = map(grams.grams.__getitem__, self.owner[used].tolist())
         self.bucket = np.zeros(size, np.int64)
-        bounds = zip(grams.start[holders].tolist(), grams.end[holders].tolist(), strict=True)
-        self.bucket[used] = np.fromiter((zlib.crc32(data[a:b]) % BUCKETS for a, b in bounds), np.int64, len(used))
+        self.bucket[used] = np.fromiter(map(zlib.crc32, held), np.int64, len(used)) % BUCKETS
         self.count = np.bincount(self.slots, minlength=size)
 
     def _equal(self, grams: Grams, a: np.ndarray, b: np.ndarray) -> np.ndarray:
