@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.sharding import shard, shard_of, tree
+from ledgerstrata.llm.sharding import grown, shard, shard_of, tree
 
 from . import edge
 
@@ -27,30 +30,71 @@ def test_empty(spark):
     assert shard(edge.empty(spark), 16).collect() == []
 
 
+def brute(key: int, layout, weights) -> int:
+    """Node by node: the greatest draw of the regions, then of its racks, then of its shards."""
+
+    def draw(level, number, weight):
+        h = 42
+        for data in (key.to_bytes(8, "little", signed=True), level.to_bytes(4, "little"), number.to_bytes(4, "little")):
+            h = xxhash.xxh64_intdigest(data, seed=h)
+        return math.log(((h >> 11) + 0.5) / 2**53) / weight, number
+
+    def best(level, totals):
+        return max(draw(level, number, total) for number, total in totals if total > 0)[1]
+
+    numbered = list(enumerate(rack for region in layout for rack in region))
+    rack_of, at = {}, 0
+    for r, region in enumerate(layout):
+        rack_of[r] = numbered[at : at + len(region)]
+        at += len(region)
+    total = lambda rack: sum(weights[s] for s in rack)
+    region = best(0, [(r, sum(total(k) for _, k in racks)) for r, racks in rack_of.items()])
+    rack = best(1, [(n, total(k)) for n, k in rack_of[region]])
+    return best(2, [(s, weights[s]) for s in dict(rack_of[region])[rack]])
+
+
+@pytest.mark.parametrize("layout, weights", [
+    (tree(16), [1.0] * 16), (grown(tree(16)), [1.0] * 17), (tree(6), [1, 2, 3, 0, 5, 1]), (tree(5), [0, 0, 0, 0, 2]),
+    (tree(1), [1]), ([[[0, 1], [2]], [[3]]], [1, 1, 4, 0.5]),
+])
+def test_shard_node_by_node(spark, layout, weights):
+    got = spark.range(2000).select("id", shard_of(F.col("id"), layout, weights).alias("s")).collect()
+    assert all(r["s"] == brute(r["id"], layout, weights) for r in got)
+
+
 def test_shares_follow_weights(spark):
     weights = [1, 2, 3, 0, 5, 1]
     n = 40_000
-    got = spark.range(n).select(shard_of(F.col("id"), 6, weights).alias("s")).groupBy("s").count().collect()
+    got = spark.range(n).select(shard_of(F.col("id"), tree(6), weights).alias("s")).groupBy("s").count().collect()
     got = {r["s"]: r["count"] for r in got}
     assert 3 not in got
     assert all(abs(got[i] / n - w / 12) < 0.01 for i, w in enumerate(weights) if w)
 
 
-def test_growth_moves_into_the_changed_leaf_only(spark):
+def test_growth_moves_into_the_new_shard_only(spark):
     ids = spark.range(5000)
     for n in (1, 4, 7, 8, 16, 20):
-        both = ids.select(shard_of(F.col("id"), n).alias("a"), shard_of(F.col("id"), n + 1).alias("b"))
+        both = ids.select(shard_of(F.col("id"), tree(n)).alias("a"), shard_of(F.col("id"), grown(tree(n))).alias("b"))
         moved = both.where("a <> b")
         assert moved.where(f"b <> {n}").isEmpty()
         assert abs(moved.count() / 5000 - 1 / (n + 1)) < 0.03
 
 
-def test_a_larger_weight_only_gains(spark):
-    ids = spark.range(5000)
-    more = [1.0] * 5 + [2.5] + [1.0] * 4
-    both = ids.select(shard_of(F.col("id"), 10).alias("a"), shard_of(F.col("id"), 10, more).alias("b"))
-    assert both.where("a <> b and b <> 5").isEmpty() and not both.where("a <> b").isEmpty()
+def test_a_changed_weight_moves_rows_through_its_subtree_only(spark):
+    """Shard 5 is in rack 1 of region 0: what region, then rack, did not hold before or after stays where it was."""
+    ids = spark.range(8000)
+    for weight in (2.5, 0.2, 0.0):
+        changed = [1.0] * 5 + [weight] + [1.0] * 14
+        both = ids.select(shard_of(F.col("id"), tree(20)).alias("a"), shard_of(F.col("id"), tree(20), changed).alias("b"))
+        moved = both.where("a <> b")
+        assert not moved.isEmpty()
+        into, out = ("b", "a") if weight > 1 else ("a", "b")
+        # between regions: only into (or out of) region 0; inside it between racks: only into (or out of) rack 1
+        assert moved.where(f"int({into} / 8) <> 0").isEmpty()
+        assert moved.where(f"int({out} / 8) = 0 and int({into} / 4) <> 1").isEmpty()
+        assert moved.where(f"int({out} / 4) = 1 and int({into} / 4) = 1 and {into} <> 5").isEmpty()
 
 
 def test_tree():
     assert tree(10) == [[[0, 1, 2, 3], [4, 5, 6, 7]], [[8, 9]]]
+    assert grown(tree(5)) == [[[0, 1, 2, 3], [4]], [[5]]]
