@@ -34,9 +34,11 @@ WORDS = frozenset(
 #: Elements that hold an article by their name.
 MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-#: A template token stands on at least this share of a host's pages; constant text needs so many pages; a container
-#: holds this share of the text that is not set apart.
-SUPPORT, MIN_PAGES, SHARE = 0.5, 8, 0.8
+#: A template token stands on at least this share of a host's pages; a container holds this share of the text that is
+#: not set apart.
+SUPPORT, SHARE = 0.5, 0.8
+#: Elements below so many others count as parts of the one above them, as in browsers.
+DEEPEST = 512
 #: Elements that hold running text and so are no containers of an article.
 TEXTUAL = frozenset("p li ul ol dl dt dd blockquote pre table tbody tr td th".split()) | HEADINGS
 
@@ -52,26 +54,38 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Frame(NamedTuple):
-    """An open element: its name, path, and whether it stands apart, in an article, or in an article's header."""
+    """An open element: its name, path number and depth, and what its text is in."""
 
     name: str
-    path: str
+    path: int
+    depth: int
     apart: bool
     main: bool
     heading_only: bool
+    headed: bool
+    linked: bool
+    inside: bool
 
 
 class Node(NamedTuple):
-    """A run of text: its path, the text, and whether it stands apart, in an article, in a link."""
+    """A run of text: its path, the text, and whether it stands apart, in an article, in a link, in the container."""
 
-    path: str
+    path: int
     text: str
     apart: bool
     main: bool
     linked: bool
+    inside: bool
+
+
+class Path(NamedTuple):
+    """An element path: the number of the path above it, and its own name."""
+
+    parent: int
+    name: str
 
 
-ROOT = Frame("", "", False, False, False)
+ROOT = Frame("", 0, 0, False, False, False, False, False, False)
 #: Starting one of these ends an open paragraph or list item of the same kind.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
         "option": ("option",)}
@@ -94,25 +108,41 @@ def _marked(name: str, rest: str) -> tuple[str, bool]:
     return f"{name}.{first[0]}" if first else name, apart
 
 
-def parse(page: str) -> tuple[Counter[str], list[Node]]:
-    """Occurrences of each element path, and the text nodes in page order. Blocks end with a node of one blank."""
-    counts: Counter[str] = Counter()
+def numbered(parent: int, label: str) -> int:
+    """The number of a path, the same on every page: a hash of the number above it and the element's label."""
+    return xxhash.xxh3_64_intdigest(f"{parent}/{label}".encode()) - (1 << 63)
+
+
+def parse(page: str, container: int | None = None) -> tuple[Counter[int], dict[int, Path], list[Node]]:
+    """Occurrences and names of the element paths, and the text nodes in page order. Blocks end with a node of one blank.
+
+    Time and memory grow with the page, however deep it is nested: a path is a number, and what an element's text is in
+    is known from the element above it.
+    """
+    counts: Counter[int] = Counter()
+    paths: dict[int, Path] = {}
     nodes: list[Node] = []
     stack = [ROOT]
+    opened: Counter[str] = Counter()
     at = 0
     ends = {m[1].lower(): m.start() for m in _END.finditer(page)}  # the last end tag of each element name
 
     def text(to: int) -> None:
         if to > at:
             top = stack[-1]
-            apart = top.apart or top.heading_only and not any(f.name in HEADINGS for f in stack)
-            linked = any(f.name == "a" for f in stack)
-            nodes.append(Node(top.path, html.unescape(page[at:to]), apart, top.main, linked))
+            apart = top.apart or top.heading_only and not top.headed
+            nodes.append(Node(top.path, html.unescape(page[at:to]), apart, top.main, top.linked, top.inside))
+
+    def drop(to: int) -> None:
+        opened.subtract(f.name for f in stack[to:])
+        del stack[to:]
 
     def close(names: tuple[str, ...], stop: frozenset[str]) -> None:
+        if not any(opened[name] for name in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].name in names:
-                del stack[k:]
+                drop(k)
                 return
             if stack[k].name in stop:
                 return
@@ -123,81 +153,88 @@ def parse(page: str) -> tuple[Counter[str], list[Node]]:
         name = (m["name"] or "").lower()
         if not name:
             continue
-        if name not in INLINE:
-            nodes.append(Node(stack[-1].path, " ", stack[-1].apart, stack[-1].main, False))
+        top = stack[-1]
+        if name not in INLINE and (not nodes or nodes[-1].text != " " or nodes[-1].path != top.path):
+            nodes.append(Node(top.path, " ", top.apart, top.main, False, top.inside))
         if m["end"]:
             close((name,), frozenset())
             continue
         if name in MAIN:
             # An article begins: what was set apart and never closed ends here, except a list of comments.
             while len(stack) > 1 and stack[-1].apart and ends.get(stack[-1].name, -1) < at:
-                stack.pop()
+                drop(len(stack) - 1)
         if name not in INLINE and name not in VOID:
             close(ENDS.get(name, ("p",)), frozenset(("table", "ul", "ol", "dl", "div", "section", *MAIN)))
         label, apart = _marked(name, m["rest"] or "")
         top = stack[-1]
         header = name == "header" and top.main
-        frame = Frame(
-            name, f"{top.path}/{label}" if name not in INLINE else top.path, top.apart or name in HIDDEN or apart and not header,
-            top.main or name in MAIN, top.heading_only or header,
-        )
-        if name not in INLINE:
-            counts[frame.path] += 1
+        path = top.path
+        if name not in INLINE and top.depth < DEEPEST:
+            path = numbered(top.path, label)
+            paths[path] = Path(top.path, name)
+            counts[path] += 1
         if name not in VOID and not (m["rest"] or "").endswith("/"):
-            stack.append(frame)
+            opened[name] += 1
+            stack.append(Frame(
+                name, path, top.depth + 1, top.apart or name in HIDDEN or apart and not header, top.main or name in MAIN,
+                top.heading_only or header, top.headed or name in HEADINGS, top.linked or name == "a",
+                top.inside or path == container,
+            ))
     text(len(page))
-    return counts, nodes
+    return counts, paths, nodes
 
 
 def joined(nodes: list[Node]) -> str:
-    return " ".join("".join(n.text if n.text != " " else " " for n in nodes).split())
+    return " ".join("".join(n.text for n in nodes).split())
 
 
-def _constants(nodes: list[Node]) -> Counter[str]:
-    """Blocks of text outside articles that nothing sets apart, by hash: candidates for constant text of a template."""
-    found: Counter[str] = Counter()
-    block, path = [], ""
-    for n in [*nodes, Node("", " ", False, False, False)]:
+def blocks(nodes: list[Node]) -> Iterator[tuple[int | None, list[Node]]]:
+    """The blocks of text that nothing sets apart: the number of each block's text in its path (None: blank), its nodes."""
+    block: list[Node] = []
+    for n in [*nodes, Node(0, " ", False, False, False, False)]:
+        block.append(n)
         if n.text == " ":
-            line = " ".join("".join(block).split())
-            if line:
-                found[f"{path}#{xxhash.xxh3_64_hexdigest(line.encode())}"] += 1
+            shown = [k for k in block[:-1] if not k.apart]
+            line = joined(shown)
+            yield numbered(shown[-1].path, f"#{line}") if line else None, block
             block = []
-        elif not n.apart and not n.main:
-            block.append(n.text)
-            path = n.path
-    return found
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """(host, page_id, token, n, chars, links): occurrences of template token candidates on each page.
+    """(host, page_id, token, parent, name, n, chars, links): occurrences of template token candidates on each page.
 
-    Tokens are element paths and, outside articles, blocks of text. `chars` and `links` are the characters of text right
-    in the elements of a path that are not set apart, and those of them in links.
+    Tokens are element paths and blocks of text (name `#`), by number. `chars` and `links` are the characters of text
+    right in the elements of a path that are not set apart, and those of them in links.
     """
 
+    def one(page: str) -> dict[int, list]:
+        counts, paths, nodes = parse(page)
+        found = {t: [*paths[t], n, 0, 0] for t, n in counts.items()}
+        for n in nodes:
+            if not n.apart and n.text != " " and n.path in found:
+                size = len(n.text.strip())
+                found[n.path][3] += size
+                found[n.path][4] += size * n.linked
+        for token, block in blocks(nodes):
+            if token is not None:
+                found.setdefault(token, [block[0].path, "#", 0, 0, 0])[2] += 1
+        return found
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple] = []
             for i, page in enumerate(b.column(2).to_pylist()):
-                counts, nodes = parse(page or "")
-                chars, links = Counter(), Counter()
-                for n in nodes:
-                    if not n.apart and n.text != " ":
-                        size = len(n.text.strip())
-                        chars[n.path] += size
-                        links[n.path] += size * n.linked
-                rows += [(i, t, n, chars[t], links[t]) for t, n in counts.items()]
-                rows += [(i, t, n, 0, 0) for t, n in _constants(nodes).items()]
-            at, token, n, chars, links = zip(*rows, strict=True) if rows else ((),) * 5
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                b.column(0).take(take), b.column(1).take(take), pa.array(token, pa.string()),
-                *(pa.array(x, pa.int64()) for x in (n, chars, links)),
-            ], ["host", "page_id", "token", "n", "chars", "links"])
+                found = one(page or "")
+                take = pa.array([i] * len(found), pa.int64())
+                parent, name, n, chars, links = zip(*found.values(), strict=True) if found else ((),) * 5
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).take(take), b.column(1).take(take), pa.array(list(found), pa.int64()),
+                    pa.array(parent, pa.int64()), pa.array(name, pa.string()),
+                    *(pa.array(x, pa.int64()) for x in (n, chars, links)),
+                ], ["host", "page_id", "token", "parent", "name", "n", "chars", "links"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.mapInArrow(run, f"host string, page_id {kind}, token string, n long, chars long, links long")
+    schema = f"host string, page_id {kind}, token long, parent long, name string, n long, chars long, links long"
+    return pages.mapInArrow(run, schema)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -206,21 +243,21 @@ def templates(pages: DataFrame) -> DataFrame:
     Tokens with the same vector of occurrences over all pages of the host form an equivalence class; a vector is known
     by its number of pages and the sum of a hash of page and count, which folds map-side over any number of pages. A
     class counts if it stands on SUPPORT of the pages. The class that occurs exactly once on every page is the frame;
-    paths nest in it as elements do. Constant text in the frame is part of the template; the rest of its slots hold what
-    differs. The container is the innermost path of a valid class that holds SHARE of the text outside parts set apart,
-    lists of links left out.
+    paths nest in it as elements do. Text in the frame is part of the template, in articles as well; the rest of its
+    slots hold what differs. The container is the innermost path of the frame that holds SHARE of the text outside parts
+    set apart, lists of links left out. One page alone has no template.
     """
     found = stored(tokens(pages))
     # A page's fingerprint has its row in it: repeated rows of one page are pages of their own.
     sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    folded = found.groupBy("host", "token").agg(
+    folded = found.groupBy("host", "token", "parent", "name").agg(
         F.count("*").alias("on"), F.sum("n").alias("n"), F.min("n").alias("least"), F.max("n").alias("most"),
         F.sum(F.xxhash64("page_id", "n").cast("decimal(38,0)")).alias("vector"),
         F.sum("chars").alias("chars"), F.sum("links").alias("links"),
     )
-    usual = folded.join(sizes, "host").where(F.col("on") >= SUPPORT * F.col("pages"))
+    usual = folded.join(sizes, "host").where((F.col("pages") > 1) & (F.col("on") >= SUPPORT * F.col("pages")))
     classes = usual.groupBy("host", "pages", "on", "vector", "least", "most").agg(
-        F.collect_list(F.struct("token", "chars", "links")).alias("members")
+        F.collect_list(F.struct("token", "parent", "name", "chars", "links")).alias("members")
     )
     listed = classes.groupBy("host", "pages").agg(F.collect_list(F.struct("on", "least", "most", "members")).alias("classes"))
 
@@ -228,54 +265,54 @@ def templates(pages: DataFrame) -> DataFrame:
         for b in batches:
             made = [deduce(n, c) for n, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.list_(pa.string())),
+                b.column(0), pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.list_(pa.int64())),
             ], ["host", "container", "constants"])
 
-    return listed.mapInArrow(run, "host string, container string, constants array<string>")
+    return listed.mapInArrow(run, "host string, container long, constants array<long>")
 
 
-def deduce(pages: int, classes: list[dict]) -> tuple[str | None, list[str]]:
-    """The container path (None: no path holds enough) and the constant text tokens of a host."""
+def deduce(pages: int, classes: list[dict]) -> tuple[int | None, list[int]]:
+    """The container path (None: no path holds enough) and the constant text of a host."""
     frame = [c for c in classes if c["on"] == pages and c["least"] == c["most"] == 1]
-    constants = [m["token"] for c in frame for m in c["members"] if "#" in m["token"]] if pages >= MIN_PAGES else []
-    chars: Counter[str] = Counter()
-    for c in classes:
-        for m in c["members"]:
-            if "#" not in m["token"] and 2 * m["links"] <= m["chars"]:
-                chars[m["token"]] += m["chars"]
-    total = sum(chars.values())
-    held: Counter[str] = Counter()
-    for path, n in chars.items():
-        parts = path.split("/")
-        for k in range(2, len(parts) + 1):
-            held["/".join(parts[:k])] += n
+    constants = [m["token"] for c in frame for m in c["members"] if m["name"] == "#"]
+    members = {m["token"]: m for c in classes for m in c["members"] if m["name"] != "#"}
+    held: Counter[int] = Counter()
+    total = 0
+    for m in members.values():
+        if m["chars"] and 2 * m["links"] <= m["chars"]:
+            total += m["chars"]
+            above = m
+            while above is not None:  # a path stands on every page that its parts stand on, so the chain is whole
+                held[above["token"]] += m["chars"]
+                above = members.get(above["parent"])
+
+    def depth(token: int) -> int:
+        steps = 0
+        while token in members:
+            token, steps = members[token]["parent"], steps + 1
+        return steps
+
     once = {m["token"] for c in frame for m in c["members"]}
-    able = [p for p, n in held.items() if p in once and n > SHARE * total
-            and p.rsplit("/", 1)[1].split(".")[0] not in TEXTUAL]
-    return (max(able, key=lambda p: p.count("/")) if able else None), constants
-
-
-def extract_one(page: str, container: str | None, constants: frozenset[str]) -> str:
-    """The main text of a page: the slots in articles; else in the container; else all that nothing sets apart."""
-    _, nodes = parse(page)
-    main = joined([n for n in nodes if n.main and not n.apart])
-    if main:
-        return main
-    rest = [n for n in nodes if not n.apart]
-    if constants:
-        kept, block = [], []
-        for n in [*rest, Node("", " ", False, False, False)]:
-            block.append(n)
-            if n.text == " ":
-                if not any(c in constants for c in _constants(block)):
-                    kept += block
-                block = []
-        rest = kept
-    if container:
-        inside = joined([n for n in rest if n.path == container or n.path.startswith(container + "/")])
-        if inside:
-            return inside
-    return joined(rest)
+    able = [t for t, n in held.items() if t in once and n > SHARE * total and members[t]["name"] not in TEXTUAL]
+    return (max(able, key=depth) if able else None), constants
+
+
+def extract_one(page: str, container: int | None, constants: frozenset[int]) -> str:
+    """The main text of a page.
+
+    The template is asked first: its constant text goes, and of the rest what stands in its container stays. Marks decide
+    where it does not: an article inside the container, or on a page without it, is the text; without either, all that
+    nothing sets apart. If all text is constant, the pages are copies of one another, and nothing of it is template.
+    """
+    _, _, nodes = parse(page, container)
+    for left_out in (constants, frozenset()):
+        rest = [n for token, block in blocks(nodes) if token not in left_out for n in block if not n.apart]
+        inside = [n for n in rest if n.inside]
+        for part in ([n for n in inside if n.main], [n for n in rest if n.main], inside, rest):
+            found = joined(part)
+            if found:
+                return found
+    return ""
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import random
+import re
+import time
+import tracemalloc
+from collections import Counter
+
 import pytest
 
-from ledgerstrata.llm.pages import deduce, extract, extract_one, parse
+from ledgerstrata.llm.pages import deduce, extract, extract_one, numbered, parse, tokens
 
 SCHEMA = "page_id long, url string, html string, host string, text string, container string"
 
@@ -52,19 +58,100 @@ def test_hosts(spark):
 
 
 def test_equivalence_classes():
-    member = lambda t, c=0, k=0: {"token": t, "chars": c, "links": k}
+    def member(token, parent, name, c=0, k=0):
+        return {"token": token, "parent": parent, "name": name, "chars": c, "links": k}
+
     classes = [
-        {"on": 10, "least": 1, "most": 1, "members": [member("/b"), member("/b/d", 5), member("/b/d/x", 900), member("/b#1")]},
-        {"on": 10, "least": 2, "most": 9, "members": [member("/b/d/x/p", 4000), member("/b/u/li", 8000, 8000)]},
-        {"on": 7, "least": 1, "most": 1, "members": [member("/b#2")]},
-    ]
-    assert deduce(10, classes) == ("/b/d/x", ["/b#1"])
-    assert deduce(3, classes)[1] == []
+        {"on": 10, "least": 1, "most": 1, "members": [member(1, 0, "body"), member(2, 1, "div", 5), member(3, 2, "div", 900),
+                                                      member(-1, 1, "#")]},
+        {"on": 10, "least": 2, "most": 9, "members": [member(4, 3, "p", 4000), member(5, 6, "li", 8000, 8000)]},
+        {"on": 10, "least": 1, "most": 2, "members": [member(6, 1, "ul")]},
+        {"on": 7, "least": 1, "most": 1, "members": [member(-2, 1, "#")]},
+    ]
+    assert deduce(10, classes) == (3, [-1])
 
 
 def test_paths():
-    counts, _ = parse('<ul class="a b"><li>1<li>2</ul><p>x<p>y')
-    assert counts == {"/ul.a": 1, "/ul.a/li": 2, "/p": 2}
+    counts, paths, _ = parse('<ul class="a b"><li>1<li>2</ul><p>x<p>y')
+    above = numbered(0, "ul.a")
+    assert counts == {above: 1, numbered(above, "li"): 2, numbered(0, "p"): 2}
+    assert paths[numbered(above, "li")] == (above, "li")
+
+
+def vectors(pages):
+    """Occurrence vectors by brute force: every path and block of text, as written out, over all pages."""
+    found = {}
+    for k, page in enumerate(pages):
+        stack, seen = [], Counter()
+        for tag, word in re.findall(r"<(/?\w+)[^>]*>|([^<>]+)", page):
+            if word.strip():
+                seen["/".join(stack) + "#" + word.strip()] += 1
+            elif tag.startswith("/"):
+                while stack and stack.pop() != tag[1:]:
+                    pass
+            elif tag:
+                stack.append(tag)
+                seen["/".join(stack)] += 1
+        for token, n in seen.items():
+            found.setdefault(token, [0] * len(pages))[k] = n
+    return found
+
+
+def test_tokens_have_the_vectors_of_brute_force(spark):
+    rng = random.Random(4)
+    given = []
+    for _ in range(12):
+        items = "".join(f"<section><h2>{rng.choice('ab')}</h2><div>{rng.choice('cde')} text</div></section>" for _ in range(rng.randrange(1, 5)))
+        given.append(f"<html><body><div>same</div>{items}<section>last</section></body></html>")
+    df = spark.createDataFrame([("h", i, g) for i, g in enumerate(given)], "host string, page_id long, html string")
+    rows = tokens(df).collect()
+    ours = {}
+    for r in rows:
+        ours.setdefault(r["token"], [0] * len(given))[r["page_id"]] = r["n"]
+    assert sorted(ours.values()) == sorted(vectors(given).values())
+
+
+def test_template_decides_inside_articles(spark):
+    """Boilerplate inside the article, under names no list knows, goes; two pages are enough."""
+    def body(i):
+        return (f'<div class="zq1"><article><div class="zq2">Read our magazine every week</div><p>story {i} of its own</p>'
+                f'<p class="zq3">All rights with us</p></article></div><div class="zq4">teaser {i} for something else</div>')
+
+    rows = [(i, "http://two.example/", page(body(i))) for i in range(2)]
+    rows += [(9, "http://one.example/", page(body(9)))]
+    found, _ = run(spark, rows)
+    assert [found[i]["text"] for i in range(2)] == ["story 0 of its own", "story 1 of its own"]
+    # one page alone says nothing about its host
+    assert found[9]["text"] == "Read our magazine every week story 9 of its own All rights with us"
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    found, _ = run(spark, [(i, "http://b.example/", page("<article><p>the same</p><p>story</p></article>")) for i in range(3)])
+    assert {r["text"] for r in found.values()} == {"the same story"}
+
+
+@pytest.mark.parametrize("unit", ["<div>x", "<b>x", "<section><p>x", "<custom>x</other>", "<a><h1><li>x"])
+def test_deep_pages_take_time_and_memory_in_proportion(unit):
+    def cost(n):
+        tracemalloc.start()
+        started = time.process_time()
+        found = extract_one(unit * n, None, frozenset())
+        spent = time.process_time() - started
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found.count("x") == n
+        return spent, peak
+
+    (t1, m1), (t2, m2) = cost(3000), cost(24_000)
+    assert m2 < 12 * m1 and t2 < 25 * t1 + 1
+
+
+def test_ends_below_the_deepest_path():
+    """Beyond DEEPEST elements are still opened and closed."""
+    deep = "<div>" * 2000
+    given = f"{deep}<p>one</p><aside>no</aside><article><nav>no</nav>two</article>"
+    assert extract_one(given, None, frozenset()) == "two"
+    assert extract_one(f"{deep}<p>one</p><aside>no</aside><p>two", None, frozenset()) == "one two"
 
 
 def test_empty(spark):
