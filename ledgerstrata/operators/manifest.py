@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, datetime
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgerstrata import schemas as S
-from ledgerstrata.sources.tables import small_table
 
 
 def row_hash(columns: Iterable[str]) -> Column:
@@ -30,48 +30,48 @@ def fingerprint(columns: Iterable[str]) -> Column:
     return F.coalesce(total, F.lit(0)).cast(S.FINGERPRINT)
 
 
-def by_file(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Rows and fingerprint of every file of a scan that has `date` as a column."""
-    return rows.groupBy("date", F.col("_metadata.file_name").alias("file")).agg(
-        F.count("*").alias("rows"), fingerprint(columns).alias("fingerprint")
-    )
+def by_file(rows: DataFrame, columns: Iterable[str], own: Column | None = None) -> DataFrame:
+    """Rows and fingerprint of every file of a scan that has `date` as a column.
+
+    `own` tells the rows of one write; how many there are comes as `own`.
+    """
+    return _counted(rows, columns, own, "date", F.col("_metadata.file_name").alias("file"))
+
 
+def by_date(rows: DataFrame, columns: Iterable[str], own: Column | None = None) -> DataFrame:
+    return _counted(rows, columns, own, "date")
 
-def by_date(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return rows.groupBy("date").agg(
-        F.count("*").alias("rows"), fingerprint(columns).alias("fingerprint")
+
+def _counted(rows: DataFrame, columns: Iterable[str], own: Column | None, *keys: str | Column) -> DataFrame:
+    marks = [] if own is None else [F.count_if(own).alias("own")]
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("rows"), fingerprint(columns).alias("fingerprint"), *marks
     )
 
 
 def entries(
-    counted: DataFrame,
+    counted: Iterable[Row],
     table: str,
     days: Iterable[date],
     run_id: str,
     now: datetime,
-    inputs: DataFrame | None = None,
-) -> DataFrame:
+    inputs: Iterable[Row] = (),
+) -> list[tuple]:
     """Manifest rows of one write: every given day has one, also without a row in the table.
 
-    `inputs` are the versions (date, rows, fingerprint) the days were made from.
+    `counted` are rows of `by_file` or `by_date`, and `inputs` the versions (date, rows,
+    fingerprint) the days were made from: some values per date, never rows of a table.
     """
-    asked = small_table(counted.sparkSession, [(day,) for day in days], S.DAYS)
-    rows = asked.join(counted, "date", "left")
-    if inputs is not None:
-        made_from = inputs.select(
-            "date", F.col("rows").alias("input_rows"), F.col("fingerprint").alias("input_fingerprint")
-        )
-        rows = rows.join(made_from, "date", "left")
-    filled = {
-        "table_name": F.lit(table),
-        "rows": F.coalesce("rows", F.lit(0)),
-        "fingerprint": F.coalesce("fingerprint", F.lit(0)).cast(S.FINGERPRINT),
-        "run_id": F.lit(run_id),
-        "recorded_at": F.lit(now).cast("timestamp"),
-    }
-    absent = {name: F.lit(None) for name in S.MANIFEST.names if name not in [*rows.columns, *filled]}
-    typed = rows.withColumns(filled | absent)
-    return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.MANIFEST.fields])
+    found: dict[date, list[tuple]] = {day: [] for day in days}
+    for row in counted:
+        if row["date"] in found:
+            found[row["date"]].append((row["file"] if "file" in row else None, row["rows"], row["fingerprint"]))
+    made_from = {row["date"]: (row["rows"], row["fingerprint"]) for row in inputs}
+    return [
+        (table, day, *left, *made_from.get(day, (None, None)), run_id, now)
+        for day, parts in found.items()
+        for left in parts or [(None, 0, Decimal(0))]
+    ]
 
 
 def newest(manifest: DataFrame, *tables: str) -> DataFrame:
@@ -81,9 +81,9 @@ def newest(manifest: DataFrame, *tables: str) -> DataFrame:
     return mine.join(last, ["table_name", "date", "recorded_at"], "left_semi")
 
 
-def versions(manifest: DataFrame, table: str) -> DataFrame:
-    """(date, rows, fingerprint, input_rows, input_fingerprint, recorded_at) of one table."""
-    return newest(manifest, table).groupBy("date").agg(
+def versions_of(manifest: DataFrame, *tables: str) -> DataFrame:
+    """One row for each of the tables and its dates: table_name, date, and the version."""
+    return newest(manifest, *tables).groupBy("table_name", "date").agg(
         F.sum("rows").alias("rows"),
         F.sum("fingerprint").cast(S.FINGERPRINT).alias("fingerprint"),
         F.max("input_rows").alias("input_rows"),
@@ -92,6 +92,18 @@ def versions(manifest: DataFrame, table: str) -> DataFrame:
     )
 
 
+def versions(manifest: DataFrame, table: str) -> DataFrame:
+    """(date, rows, fingerprint, input_rows, input_fingerprint, recorded_at) of one table."""
+    return versions_of(manifest, table).drop("table_name")
+
+
+def holds(made: Row | None, source: Row | None) -> bool:
+    """`current` for one date: whether a version was made from this version of its input."""
+    if made is None or source is None:
+        return False
+    return (made["input_rows"], made["input_fingerprint"]) == (source["rows"], source["fingerprint"])
+
+
 def current(made: DataFrame, inputs: DataFrame) -> DataFrame:
     """Versions of `made` whose input is still what they were made from."""
     now = inputs.select(

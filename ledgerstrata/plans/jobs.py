@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,12 +106,14 @@ class Run:
             frame = small_table(self.lake.spark, rows, S.RUN_LOG)
             runlog.append_run_log(frame, self.lake.log_path)
 
-    def record(
-        self, table: str, counted: DataFrame, days: Iterable[date], inputs: DataFrame | None = None
-    ) -> None:
+    def record(self, entries: list[tuple]) -> None:
         """Put what a write left into the manifest."""
-        made = MF.entries(counted, table, days, self.run_id, _now(), inputs)
-        self.lake.manifest_journal().append(made)
+        frame = small_table(self.lake.spark, entries, S.MANIFEST)
+        self.lake.manifest_journal().append(frame)
+
+    def own(self, stamp: str) -> Column:
+        """Rows this run has written."""
+        return (F.col("_pipeline_run_id") == self.run_id) & (F.col(stamp) == F.lit(self.now))
 
     def attempt(
         self, model: str, days: Iterable[date | None], work: Callable[[], list[Outcome]]
@@ -163,7 +165,7 @@ def bronze_actions(lake: Lake, entity: str, files: DataFrame) -> dict[date, str]
     """
     paths = {row["path"]: row["date"] for row in files.collect()}
     actions = {day: WRITE for day in paths.values()}
-    if not actions:
+    if not actions or not table_exists(lake.spark, lake.path("bronze", entity)):
         return actions
     stored = bronze_rows_found(lake, entity, actions)
     present = _days(stored)
@@ -183,17 +185,22 @@ def load_bronze(run: Run, entity: str, days: list[date]) -> list[Outcome]:
     lake = run.lake
     files = extracts.list_extracts(lake.spark, lake.source, entity, days)
     actions = bronze_actions(lake, entity, files)
-    todo = {day for day, action in actions.items() if action != SKIP}
+    todo = sorted(day for day, action in actions.items() if action != SKIP)
     path = lake.path("bronze", entity)
+    counts: dict[date, int] = {}
     if todo:
         paths = [row["path"] for row in on_dates(files, todo).collect()]
         rows = extracts.scan_extracts(lake.spark, paths, _SOURCE_SCHEMAS[entity], lake.multi_line)
         # A CSV split belongs to one day, so no shuffle is needed to group days.
         replace_partitions(with_bronze_audit(rows, run.run_id, run.now), path)
-        drop_emptied(run, path, lake.bronze(entity), "_ingested_at", todo)
-        written = on_dates(lake.bronze(entity), todo)
-        run.record(f"bronze_{entity}", MF.by_file(written, _SOURCE_SCHEMAS[entity].names), todo)
-    counts = _counts(on_dates(lake.bronze(entity), actions))
+        stored = on_dates(lake.bronze(entity), todo)
+        left = MF.by_file(stored, _SOURCE_SCHEMAS[entity].names, run.own("_ingested_at")).collect()
+        left = drop_emptied(lake, path, left, todo)
+        run.record(MF.entries(left, f"bronze_{entity}", todo, run.run_id, _now()))
+        for row in left:
+            counts[row["date"]] = counts.get(row["date"], 0) + row["rows"]
+    if len(todo) < len(actions):
+        counts |= _counts(on_dates(lake.bronze(entity), set(actions) - set(todo)))
     outcomes = []
     for day in days:
         if day not in actions:
@@ -206,14 +213,16 @@ def load_bronze(run: Run, entity: str, days: list[date]) -> list[Outcome]:
     return outcomes
 
 
-def drop_emptied(run: Run, path: str, table: DataFrame, stamp: str, days: Iterable[date]) -> None:
+def drop_emptied(lake: Lake, path: str, left: list[Row], days: Iterable[date]) -> list[Row]:
     """Drop what the days held before where the run has written no row for them.
 
     The write replaces the partitions of its rows; a day that has none left would keep
-    its old ones.
+    its old ones. `left` says what is there and how much of it is the run's `own`; the part
+    of the days that stay comes back.
     """
-    own = (F.col("_pipeline_run_id") == run.run_id) & (F.col(stamp) == F.lit(run.now))
-    drop_partitions(run.lake.spark, path, set(days) - _days(on_dates(table, days).where(own)))
+    written = {row["date"] for row in left if row["own"]}
+    drop_partitions(lake.spark, path, set(days) - written)
+    return [row for row in left if row["date"] in written]
 
 
 def load_isolated(run: Run, entity: str, days: list[date]) -> list[Outcome]:
@@ -299,9 +308,10 @@ def build_accounts(run: Run, days: list[date]) -> list[Outcome]:
     path = lake.path("silver", "accounts_rejected")
     rejects = quarantine_accounts(fresh, run.run_id, run.now)
     replace_partitions(evenly_sized(rejects, "date"), path)
-    drop_emptied(run, path, lake.rejected_accounts(), "_rejected_at", days)
+    stored = on_dates(lake.rejected_accounts(), days)
+    left = MF.by_date(stored, S.ACCOUNT_SOURCE.names, run.own("_rejected_at")).collect()
+    rejected = {row["date"]: row["rows"] for row in drop_emptied(lake, path, left, days)}
     seen = _counts(on_dates(lake.bronze("accounts"), days))
-    rejected = _counts(on_dates(lake.rejected_accounts(), days))
     return [
         Outcome(d, S.SUCCESS, n := seen.get(d, 0), n - rejected.get(d, 0), rejected.get(d, 0))
         for d in days
@@ -357,9 +367,7 @@ def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
             "disposition",
             "date",
         )
-        accepted, rejected = lake.outcome_path(S.ACCEPTED), lake.outcome_path(S.REJECTED)
-        drop_emptied(run, accepted, lake.silver_transactions(), "_promoted_at", days)
-        drop_emptied(run, rejected, lake.rejected_transactions(), "_rejected_at", days)
+    left = outcomes_left(run, days)
     checked = reconcile(
         on_dates(lake.bronze("transactions"), days),
         on_dates(lake.silver_transactions(), days),
@@ -383,16 +391,30 @@ def build_transactions(run: Run, days: list[date]) -> list[Outcome]:
                 None if sound else f"{row['delta']} rows unaccounted for",
             )
         )
-    record_judgement(run, days)
+    record_judgement(run, days, left)
     return outcomes
 
 
+def outcomes_left(run: Run, days: list[date]) -> dict[str, list[Row]]:
+    """What the write of both outcomes has left of the given days, by manifest table."""
+    lake, left = run.lake, {}
+    content = [c for c in S.SILVER_TRANSACTIONS.names if c not in S.STAMPS]
+    reasons = [*S.TRANSACTION_SOURCE.names, "_rejection_reason"]
+    for table, rows, disposition, columns, stamp in (
+        ("silver_transactions", lake.silver_transactions(), S.ACCEPTED, content, "_promoted_at"),
+        ("silver_quarantine", lake.rejected_transactions(), S.REJECTED, reasons, "_rejected_at"),
+    ):
+        counted = MF.by_date(on_dates(rows, days), columns, run.own(stamp)).collect()
+        left[table] = drop_emptied(lake, lake.outcome_path(disposition), counted, days)
+    return left
+
+
 def judgements(lake: Lake, days: Iterable[date]) -> DataFrame:
     """(date, judged_at) of the judgements in force for the given days."""
-    judged = on_dates(MF.versions(lake.manifest(), "silver_transactions"), days)
-    rows = judged.select("date", "recorded_at").collect()
+    judged = lake.versions("silver_transactions")["silver_transactions"]
+    rows = [(day, judged[day]["recorded_at"]) for day in days if day in judged]
     schema = T.StructType([f for f in S.ACCEPTED_IDS.fields if f.name != "transaction_id"])
-    return small_table(lake.spark, [tuple(row) for row in rows], schema)
+    return small_table(lake.spark, rows, schema)
 
 
 def taken_ids(lake: Lake, days: Iterable[date]) -> DataFrame:
@@ -404,35 +426,26 @@ def taken_ids(lake: Lake, days: Iterable[date]) -> DataFrame:
     return table.valid(held)
 
 
-def record_judgement(run: Run, days: list[date]) -> None:
+def record_judgement(run: Run, days: list[date], left: dict[str, list[Row]]) -> None:
     """Store the ids the days have taken, and what they were judged from.
 
-    The ids carry the time of the manifest's entry. They come first: without the entry
+    The ids carry the time of the manifest's entries. They come first: without an entry
     they are of no judgement, and nobody reads them.
     """
     lake, when = run.lake, _now()
     silver = on_dates(lake.silver_transactions(), days)
     stamp = F.lit(when).cast("timestamp").alias("judged_at")
     lake.accepted_ids().append(silver.select("transaction_id", "date", stamp))
-    bronze = MF.versions(lake.manifest(), "bronze_transactions")
-    content = [c for c in S.SILVER_TRANSACTIONS.names if c not in S.STAMPS]
-    rejects = on_dates(lake.rejected_transactions(), days)
-    reasons = [*S.TRANSACTION_SOURCE.names, "_rejection_reason"]
-    made = [
-        MF.entries(MF.by_date(rows, columns), table, days, run.run_id, when, bronze)
-        for table, rows, columns in (
-            ("silver_transactions", silver, content),
-            ("silver_quarantine", rejects, reasons),
-        )
-    ]
-    lake.manifest_journal().append(made[0].unionByName(made[1]))
+    bronze = lake.versions("bronze_transactions")["bronze_transactions"].values()
+    made = [MF.entries(rows, table, days, run.run_id, when, bronze) for table, rows in left.items()]
+    run.record([entry for entries in made for entry in entries])
 
 
 def moved_days(lake: Lake, days: Iterable[date]) -> set[date]:
     """Of the given days, those whose Bronze rows are not the ones they were judged from."""
-    kept = lake.manifest()
-    judged = on_dates(MF.versions(kept, "silver_transactions"), days)
-    return set(days) - _days(MF.current(judged, MF.versions(kept, "bronze_transactions")))
+    kept = lake.versions("bronze_transactions", "silver_transactions")
+    judged, bronze = kept["silver_transactions"], kept["bronze_transactions"]
+    return {day for day in days if not MF.holds(judged.get(day), bronze.get(day))}
 
 
 # ---------------------------------------------------------------------------
@@ -444,10 +457,9 @@ def refresh_partials(run: Run, gate: list[date]) -> None:
     Only dates whose Silver rows the partials do not stand for yet are read. The manifest names them last, so that a broken refresh is done again.
     """
     lake = run.lake
-    kept = lake.manifest()
-    silver = MF.versions(kept, "silver_transactions")
-    fresh = MF.current(MF.versions(kept, "gold_partials"), silver)
-    due = sorted(set(gate) - _days(fresh))
+    kept = lake.versions("silver_transactions", "gold_partials")
+    silver, made = kept["silver_transactions"], kept["gold_partials"]
+    due = [day for day in gate if not MF.holds(made.get(day), silver.get(day))]
     if not due:
         return
     rows = on_dates(lake.silver_transactions(), due)
@@ -456,8 +468,9 @@ def refresh_partials(run: Run, gate: list[date]) -> None:
         path = lake.path("gold", name)
         drop_partitions(lake.spark, path, due)
         replace_partitions(evenly_sized(build(rows, "date"), "date"), path)
-    made = on_dates(lake.daily_partials(), due)
-    run.record("gold_partials", MF.by_date(made, [f for f in made.columns if f != "date"]), due, silver)
+    written = on_dates(lake.daily_partials(), due)
+    counted = MF.by_date(written, [c for c in written.columns if c != "date"]).collect()
+    run.record(MF.entries(counted, "gold_partials", due, run.run_id, _now(), silver.values()))
 
 
 def build_gold(run: Run, model: str, gate: list[date]) -> None:

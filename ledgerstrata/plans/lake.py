@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,11 @@ class Lake:
     def silver_transactions(self) -> DataFrame:
         return scan_table(self.spark, self.outcome_path(S.ACCEPTED), S.SILVER_TRANSACTIONS)
 
+    def versions(self, *tables: str) -> dict[str, dict[date, Row]]:
+        """The versions of some tables by date: a few values per date, for decisions of a run."""
+        rows = MF.versions_of(self.manifest(), *tables).collect()
+        return {table: {r["date"]: r for r in rows if r["table_name"] == table} for table in tables}
+
     def promotion_gate(self) -> DataFrame:
         """Dates that Gold may read, from log and manifests; no row of a table is read.
 

@@ -515,7 +515,9 @@ def idempotency_content_diff(e: Events) -> DataFrame:
         kept = Journal(e.spark, TB.shared_dir(e.spark, "manifest"), S.MANIFEST, "recorded_at")
         tables = {"silver_transactions": (silver, content), "silver_quarantine": (e.rejects, S.TRANSACTION_SOURCE.names)}
         for name, (rows, columns) in tables.items():
-            kept.append(MF.entries(MF.by_date(rows, columns), name, days, A.RUN_ID, A.RUN_TIME))
+            counted = MF.by_date(rows, columns).collect()
+            entries = MF.entries(counted, name, days, A.RUN_ID, A.RUN_TIME)
+            kept.append(TB.small_table(e.spark, entries, S.MANIFEST))
         manifests.append(kept.rows())
     return MF.compare(*manifests)
 

@@ -117,7 +117,8 @@ def test_fingerprints_see_content_and_not_order(spark):
 def test_manifests_tell_two_runs_apart(spark):
     def manifest(amount):
         rows = spark.createDataFrame([(D1, "1", "5"), (D2, "2", amount)], "date date, id string, amount string")
-        return MF.entries(MF.by_date(rows, ["id", "amount"]), "silver_transactions", [D1, D2, D3], "run", NOON)
+        counted = MF.by_date(rows, ["id", "amount"]).collect()
+        return TB.small_table(spark, MF.entries(counted, "silver_transactions", [D1, D2, D3], "run", NOON), S.MANIFEST)
 
     assert MF.compare(manifest("7"), manifest("7")).isEmpty()
     assert [tuple(r) for r in MF.compare(manifest("7"), manifest("8")).collect()] == [("silver_transactions", D2, 1, 1)]
@@ -216,9 +217,9 @@ def test_gold_leaves_out_a_day_that_moved_and_was_not_judged(published, monkeypa
 def test_the_gate_needs_every_bronze_row(published):
     lake = published
     run = jobs.Run(lake, "run-b", S.HISTORICAL)
-    bronze = MF.versions(lake.manifest(), "bronze_transactions")
+    bronze = MF.versions(lake.manifest(), "bronze_transactions").collect()
     short = MF.versions(lake.manifest(), "silver_quarantine").select("date", (F.col("rows") - 1).alias("rows"), "fingerprint")
-    run.record("silver_quarantine", short.where(F.col("date") == D2), [D2], bronze)
+    run.record(MF.entries(short.collect(), "silver_quarantine", [D2], run.run_id, run.now, bronze))
     assert {r["date"] for r in lake.promotion_gate().collect()} == {D1, D3}
 
 

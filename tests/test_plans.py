@@ -151,8 +151,9 @@ def test_a_day_of_gold_reads_a_day_of_silver(spark, lake, monkeypatch):
 
     monkeypatch.setattr(jobs, "replace_partitions", watch)
     run = jobs.Run(lake, "run-z", S.HISTORICAL)
-    again = MF.by_date(on_dates(lake.silver_transactions(), [D2]), ["transaction_id"])
-    run.record("silver_transactions", again, [D2], MF.versions(lake.manifest(), "bronze_transactions"))
+    again = MF.by_date(on_dates(lake.silver_transactions(), [D2]), ["transaction_id"]).collect()
+    bronze = MF.versions(lake.manifest(), "bronze_transactions").collect()
+    run.record(MF.entries(again, "silver_transactions", [D2], "run-z", run.now, bronze))
     jobs.refresh_partials(run, [D1, D2])
     written = [plan for path, plan in plans if "partials" in path]
     assert len(written) == 2
