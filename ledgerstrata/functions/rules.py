@@ -31,6 +31,10 @@ def as_money(name: str) -> Column:
     return F.col(name).try_cast(S.MONEY)
 
 
+def as_amount(name: str) -> Column:
+    return F.col(name).try_cast(S.AMOUNT)
+
+
 def as_day(name: str) -> Column:
     """The day of a full ISO date; NULL for anything shorter or longer, such as a bare year."""
     text = F.col(name).cast("string")
@@ -39,17 +43,18 @@ def as_day(name: str) -> Column:
 
 def is_blank_number(name: str) -> Column:
     """`is_blank` that reads a number as text only where it is not one."""
-    return F.col(name).isNull() | (as_money(name).isNull() & is_blank(name))
+    return F.col(name).isNull() | (as_amount(name).isNull() & is_blank(name))
 
 
 def not_positive(name: str) -> Column:
-    """Not a number, not above zero, or too large for a money column.
+    """Not a number, not above zero, or not to be kept in an amount column as it is.
 
-    Only values that round to zero cents need the second, finer look.
+    The column holds six decimals and eighteen digits before them. A number that is finer
+    or larger would change on its way to Silver, so it is rejected, where it is counted.
     """
-    money = as_money(name)
-    fraction = F.col(name).try_cast("double") > 0
-    return money.isNull() | (money < 0) | ((money == 0) & ~fraction)
+    amount = as_amount(name)
+    finer = F.col(name).try_cast("decimal(38,18)")
+    return amount.isNull() | (amount <= 0) | ~amount.eqNullSafe(finer)
 
 
 def transaction_screen() -> list[tuple[str, Column]]:

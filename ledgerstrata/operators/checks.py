@@ -164,6 +164,12 @@ def st05(rejects: DataFrame) -> DataFrame:
     return row_checks(rejects, {"ST-05": not_in("_rejection_reason", S.ALL_REASONS)})
 
 
+def amounts_alike(rejects: DataFrame) -> DataFrame:
+    """Rejects with the amounts that Silver could hold written as Silver writes them."""
+    typed = F.col("amount").try_cast(S.AMOUNT).cast("string")
+    return rejects.withColumn("amount", F.coalesce(typed, F.col("amount").cast("string")))
+
+
 def st06(silver: DataFrame, rejects: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Silver records that were rejected as well.
 

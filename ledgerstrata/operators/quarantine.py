@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ledgerstrata import schemas as S
 
 
-def quarantine(classified: DataFrame, source_columns: list[str], run_id: str, now: datetime) -> DataFrame:
+def quarantine_accounts(classified: DataFrame, run_id: str, now: datetime) -> DataFrame:
     """The complement of promotion: raw fields, reason and rejection time."""
     return classified.where(F.col("_rejection_reason").isNotNull()).select(
-        *source_columns,
+        *S.ACCOUNT_SOURCE.names,
         "_source_file",
         F.lit(run_id).alias("_pipeline_run_id"),
         F.lit(now).cast("timestamp").alias("_rejected_at"),
@@ -22,14 +22,6 @@ def quarantine(classified: DataFrame, source_columns: list[str], run_id: str, no
     )
 
 
-def quarantine_transactions(classified: DataFrame, run_id: str, now: datetime) -> DataFrame:
-    return quarantine(classified, S.TRANSACTION_SOURCE.names, run_id, now)
-
-
-def quarantine_accounts(classified: DataFrame, run_id: str, now: datetime) -> DataFrame:
-    return quarantine(classified, S.ACCOUNT_SOURCE.names, run_id, now)
-
-
 def quarantine_all(transactions: DataFrame | None, accounts: DataFrame | None) -> DataFrame:
     """All rejects by column name; a field an entity lacks is NULL.
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerstrata import schemas as S
 from ledgerstrata.functions.rules import (
+    as_amount,
     as_day,
-    as_money,
     first_match,
     transaction_reference_rules,
     transaction_screen,
@@ -168,22 +168,16 @@ def classify_transactions(
 
 
 def promote_transactions(classified: DataFrame, run_id: str, now: datetime) -> DataFrame:
-    """Silver rows: typed, signed, flagged and stamped."""
-    amount = as_money("amount")
-    return (
-        classified.where(F.col("_rejection_reason").isNull())
-        .withColumnRenamed("_ingested_at", "_bronze_ingested_at")
-        .withColumns(
-            {
-                "_signed_amount": signed(amount, F.col("_indicator")),
-                "amount": amount,
-                "transaction_date": as_day("transaction_date"),
-                "_pipeline_run_id": F.lit(run_id),
-                "_promoted_at": F.lit(now).cast("timestamp"),
-            }
-        )
-        .select(*S.SILVER_TRANSACTIONS.names)
-    )
+    """Silver rows: the accepted side of `split_by_disposition`."""
+    both = split_by_disposition(classified, run_id, now)
+    return both.where(F.col("disposition") == S.ACCEPTED).select(*S.SILVER_TRANSACTIONS.names)
+
+
+def quarantine_transactions(classified: DataFrame, run_id: str, now: datetime) -> DataFrame:
+    """Quarantine rows: the rejected side, with the raw fields under their own names."""
+    both = split_by_disposition(classified, run_id, now).where(F.col("disposition") == S.REJECTED)
+    raw = both.drop(*S.RAW_FIELDS).withColumnsRenamed({raw: name for name, raw in S.RAW_FIELDS.items()})
+    return raw.select(*S.QUARANTINE_TRANSACTIONS.names)
 
 
 def split_by_disposition(classified: DataFrame, run_id: str, now: datetime) -> DataFrame:
@@ -193,7 +187,7 @@ def split_by_disposition(classified: DataFrame, run_id: str, now: datetime) -> D
     disagree and the batch is neither classified twice nor kept in memory.
     """
     accepted = F.col("_rejection_reason").isNull()
-    amount = as_money("amount")
+    amount = as_amount("amount")
     stamp = F.lit(now).cast("timestamp")
     raw = {new: F.when(~accepted, F.col(old).cast("string")) for old, new in S.RAW_FIELDS.items()}
     typed = {

@@ -21,7 +21,8 @@ _EVENT_TXN = f"""txn AS (
                    WHEN event_id % 33 = 1 THEN event_id - 1 ELSE event_id END AS VARCHAR) AS transaction_id,
          CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS account_id,
          CAST(ts AS DATE) AS transaction_date,
-         CAST(value AS DECIMAL(18,2)) - 2.00 AS amount,
+         CAST(CAST(value AS DECIMAL(18,2)) - 2.00 + CASE WHEN event_id % 101 = 7 THEN 0.005
+              WHEN event_id % 101 = 8 THEN 0.0000005 ELSE 0 END AS DECIMAL(24,7)) AS amount,
          {_EVENT_CODE} AS transaction_code,
          CASE WHEN event_type = 'purchase' THEN 'shop-' || CAST(user_id % 50 AS VARCHAR) END AS merchant_name,
          CASE WHEN event_id % 13 = 0 THEN 'DRIVE_THRU' WHEN event_id % 3 = 0 THEN 'IN_STORE'
@@ -85,7 +86,7 @@ def _classified(order: str) -> str:
     return f"""screened AS (
   SELECT t.*, c.debit_credit_indicator AS _indicator,
          CASE WHEN transaction_id IS NULL OR account_id IS NULL THEN 'NULL_REQUIRED_FIELD'
-              WHEN amount <= 0 THEN 'INVALID_AMOUNT' END AS r12,
+              WHEN amount <= 0 OR amount <> CAST(amount AS DECIMAL(24,6)) THEN 'INVALID_AMOUNT' END AS r12,
          CASE WHEN c.transaction_code IS NULL THEN 'INVALID_TRANSACTION_CODE'
               WHEN channel NOT IN ('ONLINE','IN_STORE') THEN 'INVALID_CHANNEL' END AS r45
   FROM txn t LEFT JOIN codes c ON t.transaction_code = c.transaction_code),
@@ -101,8 +102,8 @@ classified AS (
                   CASE WHEN rn > 1 THEN 'DUPLICATE_TRANSACTION_ID' END) AS _rejection_reason
   FROM ranked r LEFT JOIN known k ON r.account_id = k.account_id),
 silver AS (
-  SELECT * REPLACE (CAST(amount AS DECIMAL(18,2)) AS amount),
-         CAST(CASE WHEN _indicator = 'DR' THEN amount ELSE -amount END AS DECIMAL(18,2)) AS _signed_amount
+  SELECT * REPLACE (CAST(amount AS DECIMAL(24,6)) AS amount),
+         CAST(CASE WHEN _indicator = 'DR' THEN amount ELSE -amount END AS DECIMAL(24,6)) AS _signed_amount
   FROM classified WHERE _rejection_reason IS NULL),
 rejects AS (SELECT * FROM classified WHERE _rejection_reason IS NOT NULL)"""
 
@@ -132,8 +133,8 @@ def _weekly(name: str, source: str) -> str:
     bought = "FILTER (WHERE transaction_type = 'PURCHASE')"
     # The mean in whole thousandths, half up, without leaving exact numbers.
     mean = f"""CASE WHEN COUNT(*) {bought} > 0 THEN CAST(CAST(
-        (CAST(SUM(_signed_amount) {bought} * 100 AS BIGINT) * 20 + COUNT(*) {bought})
-        // (2 * COUNT(*) {bought}) AS DECIMAL(15,0)) * 0.001 AS DECIMAL(18,3)) END"""
+        (CAST(SUM(_signed_amount) {bought} * 1000000 AS BIGINT) * 2 + 1000 * COUNT(*) {bought})
+        // (2000 * COUNT(*) {bought}) AS DECIMAL(15,0)) * 0.001 AS DECIMAL(18,3)) END"""
     return f"""{name} AS (
   SELECT CAST(DATE_TRUNC('week', transaction_date) AS DATE) AS week_start_date,
          CAST(DATE_TRUNC('week', transaction_date) AS DATE) + 6 AS week_end_date, account_id,
@@ -262,7 +263,7 @@ regrown AS (
   SELECT transaction_date, transaction_code, channel, _is_resolvable, _signed_amount FROM silver WHERE date <> {_LATE_DAY}
   UNION ALL
   SELECT transaction_date, transaction_code, channel, _is_resolvable,
-         CAST(CASE WHEN _indicator = 'DR' THEN amount ELSE -amount END AS DECIMAL(18,2)) FROM ruled WHERE taken),
+         CAST(CASE WHEN _indicator = 'DR' THEN amount ELSE -amount END AS DECIMAL(24,6)) FROM ruled WHERE taken),
 {_daily('regrown_daily', 'regrown')},
 regrown_recon AS (
   SELECT * FROM recon WHERE date <> {_LATE_DAY}
@@ -456,6 +457,25 @@ _ORACLE: dict[str, tuple[str, str]] = {
            FROM regrown_recon r LEFT JOIN regrown_daily d ON r.date = d.transaction_date""",
     ),
     "run_log_compacted": (_EVENTS, "SELECT * FROM log"),
+    "scan_absent": (
+        _EVENTS,
+        "SELECT date, COUNT(*) AS stored_rows, CAST(0 AS BIGINT) AS absent_rows FROM silver GROUP BY date",
+    ),
+    "gold_daily_written_order": (
+        _EVENTS,
+        "SELECT transaction_date, ROW_NUMBER() OVER (ORDER BY transaction_date) AS place FROM daily",
+    ),
+    "run_log_order": (
+        _EVENTS,
+        "SELECT run_id, model_name, ROW_NUMBER() OVER (ORDER BY started_at) AS place FROM log",
+    ),
+    "iso_days": (
+        _EVENTS,
+        """SELECT seq, text, regexp_full_match(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(text AS DATE) IS NOT NULL AS is_day
+           FROM (SELECT seq, CASE seq % 5 WHEN 0 THEN substr(CAST(date AS VARCHAR), 1, 4)
+                   WHEN 1 THEN substr(CAST(date AS VARCHAR), 1, 7) WHEN 2 THEN CAST(date AS VARCHAR) || 'T00'
+                   WHEN 3 THEN replace(CAST(date AS VARCHAR), '-01-', '-13-') ELSE CAST(date AS VARCHAR) END AS text FROM txn)""",
+    ),
     "reconciliation_lost_partition": (
         _EVENTS,
         f"""SELECT date, bronze_rows, CASE WHEN date = {_STALE} THEN 0 ELSE silver_rows END AS silver_rows,

@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerstrata import schemas as S
 from ledgerstrata.functions import scalars
@@ -93,7 +94,7 @@ class Ledger:
 
     @cached_property
     def rejects(self) -> DataFrame:
-        return QU.quarantine_transactions(self.classified, A.RUN_ID, A.RUN_TIME)
+        return TX.quarantine_transactions(self.classified, A.RUN_ID, A.RUN_TIME)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -219,8 +220,9 @@ def bronze_transaction_codes(e: Events) -> DataFrame:
 
 @query()
 def source_counts(e: Events) -> DataFrame:
-    rows = EX.scan_entity(e.spark, _source_folder(e), "transactions", S.TRANSACTION_SOURCE)
-    return EX.source_counts(rows)
+    folder = TB.shared_dir(e.spark, "extracts")
+    dump_extracts(e.transactions, "transactions", S.TRANSACTION_SOURCE.names, folder)
+    return EX.source_counts(EX.scan_entity(e.spark, folder, "transactions", S.TRANSACTION_SOURCE))
 
 
 def _partitioned(e: Events) -> tuple[str, DataFrame]:
@@ -243,6 +245,41 @@ def scan_one_partition(e: Events) -> DataFrame:
     return rows.drop("_bronze_ingested_at", "_promoted_at")
 
 
+@query()
+def scan_absent(e: Events) -> DataFrame:
+    """Rows per day of a table that was never written, next to those of one that was."""
+    path, rows = _partitioned(e)
+    absent = TB.scan_table(e.spark, f"{path}-absent", S.SILVER_TRANSACTIONS)
+    stored = BR.rows_per_date(rows, "stored_rows")
+    return stored.join(BR.rows_per_date(absent, "absent_rows"), "date", "left").fillna(0, "absent_rows")
+
+
+def _places(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows with their place in the order in which a table holds them."""
+    at = Window.orderBy(*columns)
+    return rows.withColumn("place", F.row_number().over(at).cast("long"))
+
+
+@query()
+def gold_daily_written_order(e: Events) -> DataFrame:
+    """The dates of the daily table in the order of its files and rows."""
+    path = TB.shared_dir(e.spark, "gold")
+    TB.replace_table(e.daily.orderBy("transaction_date"), path)
+    rows = TB.scan_table(e.spark, path, e.daily.schema)
+    found = rows.select("transaction_date", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return _places(found, "file", "row").select("transaction_date", "place")
+
+
+@query()
+def run_log_order(e: Events) -> DataFrame:
+    """The attempts in the order in which the log is read."""
+    path = TB.shared_dir(e.spark, "run-log")
+    for layer in ("GOLD", "SILVER", "BRONZE"):
+        RL.append_run_log(e.log.where(F.col("layer") == layer), path)
+    read = RL.read_run_log(e.spark, path).withColumn("_at", F.monotonically_increasing_id())
+    return _places(read, "_at").select("run_id", "model_name", "place")
+
+
 @query()
 def missing_dates(e: Events) -> DataFrame:
     """Days around the event period for which nothing arrived."""
@@ -507,8 +544,8 @@ def idempotency_content_diff(e: Events) -> DataFrame:
     e.store()
     content = [c for c in S.SILVER_TRANSACTIONS.names if c not in S.STAMPS]
     first = e.silver.select(F.min("transaction_id")).first()[0]
-    cent = F.when(F.col("transaction_id") == first, F.lit("0.01").cast(S.MONEY)).otherwise(0)
-    altered = e.silver.withColumn("amount", (F.col("amount") + cent).cast(S.MONEY))
+    cent = F.when(F.col("transaction_id") == first, F.lit("0.01").cast(S.AMOUNT)).otherwise(0)
+    altered = e.silver.withColumn("amount", (F.col("amount") + cent).cast(S.AMOUNT))
     days = _event_days(e)
     manifests = []
     for silver in (e.silver, altered):
@@ -584,6 +621,21 @@ def next_date(e: Events) -> DataFrame:
     return RL.next_date(RL.watermark_from_log(e.log))
 
 
+@query()
+def iso_days(e: Events) -> DataFrame:
+    """Which texts count as full ISO dates: whole ones, cut ones, and ones with more behind."""
+    day = F.col("date").cast("string")
+    kind = F.col("seq") % 5
+    text = (
+        F.when(kind == 0, F.substring(day, 1, 4))
+        .when(kind == 1, F.substring(day, 1, 7))
+        .when(kind == 2, F.concat(day, F.lit("T00")))
+        .when(kind == 3, F.regexp_replace(day, "-01-", "-13-"))
+        .otherwise(day)
+    )
+    return e.transactions.select("seq", text.alias("text")).withColumn("is_day", scalars.is_iso_day(F.col("text")))
+
+
 @query()
 def scalar_functions(e: Events) -> DataFrame:
     day = F.col("transaction_date")
@@ -755,8 +807,8 @@ def check_st06(e: Events) -> DataFrame:
     e.store()
     reason = F.when(~F.col("_is_resolvable"), F.lit("UNRESOLVABLE"))
     wrong = e.classified.withColumn("_rejection_reason", F.coalesce("_rejection_reason", reason))
-    rejects = QU.quarantine_transactions(wrong, A.RUN_ID, A.RUN_TIME)
-    return CK.st06(e.silver, rejects, S.TRANSACTION_SOURCE.names)
+    rejects = TX.quarantine_transactions(wrong, A.RUN_ID, A.RUN_TIME)
+    return CK.st06(e.silver, CK.amounts_alike(rejects), S.TRANSACTION_SOURCE.names)
 
 
 @check

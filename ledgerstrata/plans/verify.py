@@ -57,9 +57,6 @@ def lake_checks(lake: Lake, last: date, earlier_metrics: DataFrame | None = None
     }
     reconciliation = RC.reconcile(transactions, silver, rejected)
     both = rejected.select("_rejection_reason").unionByName(rejected_accounts.select("_rejection_reason"))
-    # Silver money has two decimals; give rejected amounts the same look.
-    cents = F.col("amount").try_cast(S.MONEY).cast("string")
-    rejected_cents = rejected.withColumn("amount", F.coalesce(cents, F.col("amount")))
     source_codes = EX.scan_static(lake.spark, f"{lake.source}/transaction_codes.csv", S.CODE_SOURCE)
     results = [
         CK.b01(_extract_rows(lake, "transactions", last), transactions),
@@ -71,7 +68,7 @@ def lake_checks(lake: Lake, last: date, earlier_metrics: DataFrame | None = None
         CK.silver_row_checks(silver),
         CK.st04(reconciliation),
         CK.st05(both),
-        CK.st06(silver, rejected_cents, S.TRANSACTION_SOURCE.names),
+        CK.st06(silver, CK.amounts_alike(rejected), S.TRANSACTION_SOURCE.names),
         CK.st07(silver, log),
         CK.st08(silver, codes),
         CK.st09(reconciliation),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# Transaction amounts keep what they say; finer ones are rejected, never rounded.
+AMOUNT = T.DecimalType(24, 6)
 GOLD_MONEY = T.DecimalType(18, 3)
 
 # ---------------------------------------------------------------------------
@@ -119,14 +121,14 @@ SILVER_TRANSACTIONS = T.StructType(
         T.StructField("transaction_id", T.StringType()),
         T.StructField("account_id", T.StringType()),
         T.StructField("transaction_date", T.DateType()),
-        T.StructField("amount", MONEY),
+        T.StructField("amount", AMOUNT),
         T.StructField("transaction_code", T.StringType()),
         T.StructField("merchant_name", T.StringType()),
         T.StructField("channel", T.StringType()),
         T.StructField("_source_file", T.StringType()),
         T.StructField("_bronze_ingested_at", T.TimestampType()),
         T.StructField("_is_resolvable", T.BooleanType()),
-        T.StructField("_signed_amount", MONEY),
+        T.StructField("_signed_amount", AMOUNT),
         T.StructField("_pipeline_run_id", T.StringType()),
         T.StructField("_promoted_at", T.TimestampType()),
         T.StructField("date", T.DateType()),
@@ -256,7 +258,7 @@ ACCEPTED_IDS = T.StructType(
 
 # Gold folds these: one row per transaction date and code, and one per week, account and
 # code, for every processing date.
-PARTIAL_MONEY = T.DecimalType(28, 2)
+PARTIAL_MONEY = T.DecimalType(34, 6)
 DAILY_PARTIALS = T.StructType(
     [
         T.StructField("transaction_date", T.DateType()),

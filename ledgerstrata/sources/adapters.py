@@ -52,7 +52,8 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                      ELSE event_id END AS STRING) AS transaction_id""",
         "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS account_id",
         "CAST(ts AS DATE) AS transaction_date",
-        "CAST(value AS DECIMAL(18,2)) - 2.00BD AS amount",
+        "CAST(CAST(value AS DECIMAL(18,2)) - 2.00BD + CASE WHEN event_id % 101 = 7 THEN 0.005BD"
+        " WHEN event_id % 101 = 8 THEN 0.0000005BD ELSE 0BD END AS DECIMAL(24,7)) AS amount",
         f"{_EVENT_CODE} AS transaction_code",
         """CASE WHEN event_type = 'purchase'
                 THEN concat('shop-', CAST(user_id % 50 AS STRING)) END AS merchant_name""",

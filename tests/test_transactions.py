@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,11 @@ def test_each_rule_and_its_rank(spark):
         (good(D1, "b5", amount="1e30"), AMOUNT),
         (good(D1, "b6", amount="0.004"), None),
         (good(D1, "b7", amount="-0.004"), AMOUNT),
+        (good(D1, "b8", amount="1.005"), None),
+        (good(D1, "b9", amount="1.0000005"), AMOUNT),  # would be rounded
+        (good(D1, "ba", amount="0.0000001"), AMOUNT),
+        (good(D1, "bb", amount="123456789012345678.123456"), None),
+        (good(D1, "bc", amount="1234567890123456789"), AMOUNT),
         (good(D1, "c1", code="XXX99"), CODE),
         (good(D1, "d1", channel="MOBILE"), CHANNEL),
         (good(D1, "d2", channel="online"), CHANNEL),
@@ -131,8 +137,8 @@ def test_promotion_signs_and_types(spark):
     silver = promote_transactions(classified, sample.RUN_ID, sample.NOW)
     assert silver.schema.names == S.SILVER_TRANSACTIONS.names
     assert [f.dataType for f in silver.schema] == [f.dataType for f in S.SILVER_TRANSACTIONS]
-    signed = {r["transaction_id"]: str(r["_signed_amount"]) for r in silver.collect()}
-    assert signed == {"debit": "12.50", "credit": "-7.25"}
+    signed = {r["transaction_id"]: r["_signed_amount"] for r in silver.collect()}
+    assert signed == {"debit": Decimal("12.50"), "credit": Decimal("-7.25")}
 
 
 def test_both_outcomes_come_from_one_frame(spark):
