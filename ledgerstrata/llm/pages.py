@@ -121,6 +121,7 @@ def parse(page: str, container: int | None = None) -> tuple[Counter[int], dict[i
     """
     counts: Counter[int] = Counter()
     paths: dict[int, Path] = {}
+    known: dict[tuple[int, str], int] = {}
     nodes: list[Node] = []
     stack = [ROOT]
     opened: Counter[str] = Counter()
@@ -170,8 +171,10 @@ def parse(page: str, container: int | None = None) -> tuple[Counter[int], dict[i
         header = name == "header" and top.main
         path = top.path
         if name not in INLINE and top.depth < DEEPEST:
-            path = numbered(top.path, label)
-            paths[path] = Path(top.path, name)
+            path = known.get((top.path, label))
+            if path is None:
+                path = known[top.path, label] = numbered(top.path, label)
+                paths[path] = Path(top.path, name)
             counts[path] += 1
         if name not in VOID and not (m["rest"] or "").endswith("/"):
             opened[name] += 1
@@ -255,7 +258,9 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum(F.xxhash64("page_id", "n").cast("decimal(38,0)")).alias("vector"),
         F.sum("chars").alias("chars"), F.sum("links").alias("links"),
     )
-    usual = folded.join(sizes, "host").where((F.col("pages") > 1) & (F.col("on") >= SUPPORT * F.col("pages")))
+    # Of the blocks of text only those of the frame matter; paths also say where the text of the slots is.
+    due = F.when(F.col("name") == "#", F.col("on") == F.col("pages")).otherwise(F.col("on") >= SUPPORT * F.col("pages"))
+    usual = folded.join(sizes, "host").where((F.col("pages") > 1) & due)
     classes = usual.groupBy("host", "pages", "on", "vector", "least", "most").agg(
         F.collect_list(F.struct("token", "parent", "name", "chars", "links")).alias("members")
     )
@@ -305,8 +310,9 @@ def extract_one(page: str, container: int | None, constants: frozenset[int]) ->
     nothing sets apart. If all text is constant, the pages are copies of one another, and nothing of it is template.
     """
     _, _, nodes = parse(page, container)
-    for left_out in (constants, frozenset()):
-        rest = [n for token, block in blocks(nodes) if token not in left_out for n in block if not n.apart]
+    shown = [n for n in nodes if not n.apart]
+    slots = [n for t, block in blocks(nodes) if t not in constants for n in block if not n.apart] if constants else shown
+    for rest in (slots, shown):
         inside = [n for n in rest if n.inside]
         for part in ([n for n in inside if n.main], [n for n in rest if n.main], inside, rest):
             found = joined(part)
