@@ -37,6 +37,8 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: A template token stands on at least this share of a host's pages; a container holds this share of the text that is
 #: not set apart.
 SUPPORT, SHARE = 0.5, 0.8
+#: Page counts of hosts are broadcast up to this many (about 20 MB); beyond it they are joined by a shuffle.
+BROADCAST_HOSTS = 200_000
 #: Elements below so many others count as parts of the one above them, as in browsers.
 DEEPEST = 512
 #: Elements that hold running text and so are no containers of an article.
@@ -252,7 +254,9 @@ def templates(pages: DataFrame) -> DataFrame:
     """
     found = stored(tokens(pages))
     # A page's fingerprint has its row in it: repeated rows of one page are pages of their own.
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = stored(pages.groupBy("host").agg(F.count("*").alias("pages")))
+    # Few hosts are broadcast, so that the tokens of a large host stay dealt over tasks until few are left.
+    side = F.broadcast(sizes) if sizes.count() <= BROADCAST_HOSTS else sizes
     folded = found.groupBy("host", "token", "parent", "name").agg(
         F.count("*").alias("on"), F.sum("n").alias("n"), F.min("n").alias("least"), F.max("n").alias("most"),
         F.sum(F.xxhash64("page_id", "n").cast("decimal(38,0)")).alias("vector"),
@@ -260,7 +264,7 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     # Of the blocks of text only those of the frame matter; paths also say where the text of the slots is.
     due = F.when(F.col("name") == "#", F.col("on") == F.col("pages")).otherwise(F.col("on") >= SUPPORT * F.col("pages"))
-    usual = folded.join(sizes, "host").where((F.col("pages") > 1) & due)
+    usual = folded.join(side, "host").where((F.col("pages") > 1) & due)
     classes = usual.groupBy("host", "pages", "on", "vector", "least", "most").agg(
         F.collect_list(F.struct("token", "parent", "name", "chars", "links")).alias("members")
     )
