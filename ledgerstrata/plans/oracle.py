@@ -249,7 +249,7 @@ txn AS (SELECT * FROM whole WHERE date <> {_LATE_DAY} OR seq % 10 > 0),
 again AS (
   SELECT w.*, c.debit_credit_indicator AS _indicator, COALESCE(k.known_from <= w.date, false) AS _is_resolvable,
          CASE WHEN w.transaction_id IS NULL OR w.account_id IS NULL THEN 'NULL_REQUIRED_FIELD'
-              WHEN amount <= 0 THEN 'INVALID_AMOUNT'
+              WHEN amount <= 0 OR amount <> CAST(amount AS DECIMAL(24,6)) THEN 'INVALID_AMOUNT'
               WHEN w.transaction_id IN (SELECT s.transaction_id FROM silver s WHERE s.date <> {_LATE_DAY})
                 THEN 'DUPLICATE_TRANSACTION_ID'
               WHEN c.transaction_code IS NULL THEN 'INVALID_TRANSACTION_CODE'
@@ -363,7 +363,7 @@ _ORACLE: dict[str, tuple[str, str]] = {
     "silver_transactions": (_EVENTS, f"SELECT {_SILVER} FROM silver"),
     "quarantine_transactions": (
         _EVENTS,
-        f"SELECT {_SOURCE}, {_AUDIT}, date, _rejection_reason FROM rejects",
+        f"SELECT {_SOURCE_TEXT}, {_AUDIT}, date, _rejection_reason FROM rejects",
     ),
     "quarantine_accounts": (
         _EVENTS,
@@ -372,7 +372,7 @@ _ORACLE: dict[str, tuple[str, str]] = {
     ),
     "quarantine_all": (
         _EVENTS,
-        f"""SELECT {_SOURCE}, {_AUDIT}, date, _rejection_reason, 'transactions' AS entity FROM rejects
+        f"""SELECT {_SOURCE_TEXT}, {_AUDIT}, date, _rejection_reason, 'transactions' AS entity FROM rejects
             UNION ALL BY NAME
             SELECT {_ACCOUNT}, {_AUDIT}, date, _rejection_reason, 'accounts' AS entity FROM acc_full
             WHERE _rejection_reason IS NOT NULL""",
