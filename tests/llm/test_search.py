@@ -60,3 +60,54 @@ def test_large_components(spark):
     rows = [(i, [3e6 * (i - 2), 1.0], 1, "", "", "", "") for i in range(6)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert sorted(map(tuple, search(df, df, 2).collect())) == brute(rows, lambda i: True, 2)
+
+
+def test_every_length_apart(spark):
+    """Vectors are compared with those of their length; bytes of unlike lengths are never taken for one another."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range((8, 3, 1, 4)[i % 4 if i % 2 else 0])], 1, "", "", "", "") for i in range(240)]
+    rows += [(300, [0.0] * 4, 1, "", "", "", ""), (301, [-0.0] * 4, 1, "", "", "", ""), (302, [1e30], 1, "", "", "", ""),
+             (303, [0.0], 1, "", "", "", ""), (304, [0.5] * 700, 1, "", "", "", ""), (305, [0.25] * 700, 1, "", "", "", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = sorted(map(tuple, search(df, df, 4).collect()))
+    wanted = []
+    for n in {len(r[1]) for r in rows}:
+        wanted += brute([r for r in rows if len(r[1]) == n], lambda i: True, 4)
+    assert found == [(q, r, i, max(-(2**63), min(2**63 - 1, s))) for q, r, i, s in sorted(wanted)]
+
+
+def test_wide_scores_are_exact_then_cut():
+    a = np.array([[2.0**40, 1.0], [2.0**70, 3.0], [3.0, 2.0]])
+    found = vectors.products(a, np.array([[2.0**20, 1.0], [-1.0, 0.0]]))
+    assert found.tolist() == [[2**60 + 1, -(2**40)], [2**63 - 1, -(2**63)], [3 * 2**20 + 2, -3]]
+    assert vectors.decoded([vectors.encoded([0.5, -1.25]), vectors.encoded([1e9, -0.0])]).tolist() == [
+        [128.0, -320.0], [256e9, 0.0]]
+
+
+def test_annuli_are_opened_outwards_until_the_bound_closes_the_rest():
+    """Of a sorted row of annuli a query opens only those that its last score leaves within reach, and misses nothing."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (4096, 3))
+    x = np.floor(4000 * x / np.sqrt((x**2).sum(axis=1))[:, None])
+    pivots = vectors.Pivots(3, x[:512], float((x**2).sum(axis=1).max()), 1)
+    d = pivots.distances(pivots.lifted(x))[:, 0]
+    x, d = x[np.argsort(d)], np.sort(d)
+    q = x[::500]
+    opened = []
+    real = vectors.products
+
+    def counted(a, b):
+        opened.append(len(a))
+        return real(a, b)
+
+    row = {"qs": [vectors.encoded((r / 256).tolist()) for r in q], "vs": [vectors.encoded((r / 256).tolist()) for r in x],
+           "d": pivots.asked(q)[:, 0].tolist(), "worst": [-math.inf] * len(q), "ids": [[i] for i in range(len(x))],
+           "edges": [[d[i], d[i + 511]] for i in range(0, 4096, 512)]}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(vectors, "products", counted)
+        found = vectors._expanded(row, 3, pivots).to_pylist()
+    assert sum(opened) < 0.5 * len(q) * 8
+    scores = (q @ x.T).astype(int)
+    for text, score in zip(row["qs"], scores.tolist(), strict=True):
+        kth = sorted(score)[-3]
+        assert sorted(r["ids"][0] for r in found if r["qv"] == text) == [i for i, s in enumerate(score) if s >= kth]
