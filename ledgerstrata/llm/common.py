@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerstrata-"))
     return context.getCheckpointDir()
@@ -51,13 +53,36 @@ def passing(spark: SparkSession, path: str) -> None:
     files.deleteOnExit(folder)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system now."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: Folders written by `stored`, by open `scratch` blocks.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block that ends with its result written: what `stored` wrote inside it is removed then, also after a failure."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            remove(spark, path)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: work is not repeated, and lost executors lose nothing.
 
-    The files go when the driver's JVM ends.
+    The files go at the end of the innermost `scratch` block, or else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     passing(spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
+from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ BROADCAST_LINES = 1_000_000
 CELLS = 1 << 21
 #: Pairs of a key verified at once.
 BATCH = 20_000
+_HALVES = struct.Struct(">qq")
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
@@ -31,8 +35,9 @@ def lines_of(text: str) -> list[tuple[int, str]]:
     return [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip(BLANKS))]
 
 
-def line_hash(line: str) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(line.encode()), "big", signed=True)
+def line_hash(line: str) -> tuple[int, int]:
+    """The two 64-bit halves of a line's hash: together they name it, and the first alone finds candidates."""
+    return _HALVES.unpack(xxhash.xxh3_128_digest(line.encode()))
 
 
 def segments(n: int, parts: int) -> list[tuple[int, int]]:
@@ -192,91 +197,149 @@ def _rows(b: pa.RecordBatch) -> Iterator[tuple]:
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    """(h, k, pos, doc_id): every line with a word."""
+    """(h, g, k, l, pos, doc_id): every line with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, h, pos = [], [], []
-            for r, text in enumerate(b.column(1).to_pylist()):
+            row, h, g, pos = [], [], [], []
+            for r, text in enumerate(b.column(2).to_pylist()):
                 for i, line in lines_of(text or ""):
+                    one, other = line_hash(line)
                     row.append(r)
-                    h.append(line_hash(line))
+                    h.append(one)
+                    g.append(other)
                     pos.append(i)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), b.column(0).take(at), pa.array(pos, pa.int32()), b.column(2).take(at)],
-                ["h", "k", "pos", "doc_id"])
+                [pa.array(h, pa.int64()), pa.array(g, pa.int64()), b.column(0).take(at), b.column(1).take(at),
+                 pa.array(pos, pa.int32()), b.column(3).take(at)], ["h", "g", "k", "l", "pos", "doc_id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("k", "text", "doc_id").mapInArrow(run, f"h long, k long, pos int, doc_id {kind}")
+    return docs.select("k", "l", "text", "doc_id").mapInArrow(run, f"h long, g long, k long, l long, pos int, doc_id {kind}")
 
 
-def _keyed(docs: DataFrame, edits: int, hot: frozenset[int], earlier: frozenset[int] = frozenset()) -> DataFrame:
-    """(key, own, h): keys of lines, each line once in a task; in later rounds only keys that refine new hot ones.
+def _spoken(docs: DataFrame) -> DataFrame:
+    """(h, g, line): lines long enough to be near others, each once in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for b in batches:
+            names, found = [], []
+            for (text,) in _rows(b):
+                for _, line in lines_of(text or ""):
+                    if len(line) >= MIN_CHARS and (name := line_hash(line)) not in seen:
+                        seen.add(name)
+                        names.append(name)
+                        found.append(line)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([n[k] for n in names], pa.int64()) for k in (0, 1)), pa.array(found, pa.string())], ["h", "g", "line"])
+
+    return docs.select("text").mapInArrow(run, "h long, g long, line string")
 
-    `earlier` has the keys that were hot before the last round: keys of that round are settled, except hot ones that are
-    too short to be refined.
-    """
+
+def _told(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, g, line): the lines of the hashes `wanted` (w), each once."""
+    wanted = stored(wanted)
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
+    known = _spoken(docs).join(side, F.col("h") == F.col("w"), "left_semi")
+    return known.groupBy("h", "g").agg(F.min("line").alias("line"))
+
+
+def _keyed(docs: DataFrame, edits: int) -> DataFrame:
+    """(key, own, h): keys of lines, each line once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker, plain = Keys(edits, hot), Keys(edits, earlier)
-        seen: set[int] = set()
+        maker = Keys(edits)
+        seen: set[tuple[int, int]] = set()
         for b in batches:
             keys, owns, hs = [], [], []
-            for _, text in _rows(b):
+            for (text,) in _rows(b):
                 for _, line in lines_of(text or ""):
-                    if len(line) < MIN_CHARS or (h := line_hash(line)) in seen:
+                    if len(line) < MIN_CHARS or (name := line_hash(line)) in seen:
                         continue
-                    seen.add(h)
+                    seen.add(name)
                     found = maker.of(line)
-                    if hot:
-                        before = plain.of(line) if maker.hot else {}
-                        found = {key: own for key, own in found.items() if key not in before or key in hot}
                     keys += found.keys()
                     owns += found.values()
-                    hs += [h] * len(found)
+                    hs += [name[0]] * len(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(owns, pa.bool_()), pa.array(hs, pa.int64())], ["key", "own", "h"])
 
-    return docs.select("k", "text").mapInArrow(run, "key long, own boolean, h long")
+    return docs.select("text").mapInArrow(run, "key long, own boolean, h long")
+
+
+def _refined(docs: DataFrame, hot: DataFrame, edits: int) -> DataFrame:
+    """(key, own, h, short): the keys that replace the newest hot ones of each line; `short` ones cannot be replaced.
+
+    `hot` has rows (key, h, round) of all rounds. Whether a key of a line is hot stands with the line, so that nobody
+    needs the hot keys of all.
+    """
+    newest = hot.agg(F.max("round")).first()[0]
+    of_line = stored(hot.groupBy(F.col("h").alias("w")).agg(
+        F.collect_set(F.when(F.col("round") < newest, F.col("key"))).alias("was"),
+        F.collect_set(F.when(F.col("round") == newest, F.col("key"))).alias("now")).where("size(now) > 0"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, owns, hs, short = [], [], [], []
+            for h, line, was, now in _rows(b):
+                old, new = frozenset(was), frozenset(now)
+                before = Keys(edits, old).of(line)
+                for key, own in Keys(edits, old | new).of(line).items():
+                    if key in new or key not in before:
+                        keys.append(key)
+                        owns.append(own)
+                        hs.append(h)
+                        short.append(key in new)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(owns, pa.bool_()), pa.array(hs, pa.int64()),
+                                              pa.array(short, pa.bool_())], ["key", "own", "h", "short"])
+
+    lines = _told(docs, of_line.select("w")).join(of_line, F.col("h") == F.col("w"))
+    return lines.select("h", "line", "was", "now").mapInArrow(run, "key long, own boolean, h long, short boolean")
 
 
 def _meetings(keyed: DataFrame, hot: int) -> DataFrame:
-    """(key, own, h): the lines of keys that two lines share, at least one of them by its own segment.
+    """(key, own, h, hot): the lines of keys that two lines share, at least one of them by its own segment.
 
-    A key of more than `hot` lines gives one row with a null h instead.
+    `hot` marks all lines of keys of more than `hot` lines; they pass through in pieces.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)]
+        rest, flowing = [np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)], None
 
         def met(key: np.ndarray, own: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
             sizes = np.diff(np.append(starts, len(key)))
-            over = sizes > hot
-            # A line that owns a segment and probes with it at another place is once in a key: `of` keeps one of them.
-            kept = np.repeat((sizes > 1) & own[starts] & ~over, sizes)
-            full = key[starts[over]]
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([key[kept], full])), pa.array(np.concatenate([own[kept], np.ones(len(full), bool)])),
-                pa.array([*h[kept].tolist(), *[None] * len(full)], pa.int64()),
-            ], ["key", "own", "h"])
+            # Own segments come first. A line that owns a segment and probes with it at another place is once in a key.
+            passing = key[starts] == flowing if flowing is not None else np.zeros(len(starts), bool)
+            over = passing | ((sizes > hot) & own[starts])
+            kept = np.repeat(over | ((sizes > 1) & own[starts]), sizes)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key[kept]), pa.array(own[kept]), pa.array(h[kept]), pa.array(np.repeat(over, sizes)[kept])],
+                ["key", "own", "h", "hot"])
 
         for b in batches:
-            found = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, b.columns, strict=True)]
-            key, own, h = found
+            key, own, h = (np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, b.columns, strict=True))
             if not len(key):
                 continue
             # The same line from several tasks stands in a row.
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (h[1:] != h[:-1]) | (own[1:] != own[:-1])])
             key, own, h = key[new], own[new], h[new]
             last = int(np.searchsorted(key, key[-1]))
-            rest = [c[last : last + hot + 1] for c in (key, own, h)]
-            yield met(key[:last], own[:last], h[:last])
+            if key[-1] == flowing or len(key) - last > hot + 1:
+                # All but the last row go on; that one is there to be compared with the next.
+                hold = len(key) - 1
+                yield met(key[:hold], own[:hold], h[:hold])
+                if own[last]:
+                    flowing = key[-1]
+            else:
+                hold = last
+                yield met(key[:hold], own[:hold], h[:hold])
+            rest = [c[hold:] for c in (key, own, h)]
         yield met(*rest)
 
     dealt = keyed.repartition("key").sortWithinPartitions("key", F.desc("own"), "h")
-    return dealt.mapInArrow(run, "key long, own boolean, h long")
+    return dealt.mapInArrow(run, "key long, own boolean, h long, hot boolean")
 
 
 def _blocks(keyed: DataFrame) -> DataFrame:
@@ -291,89 +354,70 @@ def _blocks(keyed: DataFrame) -> DataFrame:
     return met.select("key", "own", "h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
 
 
-def candidates(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, frozenset[int]]:
-    """The lines of keys in which lines meet, as (key, own, h, i, j, block), and the keys that were refined.
+def candidates(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """The lines of keys in which lines meet, as (key, own, h, i, j, block).
 
     Lines within `edits` of each other meet in at least one key and pair of blocks. Rows are lines in keys, not pairs.
     Rounds go on until each key is within HOT or too short to be refined; the sides of a segment shrink in each.
     """
-    hot: frozenset[int] = frozenset()
-    earlier = hot
     one = [F.lit(0).alias(c) for c in ("i", "j", "block")]
-    parts = []
-    while True:
-        met = stored(_meetings(_keyed(docs, edits, hot, earlier), HOT))
-        parts.append(met.where("h is not null").select("key", "own", "h", *one))
-        # At most 1/HOT of the key rows, each a 64-bit number.
-        more = {r["key"] for r in met.where("h is null").select("key").collect()}
-        if more <= hot:
+    met = stored(_meetings(_keyed(docs, edits), HOT))
+    parts, short, hot = [met], [], None
+    for turn in count():
+        more = met.where("hot").select("key", "h", F.lit(turn).alias("round"))
+        if more.isEmpty():
             break
-        earlier, hot = hot, hot | more
-    if more:
-        # What comes out again is too short to be refined.
-        parts.append(_blocks(_keyed(docs, edits, hot, hot)))
-    members = parts[0]
-    for part in parts[1:]:
-        members = members.union(part)
-    return members, hot
+        hot = more if hot is None else hot.union(more)
+        found = stored(_refined(docs, hot, edits))
+        short.append(found.where("short").select("key", "own", "h"))
+        met = stored(_meetings(found.where("not short").select("key", "own", "h"), HOT))
+        parts.append(met)
+    members = reduce(DataFrame.union, [part.where("not hot").select("key", "own", "h", *one) for part in parts])
+    return members.union(_blocks(reduce(DataFrame.union, short))) if short else members
 
 
 def links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(h, links, near): lines with others within `edits`: how many, and whether one of them begins earlier.
+    """(h, g, links, near): lines with others within `edits`: how many, and whether one of them begins earlier.
 
-    `firsts` has for each line its first place (h, first). The lines of a key, or of two blocks of a large key,
-    are compared in one task; what leaves it is a row for each line, however many of them are near. A pair that meets in several keys counts
-    in the least of them.
+    `firsts` has for each line its first place (h, g, first). The lines of a key, or of two blocks of a large key, are
+    compared in one task; what leaves it is a row for each line, however many of them are near. A pair that meets in
+    several keys counts in the least of them: each line comes with the keys in which it meets others.
     """
-    members, hot = candidates(docs, edits)
-    wanted = stored(members.select(F.col("h").alias("w")).distinct())
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-
-    def spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for b in batches:
-            hs, found = [], []
-            for _, text in _rows(b):
-                for _, line in lines_of(text or ""):
-                    if len(line) >= MIN_CHARS and (h := line_hash(line)) not in seen:
-                        seen.add(h)
-                        hs.append(h)
-                        found.append(line)
-            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(found, pa.string())], ["h", "line"])
-
-    texts = docs.select("k", "text").mapInArrow(spoken, "h long, line string")
-    known = texts.join(side, F.col("h") == F.col("w"), "left_semi").groupBy("h").agg(F.min("line").alias("line"))
-    told = stored(known.join(firsts.select("h", "first"), "h"))
+    members = candidates(docs, edits)
+    held = stored(members.groupBy("h").agg(F.collect_set(F.struct("key", "own")).alias("keys")))
+    told = _told(docs, held.select(F.col("h").alias("w"))).join(firsts.select("h", "g", "first"), ["h", "g"])
+    told = stored(told.join(held, "h"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker, last, group = Keys(edits, hot), None, []
+        last, group = None, []
         pairs: list[tuple[int, tuple, tuple]] = []
         for b in batches:
-            for key, i, j, block, own, h, line, first in _rows(b):
+            for key, i, j, block, own, h, g, line, first, keys in _rows(b):
                 if (key, i, j) != last:
                     for pair in _within_length(group, edits):
                         pairs.append((last[0], *pair))
                         if len(pairs) == BATCH:
-                            yield _settled(pairs, edits, maker)
+                            yield _settled(pairs, edits)
                             pairs = []
                     last, group = (key, i, j), []
-                place = (first["doc_id"] is not None, first["doc_id"] or 0, first["k"], first["pos"])
-                group.append((own, h, line, place, block if i != j else None))
+                known = first["doc_id"] is not None
+                place = (known, first["doc_id"] if known else 0, first["k"], first["l"], first["pos"])
+                group.append((own, (h, g), line, place, block if i != j else None, keys))
         for pair in _within_length(group, edits):
             pairs.append((last[0], *pair))
             if len(pairs) == BATCH:
-                yield _settled(pairs, edits, maker)
+                yield _settled(pairs, edits)
                 pairs = []
-        yield _settled(pairs, edits, maker)
+        yield _settled(pairs, edits)
 
-    both = members.join(told, "h").select("key", "i", "j", "block", "own", "h", "line", "first")
+    both = members.join(told, "h").select("key", "i", "j", "block", "own", "h", "g", "line", "first", "keys")
     dealt = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(compare, "h long, links long, near boolean").groupBy("h").agg(
+    return dealt.mapInArrow(compare, "h long, g long, links long, near boolean").groupBy("h", "g").agg(
         F.sum("links").alias("links"), F.max("near").alias("near"))
 
 
 def _within_length(group: list[tuple], edits: int) -> Iterator[tuple[tuple, tuple]]:
-    """Pairs of a group's lines (own, h, line, first, block) whose lengths allow `edits`, one by its own segment.
+    """Pairs of a group's lines (own, name, line, first, block, keys) whose lengths allow `edits`, one by its own segment.
 
     In a group of two blocks only lines of different blocks are paired; in a group of one, block is None.
     """
@@ -386,23 +430,23 @@ def _within_length(group: list[tuple], edits: int) -> Iterator[tuple[tuple, tupl
                 yield a, b
 
 
-def _settled(pairs: list[tuple[int, tuple, tuple]], edits: int, maker: Keys) -> pa.RecordBatch:
-    """(h, links, near) of the lines in near pairs (key, a, b) that have no smaller key in common."""
-    found: dict[int, tuple[int, bool]] = {}
-    keys: dict[int, dict[int, bool]] = {}
+def _settled(pairs: list[tuple[int, tuple, tuple]], edits: int) -> pa.RecordBatch:
+    """(h, g, links, near) of the lines in near pairs (key, a, b) that have no smaller key in common."""
+    found: dict[tuple[int, int], tuple[int, bool]] = {}
+    keys: dict[tuple[int, int], dict[int, bool]] = {}
     for (key, a, b), near in zip(pairs, within([(a[2], b[2]) for _, a, b in pairs], edits), strict=True):
         if near:
             for x in (a, b):
                 if x[1] not in keys:
-                    keys[x[1]] = maker.of(x[2])
+                    keys[x[1]] = {k["key"]: k["own"] for k in x[5]}
             ka, kb = keys[a[1]], keys[b[1]]
             if min(k for k in ka if k in kb and (ka[k] or kb[k])) == key:
                 for x, y in ((a, b), (b, a)):
                     n, earlier = found.get(x[1], (0, False))
                     found[x[1]] = (n + 1, earlier or y[3] < x[3])
     return pa.RecordBatch.from_pydict({
-        "h": pa.array(list(found), pa.int64()), "links": pa.array([n for n, _ in found.values()], pa.int64()),
-        "near": pa.array([x for _, x in found.values()], pa.bool_())})
+        **{c: pa.array([name[k] for name in found], pa.int64()) for k, c in enumerate("hg")},
+        "links": pa.array([n for n, _ in found.values()], pa.int64()), "near": pa.array([x for _, x in found.values()], pa.bool_())})
 
 
 #: Columns that `thin` adds: lines with a word, dropped copies, dropped near lines, links of the document's lines.
@@ -410,8 +454,8 @@ ADDED = ("_llm_n_lines", "_llm_n_copies", "_llm_n_near", "_llm_n_links")
 
 
 def listed(marked: DataFrame) -> DataFrame:
-    """(_llm_k, _llm_marks): the marks of each k, each once however many rows repeat the document."""
-    return marked.groupBy(F.col("k").alias("_llm_k")).agg(
+    """(_llm_m, _llm_n, _llm_marks): the marks of each (k, l), each once however many rows repeat the document."""
+    return marked.groupBy(F.col("k").alias("_llm_m"), F.col("l").alias("_llm_n")).agg(
         F.collect_set(F.struct("pos", "copy", "near", "links")).alias("_llm_marks"))
 
 
@@ -425,17 +469,20 @@ def thin(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     document's number is the sum over its lines. An empty table gives no rows.
     """
     importable(docs)
-    key = F.xxhash64("doc_id", "text")
-    keyed = docs.select(key.alias("k"), "text", "doc_id")
+    # Two hashes name a document: one of 64 bits would meet another's by chance among some billions.
+    key, other = F.xxhash64("doc_id", "text"), F.xxhash64("text", "doc_id")
+    keyed = docs.select(key.alias("k"), other.alias("l"), "text", "doc_id")
     placed = stored(_placed(keyed))
-    firsts = stored(placed.groupBy("h").agg(F.min(F.struct("doc_id", "k", "pos")).alias("first"), F.count("*").alias("n")))
+    firsts = stored(placed.groupBy("h", "g").agg(F.min(F.struct("doc_id", "k", "l", "pos")).alias("first"), F.count("*").alias("n")))
     linked = links(keyed, firsts, edits)
-    notable = firsts.join(linked, "h", "left").where("n > 1 or links is not null").select(
-        "h", F.col("first.k").alias("first_k"), F.col("first.pos").alias("first_pos"), "links", "near")
-    marked = placed.join(notable, "h").select(
-        "k", "pos", (~((F.col("k") == F.col("first_k")) & (F.col("pos") == F.col("first_pos")))).alias("copy"),
+    notable = firsts.join(linked, ["h", "g"], "left").where("n > 1 or links is not null").select("h", "g", "first", "links", "near")
+    begins = (F.col("k") == F.col("first.k")) & (F.col("l") == F.col("first.l")) & (F.col("pos") == F.col("first.pos"))
+    marked = placed.join(notable, ["h", "g"]).select(
+        "k", "l", "pos", (~begins).alias("copy"),
         F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).alias("links"))
-    joined = docs.withColumn("_llm_key", key).join(listed(marked), F.col("_llm_key") == F.col("_llm_k"), "left").drop("_llm_key", "_llm_k")
+    marks, names = listed(marked), docs.columns
+    joined = docs.join(marks, (key == marks["_llm_m"]) & (other == marks["_llm_n"]), "left").select(
+        *[docs[f"`{c}`"] for c in names], marks["_llm_marks"])
     text, kinds = docs.columns.index("text"), joined.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,8 +75,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -
 
 
 def repeat(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
-    """The documents as often as the mix takes them, with all columns. Rows of one doc_id share their draws."""
-    taken = mix(docs, weights, seed).groupBy(F.col("doc_id").alias("_llm_id")).agg(F.max("copies").cast("int").alias("_llm_copies"))
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_llm_id"]))
+    """The documents as often as the mix takes them, with all columns. Rows of one doc_id and source share their draws."""
+    taken = mix(docs, weights, seed).groupBy(F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_source")).agg(
+        F.max("copies").cast("int").alias("_llm_copies"))
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_llm_id"]) & docs["source"].eqNullSafe(taken["_llm_source"]))
     every = joined.where("_llm_copies > 0").withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.col("_llm_copies"))))
     return every.select(*[every[f"`{c}`"] for c in docs.columns])

@@ -116,7 +116,7 @@ def test_a_line_is_once_in_a_key(spark, monkeypatch):
     """Keys that an earlier round has settled do not come out again when a third round refines others."""
     monkeypatch.setattr(lines, "HOT", 3)
     docs = documents(spark).selectExpr("xxhash64(doc_id, text) as k", "text", "doc_id")
-    members, _ = lines.candidates(docs)
+    members = lines.candidates(docs)
     assert members.groupBy("key", "h", "i", "j").count().where("count > 1").collect() == []
 
 
@@ -135,7 +135,7 @@ def test_no_group_grows_with_its_key(spark, monkeypatch):
     rows = [(i, f"abcdefghijklmnopqrstuv{chr(200 + i)}", "en", "s", 0) for i in range(300)]
     rows += [(500 + i, f"abcdefghijklmnopqrstuv{chr(200 + i)}{chr(300 + i)}", "en", "s", 0) for i in range(300)]
     docs = spark.createDataFrame(rows, edge.SCHEMA)
-    members, _ = lines.candidates(docs.selectExpr("xxhash64(doc_id, text) as k", "text", "doc_id"))
+    members = lines.candidates(docs)
     assert members.groupBy("key", "i", "j").count().selectExpr("max(count)").first()[0] < 4 * 20
     expected, _ = brute(edge.rows(docs), 2)
     found = lines.thin(docs)
@@ -144,7 +144,7 @@ def test_no_group_grows_with_its_key(spark, monkeypatch):
 
 def test_a_repeated_row_has_each_mark_once(spark):
     """The marks of a document are as many as its lines, not times its rows."""
-    marked = spark.range(120).selectExpr("7L as k", "cast(id % 3 as int) as pos", "true as copy", "false as near", "0L as links")
+    marked = spark.range(120).selectExpr("7L as k", "8L as l", "cast(id % 3 as int) as pos", "true as copy", "false as near", "0L as links")
     assert [len(r["_llm_marks"]) for r in lines.listed(marked).collect()] == [3]
     rows = [(1, "one\ntwo\nthree", "en", "s", 0)] * 40 + [(0, "two", "en", "s", 0)]
     docs = spark.createDataFrame(rows, edge.SCHEMA).repartition(4)

@@ -3,10 +3,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 
-from ledgerstrata.llm import mixing
+from ledgerstrata.llm import common, mixing
 
 from . import edge
 
@@ -72,3 +73,22 @@ def test_all_sources_at_their_caps(spark):
     rows = [(i, "w " * 10, "en", f"s{i}", 20) for i in range(4)]
     got = {r["source"]: r["target"] for r in mixing.mix(spark.createDataFrame(rows, edge.SCHEMA)).collect()}
     assert got == pytest.approx(fill({f"s{i}": 10 for i in range(4)}, {"s0": 5, "s1": 2, "s2": 1, "s3": 5}, 60))
+
+
+def test_rows_without_id_follow_their_own_source(spark):
+    """Rows without id draw alike, but at the rate of their source."""
+    rows = [(None, "one two three four", "en", s, 0) for s in ("a", "b", "c")] + [
+        (i, "one two three four", "en", "abc"[i % 3], 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA)
+    copies = {r["source"]: r["copies"] for r in mixing.mix(docs).where("doc_id is null").collect()}
+    assert len(set(copies.values())) > 1
+    found = mixing.repeat(docs).where("doc_id is null").groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in found} == {s: n for s, n in copies.items() if n}
+
+
+def test_scratch_files_go_with_their_block(spark):
+    with common.scratch(spark):
+        kept = common.stored(spark.range(5))
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert Path(folder).exists() and kept.count() == 5
+    assert not Path(folder).exists()
