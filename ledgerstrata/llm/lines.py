@@ -62,6 +62,32 @@ class Keys:
 
     def __init__(self, edits: int, hot: frozenset[int] = frozenset()):
         self.edits, self.hot = edits, hot
+        self.places: dict[int, tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]] = {}
+
+    def first(self, line: str) -> dict[int, bool]:
+        """`of` with nothing hot, its keys unsigned: where the segments of a line are depends on its length alone."""
+        data, n = line.encode("utf-32-le"), len(line)
+        if n not in self.places:
+            self.places[n] = self._places(n)
+        probes, own = self.places[n]
+        found = dict.fromkeys([xxhash.xxh3_64_intdigest(data[a:z], seed) for a, z, seed in probes], False)
+        for a, z, seed in own:
+            found[xxhash.xxh3_64_intdigest(data[a:z], seed)] = True
+        return found
+
+    def _places(self, n: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+        """(start, end, seed) of the segments a line of n characters probes with, its own ones apart, in bytes."""
+        own, probes = [], []
+        for length in range(n - self.edits, n + 1):
+            if length < MIN_CHARS and length < n:
+                continue
+            for i, (p, size) in enumerate(segments(length, self.edits + 1)):
+                if length == n:
+                    own.append((4 * p, 4 * (p + size), self._seed(n, i, 0)))
+                if length >= MIN_CHARS:
+                    spots = (at for at in self._spots(n, length, p, size, i, self.edits) if length < n or at != p)
+                    probes += [(4 * at, 4 * (at + size), self._seed(length, i, 0)) for at in spots]
+        return probes, own
 
     def of(self, line: str) -> dict[int, bool]:
         """Keys of a line: true for its own segments, false for those it only probes with."""
@@ -73,9 +99,19 @@ class Keys:
         self._own(data, n, self.edits, 0, found)
         return found
 
+    @staticmethod
+    def _seed(length: int, i: int, parent: int) -> int:
+        return (parent ^ (length * 16 + i) * 0x9E3779B97F4A7C15) & ((1 << 64) - 1)
+
     def _key(self, data: bytes, start: int, size: int, length: int, i: int, parent: int) -> int:
-        seed = (parent ^ (length * 16 + i) * 0x9E3779B97F4A7C15) & ((1 << 64) - 1)
-        return _signed(xxhash.xxh3_64_intdigest(data[4 * start : 4 * (start + size)], seed))
+        return _signed(xxhash.xxh3_64_intdigest(data[4 * start : 4 * (start + size)], self._seed(length, i, parent)))
+
+    @staticmethod
+    def _spots(n: int, length: int, p: int, size: int, i: int, edits: int) -> range:
+        """Where segment i of an indexed length, at p there, may stand in n characters."""
+        delta = n - length
+        low = max(0, p - i, p + delta - (edits - i))
+        return range(low, min(n - size, p + i, p + delta + (edits - i)) + 1)
 
     def _own(self, data: bytes, n: int, edits: int, parent: int, found: dict[int, bool]) -> None:
         for i, (p, size) in enumerate(segments(n, edits + 1)):
@@ -89,11 +125,8 @@ class Keys:
                 found[key] = True
 
     def _probe(self, data: bytes, n: int, length: int, edits: int, parent: int, found: dict[int, bool]) -> None:
-        delta = n - length
         for i, (p, size) in enumerate(segments(length, edits + 1)):
-            low = max(0, p - i, p + delta - (edits - i))
-            high = min(n - size, p + i, p + delta + (edits - i))
-            for at in range(low, high + 1):
+            for at in self._spots(n, length, p, size, i, edits):
                 key = self._key(data, at, size, length, i, parent)
                 side = self._side(length, p, size, i, edits)
                 if key in self.hot and side:
@@ -252,18 +285,20 @@ def _keyed(docs: DataFrame, edits: int) -> DataFrame:
         maker = Keys(edits)
         seen: set[tuple[int, int]] = set()
         for b in batches:
-            keys, owns, hs = [], [], []
+            keys, owns, hs, sizes = [], [], [], []
             for (text,) in _rows(b):
                 for _, line in lines_of(text or ""):
                     if len(line) < MIN_CHARS or (name := line_hash(line)) in seen:
                         continue
                     seen.add(name)
-                    found = maker.of(line)
-                    keys += found.keys()
+                    found = maker.first(line)
+                    keys += found
                     owns += found.values()
-                    hs += [name[0]] * len(found)
+                    hs.append(name[0])
+                    sizes.append(len(found))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(owns, pa.bool_()), pa.array(hs, pa.int64())], ["key", "own", "h"])
+                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(owns, bool)),
+                 pa.array(np.repeat(np.array(hs, np.int64), np.array(sizes, np.int64)))], ["key", "own", "h"])
 
     return docs.select("text").mapInArrow(run, "key long, own boolean, h long")
 

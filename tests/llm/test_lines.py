@@ -151,3 +151,13 @@ def test_a_repeated_row_has_each_mark_once(spark):
     expected, _ = brute(edge.rows(docs), 2)
     found = lines.thin(docs)
     assert Counter((r["doc_id"], r["text"], *(r[c] for c in lines.ADDED)) for r in edge.rows(found)) == expected
+
+
+def test_first_keys_are_those_of_the_line():
+    """`first` reads its places from a table by length; nothing hot, it has the keys of `of`, whatever the length."""
+    rng, maker = random.Random(7), lines.Keys(lines.EDITS)
+    for n in [*range(lines.MIN_CHARS - 1, 90), 400]:
+        for letters in ("ab", "abcdefghijklmnopqrstuvwxyz é中😀", "a"):
+            line = "".join(rng.choice(letters) for _ in range(n))
+            found = maker.first(line)
+            assert {lines._signed(k): own for k, own in found.items()} == lines.Keys(lines.EDITS).of(line)
