@@ -157,6 +157,20 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return picked.mapInArrow(compare, "u long, v long")
 
 
+def candidates(sets: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b), a < b: keys to be checked, of rows (key, fp), that join all keys whose fingerprints links join.
+
+    The keys of a fingerprint meet its least one, and the least ones of linked fingerprints meet, so that the rows grow
+    with keys and links, not with their pairs. A key may have several fingerprints.
+    """
+    sets = stored(sets.distinct())
+    least = stored(sets.groupBy("fp").agg(F.min("key").alias("lead")))
+    same = sets.join(least, "fp").select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    u, v = (least.select(F.col("fp").alias(end), F.col("lead").alias(lead)) for end, lead in (("u", "a"), ("v", "b")))
+    near = links(least.select("fp"), radius).join(u, "u").join(v, "v").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return same.union(near).where("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id: the least doc_id reachable over links of `radius` bits.
 
