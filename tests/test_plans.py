@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstrata import schemas as S
+from ledgerstrata.functions.scalars import is_iso_day
 from ledgerstrata.operators import checks as CK
 from ledgerstrata.operators import gold as GD
 from ledgerstrata.operators import manifest as MF
@@ -254,3 +255,28 @@ def test_schema_of_written_tables(lake):
     for field in S.SILVER_TRANSACTIONS:
         assert types[field.name] == field.dataType
     assert lake.silver_transactions().where(F.col("_signed_amount").isNull()).isEmpty()
+
+
+def test_large_rulings_meet_the_batch_by_hash(spark, tmp_path):
+    """Rulings too large for a broadcast: the batch is shuffled by id, but not sorted, while their parts are small."""
+    rows = spark.range(4000).selectExpr("CAST(id % 3000 AS STRING) AS transaction_id", "id AS n")
+    rulings = spark.range(3000).selectExpr("CAST(id AS STRING) AS transaction_id", "id AS ruling")
+    parts = []
+    for name, frame in (("rows", rows), ("rulings", rulings)):
+        frame.write.parquet(f"{tmp_path}/{name}")
+        parts.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = parts[0].join(parts[1], "transaction_id", "left")
+        assert len(joined.collect()) == 4000
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("text", ["2024-01-1 ", "2024-01-1T", " 2024-01-1", "+2024-01-0", "2024-1-002", "2024-02-30"])
+def test_ten_characters_are_no_day_by_themselves(spark, text):
+    found = spark.createDataFrame([(text,), ("2024-01-02",)], "t string").select(is_iso_day(F.col("t"))).collect()
+    assert [r[0] for r in found] == [False, True]
