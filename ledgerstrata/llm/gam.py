@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -11,11 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable
+from .common import gapless, importable, stored
 from .textstats import BLANKS, SYMBOLS, Words, duplicate_lines
 
-#: Labelled rows used for fitting: those of least hash of doc_id. The only sample; it bounds what the driver holds.
-SAMPLE = 20_000
+#: Labelled rows of a block. Every one is in a block, each block is fitted by a task, and the models are averaged.
+BLOCK = 20_000
+#: Up to so many labels (24 MB) are broadcast, and only their documents described; beyond it all are, so that no text moves.
+BROADCAST_LABELS = 300_000
 #: Bins of a feature; of each side of a pair; pairs; boosting rounds of features and of pairs; step; smoothing.
 BINS, PAIR_BINS, PAIRS, ROUNDS, PAIR_ROUNDS, RATE, SMOOTH = 32, 8, 8, 120, 40, 0.15, 2.0
 #: Rows with this remainder of crc32(doc_id as text) are held out of fitting; a score from CUT on is label 1.
@@ -121,16 +124,25 @@ class Model:
         return 1 / (1 + np.exp(-total))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    """Boost each feature in turn with small steps, then the pairs that explain most of what is left."""
+def quantiles(x: np.ndarray) -> np.ndarray:
+    """The bounds of BINS and of PAIR_BINS bins of equal numbers of rows, for each feature."""
+    parts = np.concatenate([np.arange(1, bins) / bins for bins in (BINS, PAIR_BINS)])
+    return np.quantile(x, parts, axis=0).T
+
+
+def fit(x: np.ndarray, y: np.ndarray, bounds: np.ndarray | None = None) -> Model:
+    """Boost each feature in turn with small steps, then the pairs that explain most of what is left.
+
+    `bounds` of the bins are the quantiles of the rows unless given.
+    """
     if not len(y):
         return Model(50.0)
     rate = (y.sum() + 0.5) / (len(y) + 1)
     model = Model(float(np.log(rate / (1 - rate))))
     if y.min() == y.max():
         return model
-    cut = lambda bins: [np.unique(np.quantile(x[:, k], np.arange(1, bins) / bins)) for k in range(x.shape[1])]
-    model.edges, model.coarse = cut(BINS), cut(PAIR_BINS)
+    bounds = quantiles(x) if bounds is None else bounds
+    model.edges, model.coarse = (list(map(np.unique, part)) for part in (bounds[:, : BINS - 1], bounds[:, BINS - 1 :]))
     bins = [np.searchsorted(e, x[:, k], side="right") for k, e in enumerate(model.edges)]
     model.tables = [np.zeros(len(e) + 1) for e in model.edges]
     total = np.full(len(y), model.base)
@@ -160,36 +172,76 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     return model
 
 
+def merge(models: Iterable[Model]) -> Model:
+    """The model whose sums are the means of those of all models, which have the same bins. One stays as it is."""
+    n, out, pairs = 0, Model(0.0), {}
+    for model in models:
+        n += 1
+        out.base += model.base
+        if model.tables:
+            out.edges, out.coarse = model.edges, model.coarse
+            out.tables = [a + b for a, b in zip(out.tables, model.tables, strict=True)] if out.tables else model.tables
+        for i, j, table in model.pairs:
+            pairs[i, j] = pairs[i, j] + table if (i, j) in pairs else table
+    out.base, out.tables = out.base / n, [table / n for table in out.tables]
+    out.pairs = [(i, j, table / n) for (i, j), table in pairs.items()]
+    return out
+
+
 def remainder():
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` labelled documents outside the held-out fold.
+def _described(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, quality, x): the features of all documents with a label outside the held-out fold."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [features(t or "").tolist() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    Labels that are null or contradict each other are left out. Without labels every score is about 1.
-    """
-    importable(docs)
     single = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("quality").alias("most")
     )
-    usable = single.where("quality = most").where(remainder() != HELD_OUT)
-    chosen = {r["doc_id"]: r["quality"] for r in
-              usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "quality").collect()}
+    usable = stored(single.where("quality = most").where(remainder() != HELD_OUT).select("doc_id", F.col("quality").cast("double")))
+    wanted = docs.where(remainder() != HELD_OUT)
+    if usable.count() <= BROADCAST_LABELS:
+        wanted = wanted.join(F.broadcast(usable.select("doc_id")), "doc_id", "left_semi")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    described = wanted.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, x array<double>")
+    return described.join(usable, "doc_id").select("doc_id", "quality", "x")
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = [i for i, d in enumerate(b.column(0).to_pylist()) if d in chosen]
-            if at:
-                ids, texts = (b.column(k).take(pa.array(at)) for k in (0, 1))
-                rows = [features(t or "").tolist() for t in texts.to_pylist()]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    described = docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, x array<double>")
-    rows = sorted((r["doc_id"], r["x"]) for r in described.collect())
-    x = np.array([r[1] for r in rows]).reshape(-1, len(FEATURES))
-    return fit(x, np.array([chosen[r[0]] for r in rows], float))
+def train(docs: DataFrame, labels: DataFrame, block: int = BLOCK) -> Model:
+    """Fit on all labelled documents outside the held-out fold.
+
+    They are dealt into blocks of at most `block` rows. A task fits a block by itself, in the same bins for all, whose
+    bounds are the means of the blocks' quantiles; the sums of the models are averaged. The driver holds one model at a
+    time. Labels that are null or contradict each other are left out. Without labels every score is about 1.
+    """
+    importable(docs)
+    rows = stored(_described(docs, labels))
+    blocks = -(-rows.count() // block)
+    if not blocks:
+        return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
+    dealt = rows.withColumn("block", F.lit(0).cast("long"))
+    if blocks > 1:
+        numbered = gapless(rows, [], ["doc_id", "quality", "x"], "place")
+        dealt = stored(numbered.select("doc_id", "quality", "x", F.pmod("place", F.lit(blocks)).alias("block")))
+
+    def each(work) -> Iterator:
+        """What `work` makes of the features and labels of each block, block by block."""
+
+        def run(found: pa.Table) -> pa.Table:
+            given = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "x", "quality")), strict=True))
+            made = work(np.array([r[1] for r in given]), np.array([r[2] for r in given]))
+            return pa.table({"block": found.column("block").slice(0, 1), "made": pa.array([pickle.dumps(made)], pa.binary())})
+
+        made = stored(dealt.groupBy("block").applyInArrow(run, "block long, made binary"))
+        return (pickle.loads(r["made"]) for r in made.orderBy("block").toLocalIterator())
+
+    bounds = sum(each(lambda x, y: quantiles(x))) / blocks
+    return merge(each(lambda x, y: fit(x, y, bounds)))
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
@@ -197,13 +249,13 @@ def _scores(model: Model, texts: pa.Array) -> np.ndarray:
     return model.score(x)
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
     """Score every whole document: doc_id, held_out, score and predicted.
 
     A null text is an empty one and gets the score of a text without words. A null doc_id is not held out. Repeated rows
     get equal scores. An empty table gives no rows. Only doc_id and text are read, and doc_id decides the fold alone.
     """
-    model = train(docs, labels, sample)
+    model = train(docs, labels, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -216,9 +268,9 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
-def accept(docs: DataFrame, labels: DataFrame, cut: float = CUT, sample: int = SAMPLE) -> DataFrame:
+def accept(docs: DataFrame, labels: DataFrame, cut: float = CUT, block: int = BLOCK) -> DataFrame:
     """The documents whose score is at least `cut`, with all columns. No row is shuffled."""
-    model = train(docs, labels, sample)
+    model = train(docs, labels, block)
     text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

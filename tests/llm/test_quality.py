@@ -117,3 +117,35 @@ def test_pair_effects():
     model = gam.fit(x[:2000], y[:2000])
     assert any({i, j} == {0, 1} for i, j, _ in model.pairs)
     assert ((model.score(x[2000:]) > 0.5) == y[2000:]).mean() > 0.9
+
+
+def test_every_label_takes_part(spark):
+    """The labels of least hash, as many as a block, say the opposite of all others, which decide."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(["word"] * n if i % 2 else map(str, rng.integers(0, 10**6, n))) for i, n in enumerate(rng.integers(40, 90, 600))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], edge.SCHEMA).repartition(3)
+    order = docs.where(gam.remainder() != gam.HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(60)
+    other = {r["doc_id"] for r in order.collect()}
+    known = labels(spark, [(i, (i % 2) ^ (i in other), 0) for i in range(600)])
+    found = {r["doc_id"]: r["score"] for r in edge.rows(gam.classify(docs, known, 60))}
+    assert all((found[i] > 0.5) == i % 2 for i in found)
+    again = {r["doc_id"]: r["score"] for r in edge.rows(gam.classify(docs.repartition(7), known, 60))}
+    assert again == found
+
+
+def test_blocks_are_averaged(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    quality = {r["doc_id"]: r["quality"] for r in edge.rows(known.where(gam.remainder() != gam.HELD_OUT))}
+    given = sorted((r["doc_id"], r["text"]) for r in edge.rows(docs) if r["doc_id"] in quality)
+    x = np.array([gam.features(t or "") for _, t in given])
+    y = np.array([quality[d] for d, _ in given], float)
+    for limit in (gam.BROADCAST_LABELS, 0):
+        monkeypatch.setattr(gam, "BROADCAST_LABELS", limit)
+        assert np.array_equal(gam.train(docs, known).score(x), gam.fit(x, y).score(x))
+    bounds = (gam.quantiles(x[::2]) + gam.quantiles(x[1::2])) / 2
+    parts = [gam.fit(x[k::2], y[k::2], bounds) for k in (0, 1)]
+    logit = lambda p: np.log(p / (1 - p))
+    mean = sum(logit(m.score(x)) for m in parts) / 2
+    assert np.allclose(logit(gam.merge(parts).score(x)), mean)
+    assert ((gam.train(docs, known, 50).score(x) >= gam.CUT) == y).mean() > 0.95
