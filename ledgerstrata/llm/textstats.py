@@ -8,7 +8,7 @@ import xxhash
 #: Fixed by the rules: words of a window, characters that count as symbols, ASCII white space.
 WINDOW, SYMBOLS, BLANKS = 8, "#*$%&|<>", " \t\n\x0b\x0c\r"
 #: Words whose hashes a worker remembers; rarer ones are hashed each time.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
